@@ -37,7 +37,11 @@ CONFIDENCE_EDGES = (0.0, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 CONFIDENCE_LABELS = ("(-0.001, 0.5]", "(0.5, 0.6]", "(0.6, 0.7]", "(0.7, 0.8]",
                      "(0.8, 0.9]", "(0.9, 1.0]")
 
-LATEST_ORDER = (F.col("processed_at").desc_nulls_last(), F.col("event_id").desc_nulls_last())
+
+
+def latest_order():
+    """Newest first; ties broken by the store id."""
+    return (F.col("processed_at").desc_nulls_last(), F.col("event_id").desc_nulls_last())
 
 
 # ------------------------------------------------------------------ scans
@@ -82,7 +86,7 @@ def latest_predictions(store: DataFrame, source: str = STREAM_SOURCE, sentiment=
     its own top ``limit`` rows, so only ``limit x tasks`` rows are merged.
     """
     rows = (filter_predictions(store, source, sentiment, score, batch)
-            .orderBy(*LATEST_ORDER).limit(limit))
+            .orderBy(*latest_order()).limit(limit))
     return prepare(rows).select(
         "event_id", "processed_at", "text_preview", "text", "score", "prediction",
         "predicted_label", "probability_values",
@@ -227,7 +231,7 @@ def sentiment_kpis(frame: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ samples
 def low_confidence_sample(frame: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
     """Newest ``n`` low-confidence rows (the order is ours: newest first, then id)."""
-    return (low_confidence(frame).orderBy(*LATEST_ORDER).limit(n)
+    return (low_confidence(frame).orderBy(*latest_order()).limit(n)
             .select("event_id", "processed_at", "score", "predicted_label",
                     percent("confidence").alias("confidence_pct"), "batch_id"))
 
@@ -236,7 +240,7 @@ def suspicious_sample(store: DataFrame, source: str = STREAM_SOURCE, sentiment=A
                       batch=ALL, limit: int = DEFAULT_LIMIT, n: int = SAMPLE_ROWS) -> DataFrame:
     """Suspicious rows among the latest ``limit`` filtered rows, first ``n`` newest."""
     latest = latest_predictions(store, source, sentiment, score, batch, limit)
-    return (suspicious(latest).orderBy(*LATEST_ORDER).limit(n)
+    return (suspicious(latest).orderBy(*latest_order()).limit(n)
             .select("event_id", "processed_at", "text_preview", "score", "predicted_label",
                     "confidence_pct", "batch_id"))
 
