@@ -82,15 +82,24 @@ def latest_predictions(store: DataFrame, source: str = STREAM_SOURCE, sentiment=
                        batch=ALL, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """Latest ``limit`` filtered store rows, newest first (ties by ``event_id``).
 
-    ``orderBy().limit()`` plans as ``TakeOrderedAndProject``: each task keeps
-    its own top ``limit`` rows, so only ``limit x tasks`` rows are merged.
+    Two phases so the wide columns (``text``) are read only for the winners:
+    the top ``limit`` keys are chosen on ``(processed_at, event_id)`` alone
+    (``TakeOrderedAndProject``: each task keeps its own top ``limit``), then the
+    oldest winning timestamp becomes a literal lower bound pushed into the
+    Parquet scan (row groups older than it are skipped by their statistics) and
+    the winners are joined back by id - a broadcast of at most ``limit`` rows.
     """
-    rows = (filter_predictions(store, source, sentiment, score, batch)
-            .orderBy(*latest_order()).limit(limit))
+    filtered = filter_predictions(store, source, sentiment, score, batch)
+    top = filtered.select("event_id", "processed_at").orderBy(*latest_order()).limit(limit)
+    cutoff = top.agg(F.min("processed_at")).first()[0]
+    narrowed = filtered if cutoff is None else filtered.where(F.col("processed_at") >= F.lit(cutoff))
+    keys = F.broadcast(top.select(F.col("event_id").alias("_id"), F.col("processed_at").alias("_ts")))
+    rows = (narrowed.join(keys, (narrowed.event_id == keys._id) & (narrowed.processed_at == keys._ts), "inner")
+            .drop("_id", "_ts"))
     return prepare(rows).select(
         "event_id", "processed_at", "text_preview", "text", "score", "prediction",
         "predicted_label", "probability_values",
-        percent("confidence").alias("confidence_pct"), "batch_id", "source")
+        percent("confidence").alias("confidence_pct"), "batch_id", "source").orderBy(*latest_order())
 
 
 # ------------------------------------------------------------ predicates
@@ -175,6 +184,35 @@ def confidence_histogram(frame: DataFrame) -> DataFrame:
             .orderBy("bin"))
 
 
+# Grouping sets of the fused dashboard scan, by name.
+DASHBOARD_SETS = (("sentiment", ("predicted_label",)), ("score", ("score",)),
+                  ("batch", ("batch_id",)), ("score_sentiment", ("score", "predicted_label")))
+
+
+def dashboard_counts(frame: DataFrame) -> DataFrame:
+    """Sentiment, score, batch and score x sentiment counts in ONE scan and ONE shuffle.
+
+    ``GROUPING SETS`` replaces four separate aggregations over the store.  A row
+    of a set is dropped when one of that set's own keys is null (the per-chart
+    null-key rule); ``grouping_id`` tells a data null from an absent key.
+    """
+    dims = ["predicted_label", "score", "batch_id"]
+    sets = [list(cols) for _, cols in DASHBOARD_SETS]
+    agg = frame.groupingSets(sets, *dims).agg(F.count(F.lit(1)).alias("count"),
+                                              F.grouping_id().alias("_gid"))
+    name = None
+    keep = None
+    for set_name, cols in DASHBOARD_SETS:
+        gid = sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in cols)
+        cond = F.col("_gid") == F.lit(gid)
+        name = F.when(cond, F.lit(set_name)) if name is None else name.when(cond, F.lit(set_name))
+        nn = cond
+        for c in cols:
+            nn = nn & F.col(c).isNotNull()
+        keep = nn if keep is None else keep | nn
+    return agg.where(keep).select(name.alias("grouping"), *dims, "count")
+
+
 def score_by_sentiment(frame: DataFrame) -> DataFrame:
     return (frame.where(F.col("score").isNotNull() & F.col("predicted_label").isNotNull())
             .groupBy("score", "predicted_label").agg(F.count(F.lit(1)).alias("count"))

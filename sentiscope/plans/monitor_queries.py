@@ -367,3 +367,18 @@ UNION ALL SELECT 'streaming_batch_summary', 6, 'Latest batch ID', COALESCE(CAST(
 @register("report_summary", REPORT_SQL, ("predictions",))
 def q_report_summary(spark, sf):
     return report_summary(_analytics(spark, sf))
+
+
+@register("dashboard_counts", _sql("""
+SELECT CASE GROUPING_ID(predicted_label, score, batch_id) WHEN 3 THEN 'sentiment' WHEN 5 THEN 'score'
+            WHEN 6 THEN 'batch' WHEN 1 THEN 'score_sentiment' END AS grouping,
+       predicted_label, score, batch_id, count(*) AS count
+FROM analytics
+GROUP BY GROUPING SETS ((predicted_label), (score), (batch_id), (score, predicted_label))
+HAVING (GROUPING_ID(predicted_label, score, batch_id) = 3 AND predicted_label IS NOT NULL)
+    OR (GROUPING_ID(predicted_label, score, batch_id) = 5 AND score IS NOT NULL)
+    OR (GROUPING_ID(predicted_label, score, batch_id) = 6 AND batch_id IS NOT NULL)
+    OR (GROUPING_ID(predicted_label, score, batch_id) = 1 AND score IS NOT NULL AND predicted_label IS NOT NULL)
+"""), ("predictions",))
+def q_dashboard_counts(spark, sf):
+    return M.dashboard_counts(_analytics(spark, sf))
