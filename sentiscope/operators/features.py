@@ -18,9 +18,20 @@ NOUN_RULES = (("s", ""), ("ses", "s"), ("xes", "x"), ("zes", "z"), ("ches", "ch"
               ("shes", "sh"), ("men", "man"), ("ies", "y"))
 
 
+def explode_terms(docs: DataFrame, doc: str, tokens: str, alias: str = "term") -> DataFrame:
+    """``(doc, term)`` rows of a token-array column.
+
+    ``explode_outer`` + a null filter instead of ``explode``: for ``explode`` the
+    optimizer infers ``size(tokens) > 0`` and pushes it below the projection,
+    which inlines (and so recomputes) the whole tokenisation expression in the
+    scan filter.
+    """
+    return docs.select(doc, F.explode_outer(tokens).alias(alias)).where(F.col(alias).isNotNull())
+
+
 def doc_terms(docs: DataFrame, doc: str, tokens: str) -> DataFrame:
     """``(doc, term, tf)``: per-document term counts."""
-    return (docs.select(doc, F.explode(tokens).alias("term"))
+    return (explode_terms(docs, doc, tokens)
             .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -131,8 +142,9 @@ def lemmatize_tokens(docs: DataFrame, doc: str, tokens: str, lemmas: DataFrame,
     With ``outer`` a document without tokens keeps one row with null position so
     that :func:`join_lemmas` returns an empty string for it.
     """
-    explode = F.posexplode_outer if outer else F.posexplode
-    exploded = docs.select(doc, explode(tokens).alias("pos", "token"))
+    exploded = docs.select(doc, F.posexplode_outer(tokens).alias("pos", "token"))
+    if not outer:
+        exploded = exploded.where(F.col("pos").isNotNull())
     lem = lemmas.select(F.col("term").alias("token"), "lemma")
     return (exploded.join(lem, "token", "left")
             .select(doc, "pos", "token", F.coalesce("lemma", "token").alias("lemma")))

@@ -76,7 +76,7 @@ pos AS (SELECT doc_id, g.pos - 1 AS pos, t[g.pos] AS token
 
 def _lemmatized(spark, sf):
     docs = labelled(spark, sf).select("doc_id", X.clean_tokens("text").alias("tokens"))
-    lex = docs.select(F.explode("tokens").alias("term"))
+    lex = FE.explode_terms(docs, "doc_id", "tokens").select("term")
     return FE.lemmatize_tokens(docs, "doc_id", "tokens", FE.noun_lemma_table(lex))
 
 
@@ -97,7 +97,7 @@ GROUP BY ct.doc_id
 """, ("labelled",))
 def q_clean_text_lemmatized(spark, sf):
     docs = labelled(spark, sf).select("doc_id", X.clean_tokens("text").alias("tokens"))
-    lex = docs.select(F.explode("tokens").alias("term"))
+    lex = FE.explode_terms(docs, "doc_id", "tokens").select("term")
     lem = FE.lemmatize_tokens(docs, "doc_id", "tokens", FE.noun_lemma_table(lex), outer=True)
     return FE.join_lemmas(lem, "doc_id")
 
