@@ -190,3 +190,32 @@ def q_parse_events(spark, sf):
 
     msgs = labelled(spark, sf).select("doc_id", message_payload().alias("value"))
     return parse_messages(msgs, keep=("doc_id",))
+
+
+@register("scan_reviews_strict")
+def q_scan_reviews_strict(spark, sf):
+    """Reviews written as multi-line CSV to the scratch folder, ingested by the strict scan."""
+    import uuid
+
+    from sentiscope.session import scratch_path
+    from sentiscope.sources import files
+
+    base = scratch_path(spark, f"csv-{uuid.uuid4().hex[:12]}")
+    (reviews(spark, sf).write.mode("overwrite").option("header", True)
+     .option("quote", '"').option("escape", '"').csv(f"{base}/csv"))
+    strict = files.ingest_strict(spark, f"{base}/csv", f"{base}/parquet")
+    return P.clean_reviews(strict).select("doc_id", "text", "score")
+
+
+@register("scan_jsonl")
+def q_scan_jsonl(spark, sf):
+    """The exported test split read back through the JSON-lines scan."""
+    import uuid
+
+    from sentiscope.session import scratch_path
+    from sentiscope.sources import files
+
+    path = scratch_path(spark, f"jsonl-{uuid.uuid4().hex[:12]}")
+    _, _, test = P.split_frames(labelled(spark, sf))
+    files.export_jsonl(test, path)
+    return files.scan_jsonl(spark, path)

@@ -58,3 +58,49 @@ def report_summary(frame: DataFrame) -> DataFrame:
     ).withColumn("section", F.lit("streaming_batch_summary"))
     return (execu_rows.unionByName(kpi_rows)
             .select("section", F.col("position").cast("int"), "metric", "value"))
+
+
+def select_existing(frame: DataFrame, columns) -> DataFrame:
+    """Keep only the requested columns that the frame has (schema-tolerant projection)."""
+    return frame.select(*[c for c in columns if c in frame.columns])
+
+
+def report_table(frame: DataFrame, columns=None, max_rows: int = 20, order=None) -> DataFrame:
+    """A report table: optional column subset, every cell as a string, first ``max_rows`` rows.
+
+    ``order`` (columns or Column expressions) fixes which rows are first; the
+    limit is the feature of a report table, not a way to cut work.
+    """
+    keep = [c for c in columns if c in frame.columns] if columns is not None else frame.columns
+    if order is not None:
+        frame = frame.orderBy(*order)
+    return frame.limit(max_rows).select(*[F.col(c).cast("string").alias(c) for c in keep])
+
+
+def report_tables(analytics: DataFrame, latest: DataFrame) -> dict[str, DataFrame]:
+    """All data tables of the report, keyed by section name."""
+    from sentiscope.operators import monitor as M
+
+    low = M.low_confidence(analytics).withColumn("confidence", F.round(F.col("confidence") * 100.0, 2))
+    return {
+        "summary": report_summary(analytics),
+        "sentiment_distribution": report_table(M.sentiment_summary(analytics), max_rows=10),
+        "score_distribution": report_table(M.score_distribution(analytics), max_rows=10),
+        "confidence_by_sentiment": report_table(M.confidence_by_sentiment(analytics), max_rows=10),
+        "score_by_sentiment": report_table(M.score_sentiment_crosstab(analytics), max_rows=20),
+        "latest_batches": report_table(M.batch_summary(analytics), max_rows=10,
+                                       order=[F.col("batch_id").desc()]),
+        "low_confidence_samples": report_table(
+            low, ["processed_at", "score", "predicted_label", "confidence", "batch_id"], 20,
+            order=list(M.latest_order())),
+        "latest_predictions": report_table(
+            latest.withColumn("text_preview", F.substring("text_preview", 1, 90)),
+            ["processed_at", "text_preview", "score", "predicted_label", "confidence_pct", "batch_id"], 20,
+            order=list(M.latest_order())),
+    }
+
+
+def write_report(tables: dict[str, DataFrame], path: str) -> None:
+    """Each report table as a CSV folder with header (all tables are row-bounded)."""
+    for name, table in tables.items():
+        table.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path.rstrip('/')}/{name}")

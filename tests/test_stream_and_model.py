@@ -116,3 +116,30 @@ def test_jsonl_export_and_scan(spark, tmp_dir):
     assert back.count() == test.count()
     assert set(back.columns) == {"text", "score", "label"}
     assert os.path.isdir(f"{tmp_dir}/test_jsonl")
+
+
+def test_train_and_save_job(spark, tmp_dir):
+    from sentiscope.plans.train import train_and_save
+
+    model, path, metrics = train_and_save(labelled(spark, SF_SMALL), tmp_dir + "/models", SMALL, version="t1")
+    assert path.endswith("/v=t1") and os.path.isdir(path)
+    for split in ("val", "test"):
+        m = metrics[split]
+        assert 0.0 <= m["accuracy"] <= 1.0 and 0.0 <= m["macro_f1"] <= 1.0
+        assert set(m) >= {"positive_f1", "negative_f1", "neutral_f1"}
+
+
+def test_report_tables_and_trial_log_writer(spark, tmp_dir):
+    from sentiscope.operators import monitor as M
+    from sentiscope.plans import report, search
+    from sentiscope.sources.fixtures import predictions
+
+    store = predictions(spark, SF_SMALL)
+    tables = report.report_tables(M.analytics_scan(store), M.latest_predictions(store))
+    report.write_report(tables, tmp_dir + "/report")
+    back = spark.read.option("header", True).csv(tmp_dir + "/report/low_confidence_samples")
+    assert back.columns == ["processed_at", "score", "predicted_label", "confidence", "batch_id"]
+    assert 0 < back.count() <= 20
+    log = spark.createDataFrame([(0, 0.5)], "step int, macro_f1 double")
+    search.write_trial_log(log, tmp_dir + "/trials")
+    assert spark.read.option("header", True).csv(tmp_dir + "/trials").count() == 1
