@@ -33,15 +33,16 @@ def exact_median(df: DataFrame, col: str) -> float | None:
             accuracy)).first()[0]
     else:
         a, b = lo, hi
-    for attempt in range(2):
-        below_band = values.agg(
+    if n <= _BAND_ROWS:
+        below = 0                   # the band is the whole column
+    else:
+        counts = values.agg(
             F.count_if(F.col("v") < F.lit(a)).alias("below"),
             F.count_if(F.col("v").between(F.lit(a), F.lit(b))).alias("inside"),
         ).first()
-        below, inside = int(below_band["below"]), int(below_band["inside"])
-        if below < m1 and below + inside >= m2:
-            break
-        a, b = lo, hi               # sketch bracket missed: widen to the full range
+        below, inside = int(counts["below"]), int(counts["inside"])
+        if not (below < m1 and below + inside >= m2):
+            a, b, below = lo, hi, 0     # sketch bracket missed the middle: use the full range
     band = (values.where(F.col("v").between(F.lit(a), F.lit(b)))
             .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
     # the band is bounded by _BAND_ROWS rows, so one ordered window over it is cheap

@@ -2,7 +2,7 @@
 
 Model outputs depend on the optimiser, so ``predict_batch``, ``model_metrics``
 and the trial-log queries have no SQL oracle (rows-only check); their behaviour
-is covered by ``tests/test_model.py`` and ``tests/test_tuning.py``.
+is covered by ``tests/test_stream_and_model.py`` and ``tests/test_literal_fixtures.py``.
 ``decode_prediction`` is relational and has an oracle.
 """
 
@@ -27,6 +27,7 @@ QUERY_SPACE = {"vocab_size": [1000, 2000, 4000], "min_df": [2, 3], "max_iter": [
                "reg_param": [0.0, 0.0001, 0.001]}
 QUERY_STEPS = 3
 _LOGS: dict = {}
+MAX_CLASSES = 10_000
 
 
 def _splits(spark, sf):
@@ -77,7 +78,10 @@ FROM scored s LEFT JOIN o ON s.prediction = o.idx
 """, ("labelled", "scored"))
 def q_decode_prediction(spark, sf):
     order = FE.label_index_table(labelled(spark, sf)).orderBy("label_index")
-    labels = [r["label"] for r in order.limit(1000).collect()]  # one row per class
+    rows = order.limit(MAX_CLASSES + 1).collect()  # one row per class, bounded
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} labels")
+    labels = [r["label"] for r in rows]
     return scored(spark, sf).select("event_id", "prediction",
                                     decode_prediction("prediction", labels).alias("predicted_label"))
 
