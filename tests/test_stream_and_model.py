@@ -143,3 +143,17 @@ def test_report_tables_and_trial_log_writer(spark, tmp_dir):
     log = spark.createDataFrame([(0, 0.5)], "step int, macro_f1 double")
     search.write_trial_log(log, tmp_dir + "/trials")
     assert spark.read.option("header", True).csv(tmp_dir + "/trials").count() == 1
+
+
+def test_console_and_live_counts(spark, fitted, tmp_dir):
+    from sentiscope.streaming import live
+
+    _, _, test = P.split_frames(labelled(spark, SF_SMALL))
+    publish.publish_files(publish.prepare_messages(test), f"{tmp_dir}/messages", 2)
+    stream = scored_stream(sources.file_messages(spark, f"{tmp_dir}/messages"), fitted)
+    q = live.start_console(stream, f"{tmp_dir}/ckpt-console")
+    q.awaitTermination()
+    lq = live.start_live_counts(stream, f"{tmp_dir}/ckpt-live", query_name="live_test", refresh=None)
+    lq.awaitTermination()
+    counts = {r["sentiment"]: r["count"] for r in spark.table("live_test").collect()}
+    assert sum(counts.values()) == test.count()
