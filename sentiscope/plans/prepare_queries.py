@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sentiscope.catalog import register
 from sentiscope.functions.hashing import hash_fraction_sql
@@ -13,8 +12,6 @@ from sentiscope.sources.fixtures import labelled, message_payload, reviews
 U_SQL = hash_fraction_sql("doc_id", P.RANDOM_SEED)
 SPLIT_SQL = f"CASE WHEN {U_SQL} < 0.8 THEN 'train' WHEN {U_SQL} < 0.8 + 0.1 THEN 'val' ELSE 'test' END"
 RESUME_AT = 500
-MESSAGE_SCHEMA = T.StructType([T.StructField("text", T.StringType(), True),
-                               T.StructField("score", T.IntegerType(), True)])
 
 
 @register("scan_reviews", """

@@ -72,3 +72,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+def cluster_conf(input_bytes: int, executor_cores_total: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the input volume.
+
+    Shuffle partitions are sized so one post-shuffle partition is about
+    ``target_partition_bytes`` (never fewer than 2 per core); AQE then coalesces
+    small ones and splits skewed ones (a key holding a large share of the rows is
+    split into several tasks instead of one).  Scan splits are capped at the same
+    size so a task's input fits executor memory without spilling.
+    """
+    partitions = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
