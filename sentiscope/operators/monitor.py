@@ -227,15 +227,23 @@ def score_sentiment_crosstab(frame: DataFrame, sentiments=SENTIMENTS) -> DataFra
 
 
 def confidence_stats(frame: DataFrame) -> DataFrame:
-    """Mean / exact median / min / max confidence as percentages (2 dp) + low-confidence count."""
-    median = exact_median(frame, "confidence")
-    return frame.agg(
-        percent(F.avg("confidence")).alias("average_confidence"),
-        percent(F.lit(median).cast("double")).alias("median_confidence"),
-        percent(F.min("confidence")).alias("min_confidence"),
-        percent(F.max("confidence")).alias("max_confidence"),
-        F.count_if(F.col("confidence") < F.lit(LOW_CONFIDENCE_THRESHOLD)).alias("low_confidence_count"),
-    )
+    """Mean / exact median / min / max confidence as percentages (2 dp) + low-confidence count.
+
+    One aggregation pass gives every statistic but the median (and the median's
+    count / min / max); the exact median adds one bounded pass
+    (:func:`sentiscope.operators.stats.exact_median`).
+    """
+    conf = F.col("confidence")
+    row = frame.agg(F.avg(conf).alias("avg"), F.min(conf).alias("min"), F.max(conf).alias("max"),
+                    F.count(conf).alias("n"),
+                    F.count_if(conf < F.lit(LOW_CONFIDENCE_THRESHOLD)).alias("low")).first()
+    median = exact_median(frame, "confidence", (row["n"], row["min"], row["max"]))
+    spark = frame.sparkSession
+    one = spark.createDataFrame([(row["avg"], median, row["min"], row["max"], int(row["low"]))],
+                                "a double, md double, mn double, mx double, low long")
+    return one.select(percent("a").alias("average_confidence"), percent("md").alias("median_confidence"),
+                      percent("mn").alias("min_confidence"), percent("mx").alias("max_confidence"),
+                      F.col("low").alias("low_confidence_count"))
 
 
 def available_batches(frame: DataFrame) -> DataFrame:

@@ -15,13 +15,20 @@ from pyspark.sql import functions as F
 _BAND_ROWS = 250_000
 
 
-def exact_median(df: DataFrame, col: str) -> float | None:
-    """Exact (interpolated) median of the non-null values of ``col``."""
+def exact_median(df: DataFrame, col: str, stats: tuple | None = None) -> float | None:
+    """Exact (interpolated) median of the non-null values of ``col``.
+
+    ``stats`` = ``(count, min, max)`` of the non-null values when the caller has
+    already aggregated them (saves one pass).
+    """
     values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    head = values.agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    n = int(head["n"])
+    if stats is None:
+        r = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
+        stats = (r[0], r[1], r[2])
+    n = int(stats[0] or 0)
     if n == 0:
         return None
+    head = {"lo": float(stats[1]), "hi": float(stats[2])}
     m1 = (n + 1) // 2          # 1-based rank(s) of the middle value(s)
     m2 = n // 2 + 1 if n % 2 == 0 else m1
     accuracy = int(min(1_000_000, max(10_000, 4 * n // _BAND_ROWS)))

@@ -25,17 +25,23 @@ def _thousands(value: Column) -> Column:
 
 def report_summary(frame: DataFrame) -> DataFrame:
     """Rows ``(section, position, metric, value)`` of report sections 3 and 8."""
-    median = exact_median(frame, "confidence")
-    batches = monitor.batch_summary(frame)
     conf = F.col("confidence")
+    row = frame.agg(F.count(F.lit(1)).alias("total"), F.avg(conf).alias("avg"), F.min(conf).alias("min"),
+                    F.max(conf).alias("max"), F.count(conf).alias("n"),
+                    F.count_if(conf < F.lit(monitor.LOW_CONFIDENCE_THRESHOLD)).alias("low")).first()
+    median = exact_median(frame, "confidence", (row["n"], row["min"], row["max"]))
+    batches = monitor.batch_summary(frame)
     low_label = f"Low-confidence predictions below {monitor.LOW_CONFIDENCE_THRESHOLD * 100:.0f}%"
-    execu = frame.agg(
-        _thousands(F.count(F.lit(1))).alias("total"),
-        _pct_or_na(F.avg(conf)).alias("avg"),
-        _pct_or_na(F.lit(median).cast("double")).alias("median"),
-        _pct_or_na(F.min(conf)).alias("min"),
-        _pct_or_na(F.max(conf)).alias("max"),
-        _thousands(F.count_if(conf < F.lit(monitor.LOW_CONFIDENCE_THRESHOLD))).alias("low"),
+    one = frame.sparkSession.createDataFrame(
+        [(int(row["total"]), row["avg"], median, row["min"], row["max"], int(row["low"]))],
+        "total long, avg double, median double, min double, max double, low long")
+    execu = one.select(
+        _thousands(F.col("total")).alias("total"),
+        _pct_or_na(F.col("avg")).alias("avg"),
+        _pct_or_na(F.col("median")).alias("median"),
+        _pct_or_na(F.col("min")).alias("min"),
+        _pct_or_na(F.col("max")).alias("max"),
+        _thousands(F.col("low")).alias("low"),
     )
     execu_rows = execu.selectExpr(
         "stack(6, 1, 'Total predictions', total, 2, 'Average confidence', avg, "
