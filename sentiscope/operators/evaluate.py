@@ -68,10 +68,19 @@ def class_metrics(scored: DataFrame, classes=DEFAULT_CLASSES, **kw) -> DataFrame
     return out.withColumn("f1_score", f1).orderBy("class_index")
 
 
+def _fixed_order_mean(cols) -> "F.Column":
+    """Mean written as ``(c0 + c1 + ...) / k`` so the float result never depends on row order."""
+    total = None
+    for c in cols:
+        total = c if total is None else total + c
+    return total / F.lit(float(len(cols)))
+
+
 def macro_f1(scored: DataFrame, classes=DEFAULT_CLASSES, **kw) -> DataFrame:
     """Plain mean of F1 over *all* classes of the class list (absent class = 0)."""
-    m = class_metrics(scored, classes, **kw).where(F.col("class_index").isin(*[float(c) for c in classes]))
-    return m.agg((F.sum("f1_score") / F.lit(float(len(classes)))).alias("macro_f1"))
+    m = class_metrics(scored, classes, **kw)
+    f1 = [F.max(F.when(F.col("class_index") == F.lit(float(c)), F.col("f1_score"))) for c in classes]
+    return m.agg(_fixed_order_mean([F.coalesce(x, F.lit(0.0)) for x in f1]).alias("macro_f1"))
 
 
 def metrics_record(scored: DataFrame, labels=("positive", "negative", "neutral"), **kw) -> DataFrame:
@@ -82,14 +91,14 @@ def metrics_record(scored: DataFrame, labels=("positive", "negative", "neutral")
     """
     classes = tuple(float(i) for i in range(len(labels)))
     m = class_metrics(scored, classes, **kw)
-    listed = F.col("class_index").isin(*classes)
-    aggs = [(F.sum(F.when(listed, F.col("f1_score"))) / F.lit(float(len(classes)))).alias("macro_f1")]
+    aggs = []
     for i, name in enumerate(labels):
         for metric, col in (("precision", "precision"), ("recall", "recall"), ("f1", "f1_score")):
             aggs.append(F.max(F.when(F.col("class_index") == F.lit(float(i)), F.col(col)))
                         .alias(f"{name}_{metric}"))
-    # diagonal and total over every class, listed or not
+    # diagonal and total over every class, listed or not (integer sums: order-free)
     totals = [F.sum("true_positive").alias("_tp"), F.sum("actual_total").alias("_n")]
     rec = m.agg(*aggs, *totals)
     acc = F.coalesce(F.try_divide(F.col("_tp").cast("double"), F.col("_n").cast("double")), F.lit(0.0))
-    return rec.withColumn("accuracy", acc).drop("_tp", "_n")
+    macro = _fixed_order_mean([F.col(f"{name}_f1") for name in labels])
+    return rec.withColumn("accuracy", acc).withColumn("macro_f1", macro).drop("_tp", "_n")

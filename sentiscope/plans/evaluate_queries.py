@@ -65,12 +65,19 @@ def q_accuracy(spark, sf):
     return V.accuracy(scored(spark, sf))
 
 
-@register("macro_f1", _with(ALL, "SELECT sum(f1_score) / 3.0 AS macro_f1 FROM mf"), ("scored",))
+MACRO_SQL = """
+SELECT (COALESCE(max(CASE WHEN class_index = 0.0 THEN f1_score END), 0.0)
+        + COALESCE(max(CASE WHEN class_index = 1.0 THEN f1_score END), 0.0)
+        + COALESCE(max(CASE WHEN class_index = 2.0 THEN f1_score END), 0.0)) / 3.0 AS macro_f1 FROM mf
+"""
+
+
+@register("macro_f1", _with(ALL, MACRO_SQL), ("scored",))
 def q_macro_f1(spark, sf):
     return V.macro_f1(scored(spark, sf))
 
 
-@register("macro_f1_absent", _with(ABSENT, "SELECT sum(f1_score) / 3.0 AS macro_f1 FROM mf"), ("scored",))
+@register("macro_f1_absent", _with(ABSENT, MACRO_SQL), ("scored",))
 def q_macro_f1_absent(spark, sf):
     return V.macro_f1(scored(spark, sf).where(F.col("prediction") != 2))
 
@@ -81,7 +88,8 @@ def _record_sql(src: str) -> str:
         for metric, col in (("precision", "precision"), ("recall", "recall"), ("f1", "f1_score")):
             cols.append(f"max(CASE WHEN class_index = {float(i)} THEN {col} END) AS {name}_{metric}")
     return _with(src, f"""
-SELECT sum(f1_score) FILTER (WHERE class_index IN (0.0, 1.0, 2.0)) / 3.0 AS macro_f1, {", ".join(cols)},
+SELECT (max(CASE WHEN class_index = 0.0 THEN f1_score END) + max(CASE WHEN class_index = 1.0 THEN f1_score END)
+        + max(CASE WHEN class_index = 2.0 THEN f1_score END)) / 3.0 AS macro_f1, {", ".join(cols)},
        COALESCE(CAST(sum(true_positive) AS DOUBLE) / NULLIF(sum(actual_total), 0), 0.0) AS accuracy
 FROM mf""")
 
