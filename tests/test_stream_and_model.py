@@ -157,3 +157,21 @@ def test_console_and_live_counts(spark, fitted, tmp_dir):
     lq.awaitTermination()
     counts = {r["sentiment"]: r["count"] for r in spark.table("live_test").collect()}
     assert sum(counts.values()) == test.count()
+
+
+def test_compact_batches_keeps_rows_and_reduces_files(spark, tmp_dir):
+    import glob
+
+    path = f"{tmp_dir}/store"
+    from sentiscope.sources.fixtures import predictions
+
+    store = predictions(spark, SF_SMALL).where("batch_id <= 3")
+    ST.write_partitions(store.repartition(8), path)
+    before = ST.read_store(spark, path).select("event_id", "batch_id", "predicted_label")
+    want = sorted(map(tuple, before.collect()))
+    n_before = len(glob.glob(f"{path}/source=spark_structured_streaming/batch_id=*/*.parquet"))
+    assert ST.compact_batches(spark, path, "spark_structured_streaming", 3) == len(want)
+    after = ST.read_store(spark, path).select("event_id", "batch_id", "predicted_label")
+    assert sorted(map(tuple, after.collect())) == want
+    n_after = len(glob.glob(f"{path}/source=spark_structured_streaming/batch_id=*/*.parquet"))
+    assert n_after < n_before
