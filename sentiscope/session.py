@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -98,3 +98,19 @@ def cluster_conf(input_bytes: int, executor_cores_total: int,
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
+
+
+def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Give CPU-heavy row work (tokenising long texts) at least ``per_core`` tasks per core.
+
+    A small input can arrive in fewer partitions than the cluster has cores - a
+    Parquet file with a single row group is read by one task however many splits
+    it is cut into - and all text work then runs on one core.  Such an input is
+    round-robin repartitioned to ``per_core x defaultParallelism``.  A large input
+    already has many more splits than cores, so it is returned unchanged and no
+    text is shuffled.
+    """
+    target = per_core * df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

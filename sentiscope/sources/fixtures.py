@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentiscope.functions.labels import score_to_label
+from sentiscope.session import spread
 from sentiscope.sources.tables import table
 
 # Fixed values of the store.
@@ -61,8 +62,10 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 
 # --------------------------------------------------------------- labelled
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated reviews.  Text work downstream is CPU-heavy, so a source read in
+    fewer partitions than cores is spread first (see ``session.spread``)."""
     sc = F.expr("try_cast(trim(Score) AS INT)")
-    return (
+    return spread(
         reviews(spark, sf_dir)
         .select("doc_id", F.col("Text").alias("text"), sc.alias("score"))
         .where(F.col("score").between(1, 5))
