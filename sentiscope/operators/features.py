@@ -77,11 +77,15 @@ def idf(vocab: DataFrame, n_docs) -> DataFrame:
                         F.log((F.lit(n_docs).cast("double") + 1.0) / (F.col("df") + 1.0)).alias("idf"))
 
 
-def tfidf(counts: DataFrame, idf_table: DataFrame, doc: str) -> DataFrame:
-    """``count * idf`` per (doc, vocabulary term)."""
-    w = F.broadcast(idf_table.select("term_index", "idf"))
-    return counts.join(w, "term_index", "inner").select(
-        doc, "term_index", "term", (F.col("count") * F.col("idf")).alias("tfidf"))
+def tfidf(terms: DataFrame, idf_table: DataFrame, doc: str) -> DataFrame:
+    """``tf * idf`` per (doc, vocabulary term), from ``doc_terms`` in one broadcast join.
+
+    The idf table has one row per vocabulary term (at most ``vocab_size``), so
+    restricting to the vocabulary and weighting happen in the same join.
+    """
+    w = F.broadcast(idf_table.select("term", "term_index", "idf"))
+    return terms.join(w, "term", "inner").select(
+        doc, "term_index", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def tfidf_smooth_l2(docs: DataFrame, doc: str, tokens: str) -> DataFrame:

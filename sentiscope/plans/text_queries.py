@@ -191,7 +191,7 @@ FROM dt JOIN voc ON dt.term = voc.term JOIN i ON i.term_index = voc.term_index
 def q_tfidf(spark, sf):
     terms, vocab = _vocab(spark, sf)
     n_docs = labelled(spark, sf).select(F.count(F.lit(1))).scalar()
-    out = FE.tfidf(FE.term_counts(terms, vocab, "doc_id"), FE.idf(vocab, n_docs), "doc_id")
+    out = FE.tfidf(terms, FE.idf(vocab, n_docs), "doc_id")
     return out.withColumn("tfidf", F.round("tfidf", 12))
 
 
