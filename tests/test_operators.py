@@ -110,3 +110,28 @@ def test_lemma_table_rules(spark):
     got = {r["term"]: r["lemma"] for r in noun_lemma_table(lex).collect()}
     assert got["dogs"] == "dog" and got["boxes"] == "box" and got["berries"] == "berry"
     assert got["glass"] == "glass" and got["dog"] == "dog"
+
+
+def _bin_reference(v):
+    """Right-closed bins over (0, .5, .6, .7, .8, .9, 1.0] with the lowest edge included."""
+    if v is None or v < 0.0 or v > 1.0:
+        return None
+    for i, hi in enumerate((0.5, 0.6, 0.7, 0.8, 0.9, 1.0)):
+        if v <= hi:
+            return i
+    return None
+
+
+def test_confidence_bin_matches_reference_rule(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.one_of(st.none(), st.floats(min_value=-0.5, max_value=1.5, allow_nan=False),
+                              st.sampled_from([0.0, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])), min_size=1, max_size=60))
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, c double")
+        got = {r["i"]: r["b"] for r in df.select("i", M.confidence_bin(F.col("c")).alias("b")).collect()}
+        assert got == {i: _bin_reference(v) for i, v in enumerate(values)}
+
+    check()

@@ -175,3 +175,36 @@ def test_compact_batches_keeps_rows_and_reduces_files(spark, tmp_dir):
     assert sorted(map(tuple, after.collect())) == want
     n_after = len(glob.glob(f"{path}/source=spark_structured_streaming/batch_id=*/*.parquet"))
     assert n_after < n_before
+
+
+def test_cleaned_stream_equals_batch_clean(spark, tmp_dir):
+    from sentiscope.functions.text import clean_text
+    from sentiscope.streaming.predict import cleaned_stream
+
+    _, _, test = P.split_frames(labelled(spark, SF_SMALL))
+    msgs = publish.prepare_messages(test)
+    publish.publish_files(msgs, f"{tmp_dir}/messages", 2)
+    q = (cleaned_stream(sources.file_messages(spark, f"{tmp_dir}/messages")).writeStream
+         .format("memory").queryName("cleaned_test").outputMode("append")
+         .option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("cleaned_test")
+    want = parse_messages(msgs).select(clean_text("text").alias("clean_text"), "score")
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+
+
+def test_cli_train_publish_stream_report(spark, tmp_dir, monkeypatch):
+    import glob
+
+    from sentiscope import cli
+    from sentiscope.plans import model as model_mod
+
+    monkeypatch.setattr(model_mod, "FINAL_CONFIG", SMALL)
+    cli.main(["train", "--data", SF_SMALL, "--models", f"{tmp_dir}/models", "--version", "c1"])
+    cli.main(["publish", "--data", SF_SMALL, "--out", f"{tmp_dir}/msgs", "--files", "2"])
+    cli.main(["stream", "--model", f"{tmp_dir}/models/v=c1", "--messages", f"{tmp_dir}/msgs",
+              "--store", f"{tmp_dir}/store", "--checkpoint", f"{tmp_dir}/ckpt", "--once"])
+    cli.main(["report", "--store", f"{tmp_dir}/store", "--out", f"{tmp_dir}/report"])
+    assert ST.read_store(spark, f"{tmp_dir}/store").count() > 0
+    assert glob.glob(f"{tmp_dir}/report/summary/*.csv")
