@@ -382,3 +382,20 @@ HAVING (GROUPING_ID(predicted_label, score, batch_id) = 3 AND predicted_label IS
 """), ("predictions",))
 def q_dashboard_counts(spark, sf):
     return M.dashboard_counts(_analytics(spark, sf))
+
+
+@register("store_roundtrip")
+def q_store_roundtrip(spark, sf):
+    """Connection-test documents appended to a scratch store, then fetched back by id."""
+    import uuid
+
+    from sentiscope.session import scratch_path
+    from sentiscope.sources import store as ST
+
+    path = scratch_path(spark, f"store-{uuid.uuid4().hex[:12]}")
+    docs = predictions(spark, sf).where(F.col("source") == F.lit(TEST_SOURCE)).drop("text")
+    ST.insert_documents(docs, path)
+    back = ST.read_store(spark, path)
+    ids = docs.select(F.col("event_id").alias("_id"))
+    return back.join(ids, back.event_id == ids._id, "left_semi").select(
+        "event_id", "source", "batch_id", "text", "score", "predicted_label")
