@@ -384,7 +384,10 @@ def q_dashboard_counts(spark, sf):
     return M.dashboard_counts(_analytics(spark, sf))
 
 
-@register("store_roundtrip")
+@register("store_roundtrip", f"""
+SELECT event_id, source, batch_id, CAST(NULL AS VARCHAR) AS text, score, predicted_label
+FROM predictions WHERE source = '{TEST_SOURCE}'
+""", ("predictions",))
 def q_store_roundtrip(spark, sf):
     """Connection-test documents appended to a scratch store, then fetched back by id."""
     import uuid

@@ -189,7 +189,10 @@ def q_parse_events(spark, sf):
     return parse_messages(msgs, keep=("doc_id",))
 
 
-@register("scan_reviews_strict")
+@register("scan_reviews_strict", """
+SELECT doc_id, Text AS text, CAST(TRIM(Score) AS INT) AS score FROM reviews
+WHERE Text IS NOT NULL AND TRIM(Score) IS NOT NULL AND regexp_matches(TRIM(Score), '^[1-5]$')
+""", ("reviews",))
 def q_scan_reviews_strict(spark, sf):
     """Reviews written as multi-line CSV to the scratch folder, ingested by the strict scan."""
     import uuid
@@ -199,12 +202,16 @@ def q_scan_reviews_strict(spark, sf):
 
     base = scratch_path(spark, f"csv-{uuid.uuid4().hex[:12]}")
     (reviews(spark, sf).write.mode("overwrite").option("header", True)
-     .option("quote", '"').option("escape", '"').csv(f"{base}/csv"))
+     .option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(f"{base}/csv"))
     strict = files.ingest_strict(spark, f"{base}/csv", f"{base}/parquet")
     return P.clean_reviews(strict).select("doc_id", "text", "score")
 
 
-@register("scan_jsonl")
+@register("scan_jsonl", f"""
+SELECT text, score, label FROM labelled WHERE {SPLIT_SQL} = 'test'
+""", ("labelled",))
 def q_scan_jsonl(spark, sf):
     """The exported test split read back through the JSON-lines scan."""
     import uuid
