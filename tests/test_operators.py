@@ -135,3 +135,20 @@ def test_confidence_bin_matches_reference_rule(spark):
         assert got == {i: _bin_reference(v) for i, v in enumerate(values)}
 
     check()
+
+
+def test_latest_predictions_two_phase_handles_timestamp_ties(spark):
+    import datetime as dt
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, base + dt.timedelta(seconds=i // 7), "spark_structured_streaming", "positive", 5,
+             [0.7, 0.2, 0.1], i // 10, "t", "t") for i in range(200)]
+    df = spark.createDataFrame(rows, "event_id long, processed_at timestamp, source string, "
+                                     "predicted_label string, score int, probability array<double>, "
+                                     "batch_id long, text string, text_preview string").withColumn(
+        "prediction", F.lit(0.0))
+    for limit in (1, 5, 7, 13, 200, 500):
+        got = [r["event_id"] for r in M.latest_predictions(df, limit=limit).collect()]
+        want = [r["event_id"] for r in df.orderBy(F.col("processed_at").desc(), F.col("event_id").desc())
+                .limit(limit).collect()]
+        assert got == want
