@@ -208,3 +208,24 @@ def test_cli_train_publish_stream_report(spark, tmp_dir, monkeypatch):
     cli.main(["report", "--store", f"{tmp_dir}/store", "--out", f"{tmp_dir}/report"])
     assert ST.read_store(spark, f"{tmp_dir}/store").count() > 0
     assert glob.glob(f"{tmp_dir}/report/summary/*.csv")
+
+
+def test_smooth_tfidf_baseline_matches_relational_twin(spark):
+    from sentiscope.functions.text import clean_tokens
+    from sentiscope.operators.features import tfidf_smooth_l2
+
+    lab = labelled(spark, SF_SMALL)
+    model = MD.fit_smooth_tfidf_baseline(lab, max_iter=3)
+    tokens_stage, cv = model.stages[0], model.stages[1]
+    # the SQL token stage equals the column expression
+    a = tokens_stage.transform(lab).select("doc_id", "clean_tokens")
+    b = lab.select("doc_id", F.filter(clean_tokens("text"), lambda w: F.length(w) >= 2).alias("clean_tokens"))
+    assert a.exceptAll(b).count() == 0
+    # feature vectors equal the relational smooth-IDF / L2 weights
+    vocab = cv.vocabulary
+    feats = model.transform(lab).select("doc_id", "features").collect()
+    got = {(r["doc_id"], vocab[i]): v for r in feats for i, v in zip(r["features"].indices, r["features"].values)}
+    want = {(r["doc_id"], r["term"]): r["weight"] for r in tfidf_smooth_l2(b, "doc_id", "clean_tokens").collect()}
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert model.transform(lab).select("prediction").count() == lab.count()
