@@ -91,8 +91,12 @@ def latest_predictions(store: DataFrame, source: str = STREAM_SOURCE, sentiment=
     """
     filtered = filter_predictions(store, source, sentiment, score, batch)
     top = filtered.select("event_id", "processed_at").orderBy(*latest_order()).limit(limit)
-    cutoff = top.agg(F.min("processed_at")).first()[0]
-    narrowed = filtered if cutoff is None else filtered.where(F.col("processed_at") >= F.lit(cutoff))
+    # the cutoff travels as the column's own string form and is cast back to the
+    # column's type, so no Python / session time-zone conversion can shift it
+    ts_type = filtered.schema["processed_at"].dataType.simpleString()
+    cutoff = top.agg(F.min("processed_at").cast("string")).first()[0]
+    narrowed = (filtered if cutoff is None
+                else filtered.where(F.col("processed_at") >= F.lit(cutoff).cast(ts_type)))
     keys = F.broadcast(top.select(F.col("event_id").alias("_id"), F.col("processed_at").alias("_ts")))
     rows = (narrowed.join(keys, (narrowed.event_id == keys._id) & (narrowed.processed_at == keys._ts), "inner")
             .drop("_id", "_ts"))
