@@ -11,6 +11,7 @@ of the class list appears, with zero metrics when it has no true positive
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,3 +103,25 @@ def metrics_record(scored: DataFrame, labels=("positive", "negative", "neutral")
     acc = F.coalesce(F.try_divide(F.col("_tp").cast("double"), F.col("_n").cast("double")), F.lit(0.0))
     macro = _fixed_order_mean([F.col(f"{name}_f1") for name in labels])
     return rec.withColumn("accuracy", acc).withColumn("macro_f1", macro).drop("_tp", "_n")
+
+
+class MacroF1Evaluator(Evaluator):
+    """Spark ML ``Evaluator`` for the plain macro-F1 over a fixed class list.
+
+    ``MulticlassClassificationEvaluator(metricName="f1")`` is the *weighted* F1;
+    this one averages per-class F1 equally, absent classes counting 0, so it can
+    drive ``TrainValidationSplit`` / ``CrossValidator`` with the project's metric.
+    """
+
+    def __init__(self, labelCol: str = "label_index", predictionCol: str = "prediction",
+                 classes=DEFAULT_CLASSES):
+        super().__init__()
+        self.labelCol, self.predictionCol, self.classes = labelCol, predictionCol, tuple(classes)
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        scored = dataset.select(F.col(self.labelCol).cast("double").alias("label_index"),
+                                F.col(self.predictionCol).cast("double").alias("prediction"))
+        return float(macro_f1(scored, self.classes).first()["macro_f1"])
+
+    def isLargerBetter(self) -> bool:
+        return True

@@ -85,3 +85,12 @@ def test_temperature_schedule_and_memoisation(spark):
 def test_acceptance_probability():
     assert TU.acceptance_probability(0.6, 0.61, 0.01) == 1.0
     assert TU.acceptance_probability(0.6, 0.59, 0.01) == pytest.approx(2.718281828 ** -1, rel=1e-6)
+
+
+def test_macro_f1_evaluator(spark):
+    cells = {(0, 0): 691, (0, 1): 43, (0, 2): 27, (1, 0): 50, (1, 1): 90, (1, 2): 13,
+             (2, 0): 44, (2, 1): 20, (2, 2): 22}
+    ev = V.MacroF1Evaluator()
+    got = ev.evaluate(_scored_from_cells(spark, cells))
+    assert got == pytest.approx((0.8939197930142303 + 0.5882352941176471 + 0.2972972972972973) / 3)
+    assert ev.isLargerBetter()
