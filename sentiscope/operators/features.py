@@ -40,7 +40,26 @@ def term_stats(terms: DataFrame) -> DataFrame:
     return terms.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
 
 
-def vocabulary(terms: DataFrame, vocab_size: int, min_df: float = 1.0, n_docs=None) -> DataFrame:
+def term_stats_from_tokens(docs: DataFrame, tokens: str) -> DataFrame:
+    """``term, tf, df`` straight from token arrays, without a ``(doc, term)`` shuffle.
+
+    A document's tokens are one row, so each row emits ``(term, 1, 0)`` per token
+    and ``(term, 0, 1)`` per distinct token; one ``groupBy(term)`` sums them.
+    Partial aggregation runs before the shuffle, which then carries one partial
+    row per term per task instead of one row per (document, term) pair.  The
+    token column is referenced only outside the lambdas, so it is computed once.
+    """
+    t = F.col(tokens)
+    occ = F.transform(t, lambda x: F.struct(x.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
+    dst = F.transform(F.array_distinct(t), lambda x: F.struct(x.alias("term"), F.lit(0).alias("tf"),
+                                                              F.lit(1).alias("df")))
+    rows = docs.select(F.explode_outer(F.concat(occ, dst)).alias("e")).where(F.col("e").isNotNull())
+    return (rows.groupBy(F.col("e.term").alias("term"))
+            .agg(F.sum("e.tf").cast("bigint").alias("tf"), F.sum("e.df").cast("bigint").alias("df")))
+
+
+def vocabulary(terms: DataFrame, vocab_size: int, min_df: float = 1.0, n_docs=None,
+               stats: DataFrame | None = None) -> DataFrame:
     """Top ``vocab_size`` terms by total count among terms with ``df >= min_df``.
 
     ``min_df`` below 1 is a fraction of the documents (as in ``CountVectorizer``).
@@ -49,7 +68,7 @@ def vocabulary(terms: DataFrame, vocab_size: int, min_df: float = 1.0, n_docs=No
     ``vocab_size`` rows per task; the index window then runs over the bounded
     vocabulary only.
     """
-    stats = term_stats(terms)
+    stats = stats if stats is not None else term_stats(terms)
     if min_df < 1.0:
         if n_docs is None:
             raise ValueError("a fractional min_df needs n_docs")

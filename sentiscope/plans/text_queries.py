@@ -48,9 +48,10 @@ voc AS (SELECT term, tf, df, CAST(row_number() OVER (ORDER BY tf DESC, term ASC)
 
 
 def _vocab(spark, sf):
-    terms = FE.doc_terms(_filtered(spark, sf), "doc_id", "tokens")
-    vocab = FE.vocabulary(terms, VOCAB_SIZE, MIN_DF).withColumn("term_index", F.col("term_index").cast("int"))
-    return terms, vocab
+    docs = _filtered(spark, sf)
+    terms = FE.doc_terms(docs, "doc_id", "tokens")
+    vocab = FE.vocabulary(None, VOCAB_SIZE, MIN_DF, stats=FE.term_stats_from_tokens(docs, "tokens"))
+    return terms, vocab.withColumn("term_index", F.col("term_index").cast("int"))
 
 
 @register("clean_text", f"""
@@ -137,7 +138,7 @@ WITH {_stop_sql()}, {TERMS_SQL.strip()}
 SELECT term, tf, df FROM st
 """, ("labelled",))
 def q_term_stats(spark, sf):
-    return FE.term_stats(FE.doc_terms(_filtered(spark, sf), "doc_id", "tokens"))
+    return FE.term_stats_from_tokens(_filtered(spark, sf), "tokens")
 
 
 @register("vocabulary", f"""
@@ -158,8 +159,8 @@ FROM st WHERE df >= 2.0 ORDER BY tf DESC, term ASC LIMIT {VOCAB_SIZE}
 """, ("labelled",))
 def q_bigram_vocabulary(spark, sf):
     docs = _filtered(spark, sf).select("doc_id", X.bigrams("tokens").alias("bigrams"))
-    terms = FE.doc_terms(docs, "doc_id", "bigrams")
-    return FE.vocabulary(terms, VOCAB_SIZE, 2).withColumn("term_index", F.col("term_index").cast("int"))
+    stats = FE.term_stats_from_tokens(docs, "bigrams")
+    return FE.vocabulary(None, VOCAB_SIZE, 2, stats=stats).withColumn("term_index", F.col("term_index").cast("int"))
 
 
 @register("term_counts", f"""
