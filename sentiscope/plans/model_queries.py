@@ -27,6 +27,7 @@ QUERY_SPACE = {"vocab_size": [1000, 2000, 4000], "min_df": [2, 3], "max_iter": [
                "reg_param": [0.0, 0.0001, 0.001]}
 QUERY_STEPS = 3
 _LOGS: dict = {}
+_MODELS: dict = {}
 MAX_CLASSES = 10_000
 
 
@@ -52,10 +53,25 @@ def _trial_log(spark, sf):
     return spark.createDataFrame(rows, schema)
 
 
+def trained_model(spark, sf):
+    """The model of the training job, as the scoring jobs see it: fitted once on the
+    weighted training split, saved under the shared checkpoint folder, loaded back."""
+    import uuid
+
+    from sentiscope.session import scratch_path
+
+    key = (id(spark), sf)
+    if key not in _MODELS:
+        train, _, _ = _splits(spark, sf)
+        fitted = MD.fit(train, **QUERY_CONFIG)
+        _MODELS[key] = MD.save(fitted, MD.versioned_path(scratch_path(spark, "models"), uuid.uuid4().hex[:12]))
+    return MD.load(_MODELS[key])
+
+
 @register("predict_batch")
 def q_predict_batch(spark, sf):
-    train, val, test = _splits(spark, sf)
-    fitted = MD.fit(train, **QUERY_CONFIG)
+    _, val, test = _splits(spark, sf)
+    fitted = trained_model(spark, sf)
     both = val.withColumn("split", F.lit("val")).unionByName(test.withColumn("split", F.lit("test")))
     out = MD.score(fitted, both, keep=("doc_id", "split", "label"))
     return out.select("doc_id", "split", "label", "prediction", "predicted_label",
@@ -64,8 +80,8 @@ def q_predict_batch(spark, sf):
 
 @register("model_metrics")
 def q_model_metrics(spark, sf):
-    train, val, _ = _splits(spark, sf)
-    fitted = MD.fit(train, **QUERY_CONFIG)
+    _, val, _ = _splits(spark, sf)
+    fitted = trained_model(spark, sf)
     labels = MD.label_order(fitted)
     return V.metrics_record(fitted.transform(val), labels=tuple(labels))
 
