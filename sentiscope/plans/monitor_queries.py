@@ -25,7 +25,7 @@ FILTER_SENTIMENT, FILTER_SCORE = "positive", 4
 
 
 def _analytics(spark, sf):
-    return M.analytics_scan(predictions(spark, sf))
+    return M.analytics_scan(predictions(spark, sf, with_text=False))
 
 
 def _sql(body: str) -> str:
@@ -59,7 +59,7 @@ SELECT event_id, list_max(probability) AS confidence,
 FROM predictions
 """, ("predictions",))
 def q_prepare_predictions(spark, sf):
-    return M.prepare(predictions(spark, sf)).select(
+    return M.prepare(predictions(spark, sf, with_text=False)).select(
         "event_id", "confidence", "probability_values", "processed_at")
 
 
@@ -67,7 +67,7 @@ def q_prepare_predictions(spark, sf):
 SELECT event_id, list_max(probability) AS confidence FROM predictions
 """, ("predictions",))
 def q_confidence(spark, sf):
-    return predictions(spark, sf).select("event_id", confidence("probability").alias("confidence"))
+    return predictions(spark, sf, with_text=False).select("event_id", confidence("probability").alias("confidence"))
 
 
 @register("probability_values", """
@@ -77,7 +77,7 @@ SELECT event_id,
 FROM predictions
 """, ("predictions",))
 def q_probability_values(spark, sf):
-    return predictions(spark, sf).select(
+    return predictions(spark, sf, with_text=False).select(
         "event_id", probability_values("probability").alias("probability_values"))
 
 
@@ -108,7 +108,7 @@ SELECT event_id, score, predicted_label, batch_id, source FROM predictions
 WHERE source = '{STREAM_SOURCE}' AND predicted_label = '{FILTER_SENTIMENT}' AND score = {FILTER_SCORE}
 """, ("predictions",))
 def q_filter_predictions(spark, sf):
-    return M.filter_predictions(predictions(spark, sf), sentiment=FILTER_SENTIMENT,
+    return M.filter_predictions(predictions(spark, sf, with_text=False), sentiment=FILTER_SENTIMENT,
                                 score=FILTER_SCORE).select(
         "event_id", "score", "predicted_label", "batch_id", "source")
 
@@ -156,7 +156,7 @@ SELECT count(*) AS total_batches, CAST(COALESCE(sum(records), 0) AS BIGINT) AS t
 FROM b
 """, ("predictions",))
 def q_kpis_empty(spark, sf):
-    return M.batch_kpis(M.batch_summary(M.analytics_scan(predictions(spark, sf), "no_such_source")))
+    return M.batch_kpis(M.batch_summary(M.analytics_scan(predictions(spark, sf, with_text=False), "no_such_source")))
 
 
 @register("score_distribution", _sql("""
@@ -254,7 +254,7 @@ def q_available_batches(spark, sf):
 SELECT source, count(*) AS count FROM predictions GROUP BY source
 """, ("predictions",))
 def q_count_by_source(spark, sf):
-    return M.count_by_source(predictions(spark, sf))
+    return M.count_by_source(predictions(spark, sf, with_text=False))
 
 
 @register("status_kpis", _sql(f"""
@@ -322,7 +322,7 @@ def q_batch_series(spark, sf):
 SELECT event_id, source FROM predictions WHERE source IS DISTINCT FROM '{TEST_SOURCE}'
 """, ("predictions",))
 def q_purge_source(spark, sf):
-    return M.purge_source(predictions(spark, sf), TEST_SOURCE).select("event_id", "source")
+    return M.purge_source(predictions(spark, sf, with_text=False), TEST_SOURCE).select("event_id", "source")
 
 
 @register("coerce_ts", """

@@ -13,7 +13,8 @@ FIXTURES.md).  Each relation has a Spark builder and the equivalent DuckDB SQL
 * ``messages``    – JSON stream payloads built from ``labelled``
 
 Every relation grows with its source tables: ``predictions`` maps each event to
-a document by ``event_id mod (number of documents)``, so all documents are used.
+a document by ``event_id mod (number of documents)``, so all documents are used
+(a left join: a store row exists with or without its text).
 """
 
 from __future__ import annotations
@@ -95,31 +96,38 @@ def _probability(conf: Column, pred: Column) -> Column:
             .otherwise(F.array(rest, rest, conf)))
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predictions(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     """The prediction store: one row per scored event.
 
     Columns: ``event_id, text_preview, text, score, prediction, predicted_label,
     probability array<double>, batch_id, processed_at, source``.  One row in 50
     imitates the connection-test document (other source, null batch, empty
     probability).
+
+    A store row exists whether or not its document text does: the texts come
+    from ``events LEFT JOIN documents`` on the document key (``doc_id`` is unique).
+    With ``with_text=False`` the two text columns are left out and so is the
+    join - the same rows by that definition - so queries that never show text
+    scan only ``events`` (no documents scan, no document-count subquery).
     """
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
     is_test = F.col("event_id") % 50 == 0
     conf = F.when(is_test, F.lit(None).cast("double")).otherwise(
         (F.lit(34) + (F.col("user_id") * 7 + F.col("event_id")) % 66).cast("double") / F.lit(100))
-    ev = events.select(
-        "event_id", "ts", "event_type",
-        F.pmod(F.col("event_id"), n_docs).alias("doc_key"),
-        conf.alias("_conf"),
-        _prediction_index(F.col("event_type")).alias("prediction"),
-    )
-    joined = ev.join(docs, ev.doc_key == docs.doc_id, "inner")
-    return joined.select(
+    cols = ["event_id", "ts", "event_type", conf.alias("_conf"),
+            _prediction_index(F.col("event_type")).alias("prediction")]
+    if with_text:
+        docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+        n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
+        ev = events.select(*cols, F.pmod(F.col("event_id"), n_docs).alias("doc_key"))
+        base = ev.join(docs, ev.doc_key == docs.doc_id, "left")
+        text_cols = [F.substring("text", 1, 120).alias("text_preview"), "text"]
+    else:
+        base = events.select(*cols)
+        text_cols = []
+    return base.select(
         "event_id",
-        F.substring("text", 1, 120).alias("text_preview"),
-        "text",
+        *text_cols,
         (F.lit(1) + F.col("event_id") % 5).cast("int").alias("score"),
         "prediction",
         (F.when(F.col("prediction") == 0, F.lit("positive"))
@@ -154,7 +162,7 @@ FROM (SELECT event_id, ts, user_id,
              CAST(CASE WHEN event_type IN ('purchase','click','signup') THEN 0
                        WHEN event_type = 'error' THEN 1 ELSE 2 END AS DOUBLE) AS prediction
       FROM events) e
-JOIN documents d ON d.doc_id = e.doc_key
+LEFT JOIN documents d ON d.doc_id = e.doc_key
 """
 
 
