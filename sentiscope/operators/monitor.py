@@ -250,6 +250,19 @@ def confidence_stats(frame: DataFrame) -> DataFrame:
                       F.col("low").alias("low_confidence_count"))
 
 
+def confidence_stats_approx(frame: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """One-pass variant of :func:`confidence_stats` for very large stores: the median is
+    ``percentile_approx`` (bounded memory per task, rank error <= n / accuracy)."""
+    conf = F.col("confidence")
+    return frame.agg(
+        percent(F.avg(conf)).alias("average_confidence"),
+        percent(F.percentile_approx(conf, 0.5, accuracy)).alias("median_confidence"),
+        percent(F.min(conf)).alias("min_confidence"),
+        percent(F.max(conf)).alias("max_confidence"),
+        F.count_if(conf < F.lit(LOW_CONFIDENCE_THRESHOLD)).alias("low_confidence_count"),
+    )
+
+
 def available_batches(frame: DataFrame) -> DataFrame:
     return (frame.select("batch_id").where(F.col("batch_id").isNotNull())
             .distinct().orderBy("batch_id"))

@@ -402,3 +402,9 @@ def q_store_roundtrip(spark, sf):
     ids = docs.select(F.col("event_id").alias("_id"))
     return back.join(ids, back.event_id == ids._id, "left_semi").select(
         "event_id", "source", "batch_id", "text", "score", "predicted_label")
+
+
+@register("confidence_stats_approx")
+def q_confidence_stats_approx(spark, sf):
+    """A19 in one pass with a sketch median (no exact oracle: the sketches differ)."""
+    return M.confidence_stats_approx(_analytics(spark, sf))

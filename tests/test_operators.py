@@ -152,3 +152,15 @@ def test_latest_predictions_two_phase_handles_timestamp_ties(spark):
         want = [r["event_id"] for r in df.orderBy(F.col("processed_at").desc(), F.col("event_id").desc())
                 .limit(limit).collect()]
         assert got == want
+
+
+def test_confidence_stats_approx_close_to_exact(spark):
+    rng = np.random.default_rng(5)
+    vals = np.round(rng.random(20_000), 4)
+    df = spark.createDataFrame([(float(v),) for v in vals], "confidence double")
+    approx = M.confidence_stats_approx(df).first()
+    exact = M.confidence_stats(df).first()
+    assert approx["min_confidence"] == exact["min_confidence"]
+    assert approx["max_confidence"] == exact["max_confidence"]
+    assert abs(approx["median_confidence"] - exact["median_confidence"]) <= 0.1   # percent points
+    assert approx["low_confidence_count"] == exact["low_confidence_count"]
