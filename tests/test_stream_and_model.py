@@ -229,3 +229,23 @@ def test_smooth_tfidf_baseline_matches_relational_twin(spark):
     assert set(got) == set(want)
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
     assert model.transform(lab).select("prediction").count() == lab.count()
+
+
+def test_restart_processes_only_new_messages(spark, fitted, tmp_dir):
+    lab = labelled(spark, SF_SMALL)
+    first = publish.prepare_messages(lab.where("doc_id < 100"))
+    second = publish.prepare_messages(lab.where("doc_id >= 100"))
+    publish.publish_files(first, f"{tmp_dir}/messages", 2)
+    stream = scored_stream(sources.file_messages(spark, f"{tmp_dir}/messages"), fitted)
+    q1, s1 = sink.start(stream, f"{tmp_dir}/store", f"{tmp_dir}/ckpt")
+    q1.awaitTermination()
+    n1 = ST.read_store(spark, f"{tmp_dir}/store").count()
+    assert n1 == first.count()
+    last_batch = max(p["batch_id"] for p in s1.progress)
+    publish.publish_files(second, f"{tmp_dir}/messages", 2, mode="append")
+    q2, s2 = sink.start(stream, f"{tmp_dir}/store", f"{tmp_dir}/ckpt")
+    q2.awaitTermination()
+    store = ST.read_store(spark, f"{tmp_dir}/store")
+    assert store.count() == first.count() + second.count()
+    assert min(p["batch_id"] for p in s2.progress) > last_batch
+    assert store.where(f"batch_id > {last_batch}").count() == second.count()
