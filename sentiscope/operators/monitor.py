@@ -79,7 +79,7 @@ def filter_predictions(store: DataFrame, source: str = STREAM_SOURCE, sentiment=
 
 
 def latest_predictions(store: DataFrame, source: str = STREAM_SOURCE, sentiment=ALL, score=ALL,
-                       batch=ALL, limit: int = DEFAULT_LIMIT) -> DataFrame:
+                       batch=ALL, limit: int = DEFAULT_LIMIT, keys_from: DataFrame | None = None) -> DataFrame:
     """Latest ``limit`` filtered store rows, newest first (ties by ``event_id``).
 
     Two phases so the wide columns (``text``) are read only for the winners:
@@ -90,10 +90,14 @@ def latest_predictions(store: DataFrame, source: str = STREAM_SOURCE, sentiment=
     the winners are joined back by id - a broadcast of at most ``limit`` rows.
     """
     filtered = filter_predictions(store, source, sentiment, score, batch)
-    top = filtered.select("event_id", "processed_at").orderBy(*latest_order()).limit(limit)
+    # ``keys_from``: the same rows without the wide columns (e.g. a store view that
+    # skips the text lookup); defaults to the store itself, where column pruning
+    # already keeps phase 1 narrow
+    narrow = filter_predictions(keys_from, source, sentiment, score, batch) if keys_from is not None else filtered
+    top = narrow.select("event_id", "processed_at").orderBy(*latest_order()).limit(limit)
     # the cutoff travels as the column's own string form and is cast back to the
     # column's type, so no Python / session time-zone conversion can shift it
-    ts_type = filtered.schema["processed_at"].dataType.simpleString()
+    ts_type = narrow.schema["processed_at"].dataType.simpleString()
     cutoff = top.agg(F.min("processed_at").cast("string")).first()[0]
     narrowed = (filtered if cutoff is None
                 else filtered.where(F.col("processed_at") >= F.lit(cutoff).cast(ts_type)))
@@ -300,9 +304,10 @@ def low_confidence_sample(frame: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def suspicious_sample(store: DataFrame, source: str = STREAM_SOURCE, sentiment=ALL, score=ALL,
-                      batch=ALL, limit: int = DEFAULT_LIMIT, n: int = SAMPLE_ROWS) -> DataFrame:
+                      batch=ALL, limit: int = DEFAULT_LIMIT, n: int = SAMPLE_ROWS,
+                      keys_from: DataFrame | None = None) -> DataFrame:
     """Suspicious rows among the latest ``limit`` filtered rows, first ``n`` newest."""
-    latest = latest_predictions(store, source, sentiment, score, batch, limit)
+    latest = latest_predictions(store, source, sentiment, score, batch, limit, keys_from=keys_from)
     return (suspicious(latest).orderBy(*latest_order()).limit(n)
             .select("event_id", "processed_at", "text_preview", "score", "predicted_label",
                     "confidence_pct", "batch_id"))

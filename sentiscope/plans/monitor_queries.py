@@ -100,7 +100,7 @@ FROM predictions WHERE source = '{STREAM_SOURCE}'
 ORDER BY processed_at DESC NULLS LAST, event_id DESC NULLS LAST LIMIT {M.DEFAULT_LIMIT}
 """, ("predictions",))
 def q_latest_predictions(spark, sf):
-    return M.latest_predictions(predictions(spark, sf))
+    return M.latest_predictions(predictions(spark, sf), keys_from=predictions(spark, sf, with_text=False))
 
 
 @register("filter_predictions", f"""
@@ -119,7 +119,8 @@ WHERE source = '{STREAM_SOURCE}' AND predicted_label = 'negative' AND batch_id =
 ORDER BY processed_at DESC NULLS LAST, event_id DESC NULLS LAST LIMIT 5
 """, ("predictions",))
 def q_latest_filtered(spark, sf):
-    return M.latest_predictions(predictions(spark, sf), sentiment="negative", batch=7, limit=5).select(
+    return M.latest_predictions(predictions(spark, sf), sentiment="negative", batch=7, limit=5,
+                                keys_from=predictions(spark, sf, with_text=False)).select(
         "event_id", "processed_at", "score", "predicted_label", "batch_id")
 
 
@@ -300,7 +301,7 @@ FROM latest WHERE {SUSPICIOUS_WHERE}
 ORDER BY processed_at DESC NULLS LAST, event_id DESC NULLS LAST LIMIT {M.SAMPLE_ROWS}
 """, ("predictions",))
 def q_suspicious_sample(spark, sf):
-    return M.suspicious_sample(predictions(spark, sf))
+    return M.suspicious_sample(predictions(spark, sf), keys_from=predictions(spark, sf, with_text=False))
 
 
 @register("latest_batches", _sql("""
