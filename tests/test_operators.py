@@ -164,3 +164,16 @@ def test_confidence_stats_approx_close_to_exact(spark):
     assert approx["max_confidence"] == exact["max_confidence"]
     assert abs(approx["median_confidence"] - exact["median_confidence"]) <= 0.1   # percent points
     assert approx["low_confidence_count"] == exact["low_confidence_count"]
+
+
+def test_spread_and_cluster_conf(spark):
+    from sentiscope.session import cluster_conf, spread
+
+    small = spark.range(10).coalesce(1)
+    assert spread(small).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, numPartitions=4 * spark.sparkContext.defaultParallelism)
+    assert spread(wide) is wide                       # large inputs are never reshuffled
+    conf = cluster_conf(100 * 2 ** 40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 * 2 ** 20)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(10, 8000)["spark.sql.shuffle.partitions"]) == 16000
