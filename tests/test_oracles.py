@@ -63,3 +63,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["sentiment", "count", "percentage"]
     assert df.count() >= 1
+
+
+def test_coverage_map_names_real_queries():
+    import os
+    import re
+
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "COVERAGE.md")
+    text = open(path).read()
+    queries = E.queries()
+    for kind, key in re.findall(r"\b([SR]) `([a-z_0-9]+)`", text):
+        if kind == "S":
+            assert key in ORACLES, key
+        else:
+            assert key in queries, key
