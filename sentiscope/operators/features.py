@@ -112,16 +112,19 @@ def tfidf_smooth_l2(docs: DataFrame, doc: str, tokens: str) -> DataFrame:
 
     Vocabulary = every term (no frequency cut).  Output ``doc, term, weight``.
     Document frequencies come from :func:`term_stats_from_tokens` (no
-    ``(doc, term)`` shuffle); the L2 norm is a window per document (a group is
-    one document's distinct terms), so no aggregate is joined back.
+    ``(doc, term)`` shuffle).  The norm sums each document's squared weights in
+    ascending order (a group is one document's distinct terms), so the result
+    does not depend on the order rows arrive after a shuffle.
     """
     terms = doc_terms(docs, doc, tokens)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     dfs = term_stats_from_tokens(docs, tokens).select("term", "df")
     weighted = terms.join(dfs, "term", "inner").withColumn(
         "w", F.col("tf") * (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
-    return weighted.select(doc, "term", (F.col("w") / norm).alias("weight"))
+    squares = F.array_sort(F.collect_list(F.col("w") * F.col("w")))
+    norms = weighted.groupBy(doc).agg(
+        F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x)).alias("_norm"))
+    return weighted.join(norms, doc, "inner").select(doc, "term", (F.col("w") / F.col("_norm")).alias("weight"))
 
 
 def label_index_table(frame: DataFrame, label: str = "label") -> DataFrame:

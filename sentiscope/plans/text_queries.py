@@ -203,7 +203,7 @@ st AS (SELECT term, count(*) AS df FROM dt GROUP BY term),
 w AS (SELECT dt.doc_id, dt.term,
              dt.tf * (ln((1.0 + (SELECT count(*) FROM ct)) / (1.0 + st.df)) + 1.0) AS w
       FROM dt JOIN st ON dt.term = st.term),
-n AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id)
+n AS (SELECT doc_id, sqrt(list_reduce(list_sort(list(w * w)), lambda a, b: a + b)) AS norm FROM w GROUP BY doc_id)
 SELECT w.doc_id, w.term, round(w.w / n.norm, 12) AS weight FROM w JOIN n ON w.doc_id = n.doc_id
 """, ("labelled",))
 def q_tfidf_smooth_l2(spark, sf):
