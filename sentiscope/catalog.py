@@ -7,6 +7,7 @@ inline the fixture relations of ``sources.fixtures`` as CTEs.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,14 +32,11 @@ def register(key: str, oracle: str | None = None, fixtures: tuple[str, ...] = ()
     return deco
 
 
+PLAN_MODULES = ("monitor_queries", "prepare_queries", "evaluate_queries", "text_queries",
+                "sampling_queries", "model_queries", "stream_queries")
+
+
 def load_all() -> None:
-    """Import the modules that register queries."""
-    import importlib
-
-    for name in ("monitor_queries", "prepare_queries", "evaluate_queries", "text_queries",
-                 "sampling_queries", "model_queries", "stream_queries"):
-        try:
-            importlib.import_module(f"sentiscope.plans.{name}")
-        except ModuleNotFoundError as exc:
-            if exc.name != f"sentiscope.plans.{name}":
-                raise
+    """Import the modules that register queries; a missing one is an error."""
+    for name in PLAN_MODULES:
+        importlib.import_module(f"sentiscope.plans.{name}")

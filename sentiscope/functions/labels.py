@@ -33,14 +33,10 @@ def score_to_label_or_unknown(score) -> Column:
 def decode_prediction(prediction, labels) -> Column:
     """Prediction index (double) -> class name via the indexer label order.
 
-    Index ``i`` maps to ``labels[i]``; anything else (null, out of range,
-    fractional) maps to ``unknown``.
+    Index ``i`` reads element ``i`` of the label array; a null, fractional, NaN or
+    out-of-range index reads nothing and becomes ``unknown``.
     """
     p = _col(prediction)
-    expr = None
-    for i, name in enumerate(labels):
-        cond = p == F.lit(float(i))
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    if expr is None:
-        return F.lit(UNKNOWN)
-    return expr.otherwise(F.lit(UNKNOWN))
+    names = F.array(*[F.lit(name) for name in labels]).cast("array<string>")
+    whole = F.when(p == F.floor(p), p.cast("int"))
+    return F.coalesce(F.get(names, whole), F.lit(UNKNOWN))

@@ -7,11 +7,6 @@ Python UDF touches the text.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,16 +32,20 @@ CLEAN_STOPWORDS = tuple(NLTK_ENGLISH_STOPWORDS) + ("im",)
 WS = " \\t\\n\\x0B\\f\\r"
 TOKEN_SPLIT = "\\W+"
 
-
-@functools.lru_cache(maxsize=None)
-def spark_default_stopwords(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's default stop-word list, read from the Spark MLlib jar (no JVM needed)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        data = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w for w in data.split("\n") if w)
+# Spark ML's default English stop-word list (what ``StopWordsRemover`` loads).
+SPARK_ENGLISH_STOPWORDS = tuple((
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she "
+    "her hers herself it its itself they them their theirs themselves what which who whom this that "
+    "these those am is are was were be been being have has had having do does did doing a an the and "
+    "but if or because as until while of at by for with about against between into through during "
+    "before after above below to from up down in out on off over under again further then once here "
+    "there when where why how all any both each few more most other some such no nor not only own "
+    "same so than too very s t can will just don should now i'll you'll he'll she'll we'll they'll "
+    "i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've "
+    "they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't "
+    "shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's "
+    "what's when's where's who's why's would"
+).split())
 
 
 def _col(c) -> Column:
@@ -79,7 +78,7 @@ def tokenize(text) -> Column:
 
 def remove_stopwords(tokens, stopwords=None) -> Column:
     """``StopWordsRemover`` with Spark's default English list (case-insensitive)."""
-    stop = stopwords or spark_default_stopwords()
+    stop = stopwords or SPARK_ENGLISH_STOPWORDS
     return F.filter(_col(tokens), lambda w: ~F.lower(w).isin(*stop))
 
 

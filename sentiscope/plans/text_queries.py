@@ -20,7 +20,7 @@ TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '\\W+'), lambda x:
 
 
 def _filtered_sql(tokens_sql: str) -> str:
-    stop = X.sql_string_list(X.spark_default_stopwords())
+    stop = X.sql_string_list(X.SPARK_ENGLISH_STOPWORDS)
     return f"list_filter({tokens_sql}, lambda w: NOT list_contains({stop}, lower(w)))"
 
 
