@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentiscope.session import checkpoint_dir, scratch_path
+from sentiscope.session import scratch_path
 
 # ASCII white space of the word definition, and its complement.
 SPACES = " \t\n\x0b\f\r"
@@ -57,15 +57,20 @@ def unit_hash_sql(key: str, seed: int) -> str:
             f" + 0.5) / {TWO_POW_52})")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, kind: str = "step") -> DataFrame:
+    """Cut the lineage: write a table into the shared folder that the cluster names, and read it.
 
+    Executors can be lost without a recomputation, later scans prune columns, and the
+    planner sees the table's true size.
+    """
+    path = scratch_path(df.sparkSession, f"{kind}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def scratch_table(spark: SparkSession, kind: str) -> str:
-    """Path of a new table in the shared folder that the cluster names."""
-    return scratch_path(spark, f"{kind}-{uuid.uuid4().hex}")
+
+def text_key(text: Column) -> Column:
+    """128-bit digest that stands for a text in joins; a result that depends on the text alone joins by it."""
+    return F.md5(text)
 
 
 def fresh_name(df: DataFrame, stem: str) -> str:

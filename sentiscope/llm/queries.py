@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sentiscope.llm import mixing, quality, url_filter
+from sentiscope.llm import decontaminate, mixing, quality, secrets, url_filter
 from sentiscope.llm.common import scan
 
 
@@ -19,12 +20,25 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_passages(scan(spark, sf_dir, "documents", "doc_id", "text"),
+                                        scan(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = scan(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge_urls(pages, url_filter.rule_table(spark))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality_rules, op8_url_filter)}
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.find_secrets(scan(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op2_quality_rules, op4_decontaminate, op8_url_filter, op9_secret_scan)}
 
 ORACLES = {
     "op1_mix_sources": mixing.MIX_SQL,
