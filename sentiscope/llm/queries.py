@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentiscope.llm import decontaminate, mixing, quality, secrets, url_filter
+from sentiscope.llm import decontaminate, mixing, near_duplicates, quality, secrets, url_filter
 from sentiscope.llm.common import scan
 
 
@@ -20,6 +20,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = scan(spark, sf_dir, "documents", "doc_id", "text")
+    return near_duplicates.near_duplicate_classes(docs).select("doc_id", "class_id", "class_size")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(scan(spark, sf_dir, "documents", "doc_id", "text"),
                                         scan(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -38,7 +43,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_quality_rules, op4_decontaminate, op8_url_filter, op9_secret_scan)}
+    op1_mix_sources, op2_quality_rules, op3_near_duplicates, op4_decontaminate, op8_url_filter, op9_secret_scan)}
 
 ORACLES = {
     "op1_mix_sources": mixing.MIX_SQL,
