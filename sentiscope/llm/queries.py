@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentiscope.llm import decontaminate, mixing, near_duplicates, quality, secrets, url_filter
+from sentiscope.llm import decontaminate, html_text, mixing, near_duplicates, quality, secrets, url_filter
 from sentiscope.llm.common import scan
 
 
@@ -42,8 +42,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_secrets(scan(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(scan(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_quality_rules, op3_near_duplicates, op4_decontaminate, op8_url_filter, op9_secret_scan)}
+    op1_mix_sources, op2_quality_rules, op3_near_duplicates, op4_decontaminate, op8_url_filter, op9_secret_scan, op10_main_text)}
 
 ORACLES = {
     "op1_mix_sources": mixing.MIX_SQL,
