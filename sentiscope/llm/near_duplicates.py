@@ -11,13 +11,15 @@ weighted Jaccard similarity as probability.
 
 Joining.  Texts with the same words are one node first, so thousands of copies cost one
 signature row in the joins.  Nodes that agree in one of ``bands`` bands of ``rows``
-coordinates share a bucket.  Within a bucket no pairs are emitted: each member meets the
-bucket's pivot, and the exact Jaccard similarity of the two shingle sets decides on a
-link.  Connected members are then settled; buckets that still hold several components
-get other pivots, and when a round finds nothing new, the members of different
-components that have not met are compared, so a link is lost only where no band agrees
-(about 3 in a million pairs at similarity 0.8).  Classes are the connected components
-of the links.
+coordinates share a bucket; nodes that also agree in the following bands share finer
+buckets (``DEPTHS`` bands in a row).  No pairs are emitted within a bucket: each member
+meets the bucket's pivot, and the exact Jaccard similarity of the two shingle sets
+decides on a link.  In a large group of copies with many different edits, the finer
+buckets bring each text together with those most like it.  Connected members are then
+settled.  In buckets that still hold several components, further rounds test for each
+text and each other component the member that agrees with it in the most bands (at least
+``AGREE``) and has not been tested, until a round finds no new link.  Pairs that fail are
+not tested again.  Classes are the connected components of the links.
 
 Defined results: a text of one to four words is one shingle; a null text or one without
 words is a class of its own; repeated rows and exact copies share a class; the class id
@@ -41,6 +43,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 24
 ROWS = 4
+DEPTHS = (1, 2, 4)
+AGREE = 5
 CHUNK_WORDS = 1_000_000
 
 
@@ -218,6 +222,34 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def crowded_pivots(met: DataFrame) -> DataFrame:
+    """The least node of every bucket."""
+    return met.groupBy("bucket").agg(F.min("node").alias("pivot"))
+
+
+def _best_across(met: DataFrame, labels: DataFrame, signs: DataFrame, tried: DataFrame, threshold: float) -> DataFrame:
+    """For each node and each other component in its buckets, the most alike member not yet tested.
+
+    Sizes of the sets bound the similarity, and the number of common buckets estimates it;
+    both are join conditions, and the best per node and component is found by an aggregation.
+    """
+    placed = met.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
+        F.col("low") != F.col("high")).select("bucket")
+    left = materialise(placed.join(mixed, "bucket").join(signs, "node"), "mixed")
+    right = left.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "buckets", "n")])
+    common = F.size(F.array_intersect("buckets", "other_buckets"))
+    alike = ((F.col("component") < F.col("other_component"))
+             & (F.least("n", "other_n") >= threshold * F.greatest("n", "other_n") - 1e-9) & (common >= AGREE))
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & alike).select(
+        *_ordered("node", "other_node"), "node", "other_node", "component", "other_component", common.alias("common"))
+    pairs = pairs.join(tried, ["a", "b"], "left_anti")
+    either = pairs.select("a", "b", "common", F.col("node").alias("x"), F.col("other_component").alias("c")).unionByName(
+        pairs.select("a", "b", "common", F.col("other_node").alias("x"), F.col("component").alias("c")))
+    best = either.groupBy("x", "c").agg(F.max(F.struct("common", "a", "b")).alias("best"))
+    return best.select("best.a", "best.b").distinct()
+
+
 def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                            threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
                            chunk_words: int = CHUNK_WORDS) -> DataFrame:
@@ -233,45 +265,33 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
         f"doc_id {kind}, text_key string, node binary, buckets array<long>"), "signatures")
     nodes = (signed.where(F.col("node").isNotNull()).groupBy("node")
              .agg(F.min("text_key").alias("text_key"), F.any_value("buckets").alias("buckets")))
-    member = nodes.select("text_key", "node", F.explode("buckets").alias("bucket"))
-    shared = member.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where(
-        F.col("pivot") != F.col("last")).select("bucket", "pivot")
-    # members of buckets that hold more than one node
-    met = materialise(member.join(shared, "bucket"), "buckets")
-    wanted = materialise(met.select("text_key", "node").distinct(), "wanted")
-    chosen = texts.join(wanted, "text_key").dropDuplicates(["node"]).select("node", "text")
+    member = nodes.select("node", F.explode("buckets").alias("bucket"))
+    some = F.xxhash64("node")
+    shared = materialise(member.groupBy("bucket").agg(F.min(some).alias("low"), F.max(some).alias("high")).where(
+        F.col("low") != F.col("high")).select("bucket"), "shared")
+    # nodes that share a bucket, and their buckets of every depth
+    wanted = materialise(nodes.join(member.join(shared, "bucket").select("node").distinct(), "node"), "wanted")
+    chosen = texts.join(wanted.select("node", "text_key"), "text_key").dropDuplicates(["node"]).select("node", "text")
     sets = materialise(chosen.mapInPandas(_shingle_sets(size, chunk_words), "node binary, set array<long>"), "shingles")
-
-    tried = materialise(met.where(F.col("node") != F.col("pivot")).select(*_ordered("node", "pivot")).distinct(), "pairs")
+    ring = F.concat("buckets", F.slice("buckets", 1, max(DEPTHS)))
+    finer = [F.transform(F.sequence(F.lit(1), F.lit(bands)), lambda i, d=d: F.xxhash64(F.slice(ring, i, d))) for d in DEPTHS]
+    met = wanted.select("node", F.explode(F.concat(*finer)).alias("bucket"))
+    crowded = met.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(
+        F.col("low") != F.col("high")).select("bucket")
+    met = materialise(met.join(crowded, "bucket"), "buckets")
+
+    pivots = crowded_pivots(met)
+    tried = materialise(met.join(pivots, "bucket").where(F.col("node") != F.col("pivot")).select(
+        *_ordered("node", "pivot")).distinct(), "pairs")
     links = materialise(_linked(tried, sets, threshold), "linked")
-    turn, last = 0, False
+    labels = components(links)
+    signs = wanted.select("node", "buckets").join(sets.select("node", F.size("set").alias("n")), "node")
     while True:
-        turn += 1
-        labels = components(links)
-        placed = met.select("bucket", "node").join(labels, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                             F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")).alias("p"))
-        mixed = materialise(mixed.where(F.col("low") != F.col("high")).select("bucket", "p.node", "p.component"), "mixed")
-        found = False
-        if mixed.isEmpty():  # every bucket lies in one component
-            break
-        if last:  # all members of different components
-            other = mixed.select("bucket").join(placed, "bucket")
-        else:
-            other = mixed
-        other = other.select("bucket", F.col("node").alias("pivot"), F.col("component").alias("home"))
-        apart = F.col("component") < F.col("home") if last else F.col("component") != F.col("home")
-        pairs = placed.join(other, "bucket").where(apart).select(*_ordered("node", "pivot")).distinct()
-        pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = materialise(_best_across(met, labels, signs, tried, threshold), "pairs")
         new = materialise(_linked(pairs, sets, threshold), "linked")
-        found = not new.isEmpty()
-        if found:
-            links, tried = links.unionByName(new), tried.unionByName(pairs)
-        if last:
+        if new.isEmpty():
             break
-        last = not found
-    if found:
+        links, tried = links.unionByName(new), tried.unionByName(pairs)
         labels = components(links)
     of_node = signed.select("doc_id", "text_key", "node").join(labels, "node", "left").select(
         "doc_id", "text_key", F.coalesce("component", "node").alias("c"))
