@@ -145,7 +145,10 @@ def judge(docs: DataFrame, text_col: str = "text", rules=RULES) -> tuple[DataFra
 def keep_good(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
     """The rows that no rule rejects, with their own columns only."""
     judged, m = judge(docs, text_col, rules)
-    return judged.where(F.col(m["kept"])).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row mark keeps the filter above the projections; pushed below, it would repeat their expressions
+    mark = fresh_name(judged, "_mark")
+    judged = judged.withColumn(mark, F.monotonically_increasing_id())
+    return judged.where(F.col(m["kept"]) & (F.col(mark) >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _measures_sql() -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentiscope.llm import decontaminate, html_text, licenses, mixing, near_duplicates, pii, quality, secrets, url_filter
+from sentiscope.llm import decontaminate, html_text, interpolated_lm, licenses, mixing, near_duplicates, pii, quality, secrets, url_filter
 from sentiscope.llm.common import scan
 
 
@@ -43,6 +43,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(docs, licenses.known_digests(spark))
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score_documents(scan(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = scan(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge_urls(pages, url_filter.rule_table(spark))
@@ -57,7 +61,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_quality_rules, op3_near_duplicates, op4_decontaminate, op5_surrogates, op6_license_scan, op8_url_filter, op9_secret_scan, op10_main_text)}
+    op1_mix_sources, op2_quality_rules, op3_near_duplicates, op4_decontaminate, op5_surrogates, op6_license_scan, op7_lm_scores, op8_url_filter, op9_secret_scan, op10_main_text)}
 
 ORACLES = {
     "op1_mix_sources": mixing.MIX_SQL,
