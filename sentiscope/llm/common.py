@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ SYMBOLS = "#*$%&|<>"
 TWO_POW_52 = 4503599627370496.0
 
 
+def ship(module: str) -> None:
+    """Send the module's functions to the executors by value, so that these need no copy of the library."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def scan(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Pruned Parquet scan of one given table."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)

@@ -23,13 +23,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 from itertools import repeat
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentiscope.llm.common import fresh_name, materialise, text_key, text_or_empty
+from sentiscope.llm.common import fresh_name, materialise, ship, text_key, text_or_empty
+
+ship(__name__)
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
@@ -168,7 +171,7 @@ def _shard_rows(rows: list, tests: TestSuffixes) -> pd.DataFrame:
 
 def _searcher(tests_on_executors, shard_words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tests = tests_on_executors.value
+        tests = SimpleNamespace(**tests_on_executors.value)
         number = tests.vocabulary.get
         for batch in batches:
             rows, held = [], 0
@@ -217,7 +220,7 @@ def find_passages(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     listed = items.select(F.coalesce(F.col(item_id_col).cast("string"), F.lit("")).alias("item_id"),
                           F.col(item_text_col).cast("string").alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    passes = [texts.mapInPandas(_searcher(spark.sparkContext.broadcast(TestSuffixes(block, window)), shard_words),
+    passes = [texts.mapInPandas(_searcher(spark.sparkContext.broadcast(vars(TestSuffixes(block, window))), shard_words),
                                 f"row long, doc_id {kind}, n_words long, matches {MATCHES}")
               for block in _blocks(listed, block_words)]
     merged = (reduce(DataFrame.unionByName, passes).groupBy("row")

@@ -31,6 +31,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sentiscope.llm.common import ship
+
+ship(__name__)
+
 SIGMA = 1.0
 RADIUS = 2
 

@@ -33,7 +33,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentiscope.llm.common import materialise
+from sentiscope.llm.common import materialise, ship
+
+ship(__name__)
 
 CHUNK_TOKENS = 1_000_000
 RANGE_TOKENS = 4_000_000

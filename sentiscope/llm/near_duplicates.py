@@ -37,7 +37,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentiscope.llm.common import fresh_name, materialise, text_key, text_or_empty
+from sentiscope.llm.common import fresh_name, materialise, ship, text_key, text_or_empty
+
+ship(__name__)
 
 SHINGLE = 5
 THRESHOLD = 0.8
