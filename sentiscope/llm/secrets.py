@@ -78,7 +78,8 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     least = F.get(F.array(*[F.lit(k[3]) for k in KINDS]), F.col("kind"))
     placed = (parts.withColumn("stop", F.sum(F.col("gap") + F.col("n")).over(running))
               .withColumn("start", F.col("stop") - F.col("n"))
-              .where(F.col("kind").isNull() | (F.col("g") >= least)))
+              # a match that fails keeps its row, without a kind, so that the document keeps its result
+              .withColumn("kind", F.when(F.col("g") >= least, F.col("kind"))))
 
     kind = {name: F.col("kind") == i for i, (name, *_) in enumerate(KINDS)}
     base = F.col("kind") < len(BASE)
@@ -93,7 +94,7 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
              & (F.coalesce("coming", F.col("stop")) >= F.col("stop")))
     complement = (F.when(kind["weak_access"], F.col("secret_near")).when(kind["weak_secret"], F.col("id_near"))
                   .otherwise(F.col("id_near") & F.col("secret_near")))
-    span = F.when(base | (alone & complement), F.struct("start", "kind", "stop"))
+    span = F.when(F.col("kind").isNotNull() & (base | (alone & complement)), F.struct("start", "kind", "stop"))
     return (linked.groupBy("row").agg(F.any_value("doc_id").alias("doc_id"),
                                       F.sort_array(F.collect_list(span)).alias("spans")))
 
