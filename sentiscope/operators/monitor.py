@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sentiscope.functions.labels import UNKNOWN
 from sentiscope.functions.probability import confidence, percent, probability_values
 from sentiscope.operators.stats import exact_median
 from sentiscope.sources.fixtures import STREAM_SOURCE
@@ -227,8 +228,8 @@ def score_by_sentiment(frame: DataFrame) -> DataFrame:
             .orderBy("score", "predicted_label"))
 
 
-def score_sentiment_crosstab(frame: DataFrame, sentiments=SENTIMENTS) -> DataFrame:
-    """Wide score x sentiment counts, zeros filled (pivot on a fixed value list)."""
+def score_sentiment_crosstab(frame: DataFrame, sentiments=(*SENTIMENTS, UNKNOWN)) -> DataFrame:
+    """Wide score x sentiment counts, zeros filled; the values are all that prediction decoding can give."""
     return (frame.where(F.col("score").isNotNull() & F.col("predicted_label").isNotNull())
             .groupBy("score").pivot("predicted_label", list(sentiments))
             .agg(F.count(F.lit(1))).na.fill(0).orderBy("score"))

@@ -47,7 +47,7 @@ def undersample(df: DataFrame, label: str = "label", key: str = "doc_id", seed:
                         out="_r", largest=largest)
     limit = None
     for c, k in keep.items():
-        cond = F.col(label) == F.lit(c)
+        cond = F.col(label).eqNullSafe(F.lit(c))
         limit = F.when(cond, F.lit(k)) if limit is None else limit.when(cond, F.lit(k))
     return ranked.where(F.col("_r") < limit).drop("_u", "_r")
 
@@ -85,8 +85,10 @@ def oversample(df: DataFrame, label: str = "label", key: str = "doc_id", seed: i
              .groupBy(label, "_r").agg(F.count(F.lit(1)).alias("_m")))
     ranked = group_rank(df.withColumn("_u", hash_fraction(key, seed)), label, "_u", key,
                         out="_r", largest=largest)
-    drawn = (ranked.join(picks, [label, "_r"], "inner")
+    picks = picks.withColumnsRenamed({label: "_label", "_r": "_pick"})
+    same = ranked[label].eqNullSafe(picks["_label"]) & (ranked["_r"] == picks["_pick"])
+    drawn = (ranked.join(picks, same, "inner")
              .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_m").cast("int"))))
-             .drop("_u", "_r", "_m", "_copy")
+             .drop("_u", "_r", "_m", "_copy", "_label", "_pick")
              .withColumn("is_original", F.lit(False)))
     return originals.unionByName(drawn)

@@ -21,11 +21,6 @@ from sentiscope.plans import model as MD
 from sentiscope.plans import search as SR
 from sentiscope.sources.fixtures import labelled, scored
 
-# Small configuration for the registered queries (the fit runs inside the check).
-QUERY_CONFIG = dict(vocab_size=2000, min_df=2, max_iter=10, reg_param=0.0001, use_bigrams=True)
-QUERY_SPACE = {"vocab_size": [1000, 2000, 4000], "min_df": [2, 3], "max_iter": [5, 10, 15],
-               "reg_param": [0.0, 0.0001, 0.001]}
-QUERY_STEPS = 3
 _LOGS: dict = {}
 _MODELS: dict = {}
 MAX_CLASSES = 10_000
@@ -43,8 +38,7 @@ def _trial_log(spark, sf):
         train = train.persist()
         val = val.persist()
         try:
-            _, _, log = SR.simulated_annealing(train, val, steps=QUERY_STEPS, initial=QUERY_CONFIG,
-                                               space=QUERY_SPACE)
+            _, _, log = SR.simulated_annealing(train, val)
             _LOGS[key] = log.collect(), log.schema
         finally:
             train.unpersist()
@@ -63,7 +57,7 @@ def trained_model(spark, sf):
     key = (id(spark), sf)
     if key not in _MODELS:
         train, _, _ = _splits(spark, sf)
-        fitted = MD.fit(train, **QUERY_CONFIG)
+        fitted = MD.fit(train, **MD.FINAL_CONFIG)
         _MODELS[key] = MD.save(fitted, MD.versioned_path(scratch_path(spark, "models"), uuid.uuid4().hex[:12]))
     return MD.load(_MODELS[key])
 

@@ -1,6 +1,6 @@
 """Simulated-annealing search over the model configuration.
 
-Each trial is one Spark fit on the (persisted, tokenised-once) training split and
+Each trial is one Spark fit on the (persisted) training split and
 one evaluation on the validation split; only the one-row metric record of each
 trial comes back to the driver.  Repeated configurations are memoised (the walk
 revisits them) but still logged as their own step.
@@ -47,7 +47,7 @@ def train_and_score(train: DataFrame, val: DataFrame, config: dict) -> dict:
     fitted = model_mod.fit(train, **config)
     labels = model_mod.label_order(fitted)
     scored = fitted.transform(val.na.drop(subset=["text"]))
-    rec = metrics_record(scored, labels=tuple(labels) if len(labels) == 3 else ("positive", "negative", "neutral"))
+    rec = metrics_record(scored, labels=tuple(labels))
     return rec.first().asDict()
 
 

@@ -30,8 +30,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     The operators need the session zone to be UTC (timestamps are compared with
     the DuckDB oracle) and AQE on (runtime broadcast / skew handling).
     """
-    master = master or os.environ.get("SENTISCOPE_MASTER", "local[8]")
-    builder = SparkSession.builder.master(master).appName(app_name)
+    master = master or os.environ.get("SENTISCOPE_MASTER")
+    builder = SparkSession.builder.appName(app_name)
+    if master:  # otherwise spark-submit or Spark's own default decides
+        builder = builder.master(master)
     conf = dict(_LOCAL_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("SENTISCOPE_DRIVER_MEMORY", "16g"))

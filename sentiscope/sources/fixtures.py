@@ -32,7 +32,7 @@ TEST_SOURCE = "python_test"
 
 
 # ---------------------------------------------------------------- reviews
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     score = (
@@ -44,7 +44,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("doc_id") % 2 == 0, F.lit("4"))
         .otherwise(F.lit("5"))
     )
-    return docs.join(labels, "doc_id", "left").select(
+    return docs.join(labels, "doc_id", how).select(
         "doc_id", F.col("text").alias("Text"), score.alias("Score"))
 
 
@@ -67,7 +67,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     fewer partitions than cores is spread first (see ``session.spread``)."""
     sc = F.expr("try_cast(trim(Score) AS INT)")
     return spread(
-        reviews(spark, sf_dir)
+        reviews(spark, sf_dir, "inner")  # without a label row there is no score
         .select("doc_id", F.col("Text").alias("text"), sc.alias("score"))
         .where(F.col("score").between(1, 5))
         .withColumn("label", score_to_label("score"))
