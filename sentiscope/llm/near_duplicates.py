@@ -276,8 +276,8 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     chosen = texts.join(wanted.select("node", "text_key"), "text_key").dropDuplicates(["node"]).select("node", "text")
     sets = materialise(chosen.mapInPandas(_shingle_sets(size, chunk_words), "node binary, set array<long>"), "shingles")
     ring = F.concat("buckets", F.slice("buckets", 1, max(DEPTHS)))
-    finer = [F.transform(F.sequence(F.lit(1), F.lit(bands)), lambda i, d=d: F.xxhash64(F.slice(ring, i, d))) for d in DEPTHS]
-    met = wanted.select("node", F.explode(F.concat(*finer)).alias("bucket"))
+    finer = [F.xxhash64(F.slice(ring, i, d)) for d in DEPTHS for i in range(1, bands + 1)]
+    met = wanted.select("node", F.explode(F.array(*finer)).alias("bucket"))
     crowded = met.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(
         F.col("low") != F.col("high")).select("bucket")
     met = materialise(met.join(crowded, "bucket"), "buckets")
