@@ -12,14 +12,15 @@ weighted Jaccard similarity as probability.
 Joining.  Texts with the same words are one node first, so thousands of copies cost one
 signature row in the joins.  Nodes that agree in one of ``bands`` bands of ``rows``
 coordinates share a bucket; nodes that also agree in the following bands share finer
-buckets (``DEPTHS`` bands in a row).  No pairs are emitted within a bucket: each member
-meets the bucket's pivot, and the exact Jaccard similarity of the two shingle sets
-decides on a link.  In a large group of copies with many different edits, the finer
-buckets bring each text together with those most like it.  Connected members are then
-settled.  In buckets that still hold several components, further rounds test for each
-text and each other component the member that agrees with it in the most bands (at least
-``AGREE``) and has not been tested, until a round finds no new link.  Pairs that fail are
-not tested again.  Classes are the connected components of the links.
+buckets (``DEPTHS`` bands in a row).  Each member first meets its bucket's least node,
+and the exact Jaccard similarity of the two shingle sets decides on a link; connected
+members are then settled.  In ``TURNS`` further turns each member of a bucket with
+several components meets a drawn member of another one.  So nearly all members are
+settled by work that grows with the nodes alone.  The pairs of different components
+that are left, share a bucket, agree in nearly as many coordinates as the threshold asks
+(``DOUBT`` standard deviations less) and were not tested are then all tested, each once.
+A pair at similarity 0.8 agrees in fewer than these 68 of 96 coordinates with probability
+0.01; it is then lost only if no turn and no chain of other links joins the two.  Classes are the connected components of the links.
 
 Defined results: a text of one to four words is one shingle; a null text or one without
 words is a class of its own; repeated rows and exact copies share a class; the class id
@@ -46,7 +47,8 @@ THRESHOLD = 0.8
 BANDS = 24
 ROWS = 4
 DEPTHS = (1, 2, 4)
-AGREE = 5
+TURNS = 2
+DOUBT = 2.3
 CHUNK_WORDS = 1_000_000
 
 
@@ -136,6 +138,17 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def marks(signature: np.ndarray) -> np.ndarray:
+    """A 32-bit number per coordinate and value, so that equal marks count the coordinates that agree."""
+    place = np.arange(signature.shape[1], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (_mix(signature ^ place) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def least_agreement(k: int, threshold: float) -> float:
+    """Agreeing coordinates of ``k`` that a pair at the threshold reaches but for ``DOUBT`` standard deviations."""
+    return threshold * k - DOUBT * float(np.sqrt(k * threshold * (1 - threshold)))
+
+
 # -------------------------------------------------------------- map functions
 def _chunks(texts, chunk_words: int) -> Iterator[tuple[slice, list[list[str]]]]:
     """Slices of a batch with about ``chunk_words`` words, and their words in lower case."""
@@ -156,11 +169,13 @@ def _sign(bands: int, rows: int, size: int, chunk_words: int):
             for part, words in _chunks(batch["text"], chunk_words):
                 lengths = np.array([len(w) for w in words], dtype=np.int64)
                 doc, element, weight = weighted(*shingles([x for w in words for x in w], lengths, size))
-                keys = band_keys(dart_signatures(doc, element, weight, len(words), bands * rows), bands, rows)
+                signature = dart_signatures(doc, element, weight, len(words), bands * rows)
+                keys = band_keys(signature, bands, rows)
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].iloc[part].array, "text_key": batch["text_key"].iloc[part].array,
                     "node": [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() if w else None for w in words],
-                    "buckets": [k if n else [] for k, n in zip(keys, lengths, strict=True)]})
+                    "buckets": [k if n else [] for k, n in zip(keys, lengths, strict=True)],
+                    "marks": [m if n else [] for m, n in zip(marks(signature), lengths, strict=True)]})
 
     return run
 
@@ -224,32 +239,47 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def crowded_pivots(met: DataFrame) -> DataFrame:
-    """The least node of every bucket."""
-    return met.groupBy("bucket").agg(F.min("node").alias("pivot"))
+def _placed(member: DataFrame, labels: DataFrame) -> DataFrame:
+    return member.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _best_across(met: DataFrame, labels: DataFrame, signs: DataFrame, tried: DataFrame, threshold: float) -> DataFrame:
-    """For each node and each other component in its buckets, the most alike member not yet tested.
+def _foreign_pivots(met: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Each node of a bucket with several components, paired with one node of another component.
 
-    Sizes of the sets bound the similarity, and the number of common buckets estimates it;
-    both are join conditions, and the best per node and component is found by an aggregation.
+    A bucket's pivot is drawn by a hash of node and turn; the nodes of the pivot's own
+    component meet a node of another one.  The pairs of a turn grow with the nodes alone.
     """
-    placed = met.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = _placed(met, labels)
+    drawn = F.xxhash64("node", F.lit(turn))
+    by_component = F.struct(F.xxhash64("component", F.lit(turn)).alias("h"), drawn.alias("r"), "component", "node")
+    pivots = placed.groupBy("bucket").agg(
+        F.min(F.struct(drawn.alias("r"), "component", "node")).alias("p"),
+        F.min(by_component).alias("low"), F.max(by_component).alias("high")).where(
+        F.col("low.component") != F.col("high.component"))
+    other = F.when(F.col("low.component") != F.col("p.component"), F.col("low.node")).otherwise(F.col("high.node"))
+    pivots = pivots.select("bucket", F.col("p.component").alias("home"), F.col("p.node").alias("pivot"), other.alias("other"))
+    met_by = placed.join(pivots, "bucket").select(
+        "node", F.when(F.col("component") == F.col("home"), F.col("other")).otherwise(F.col("pivot")).alias("pivot"))
+    return met_by.select(*_ordered("node", "pivot")).distinct()
+
+
+def _remaining(member: DataFrame, labels: DataFrame, signs: DataFrame, tried: DataFrame, agree: float, threshold: float) -> DataFrame:
+    """All pairs of different components that share a bucket, agree in ``agree`` coordinates and have not been tested.
+
+    Sizes of the sets bound the similarity; a pair comes from the first bucket it shares.
+    """
+    placed = _placed(member, labels)
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         F.col("low") != F.col("high")).select("bucket")
     left = materialise(placed.join(mixed, "bucket").join(signs, "node"), "mixed")
-    right = left.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "buckets", "n")])
-    common = F.size(F.array_intersect("buckets", "other_buckets"))
+    right = left.select(*[F.col(c).alias(f"other_{c}") for c in left.columns])
+    common = F.array_intersect("buckets", "other_buckets")
     alike = ((F.col("component") < F.col("other_component"))
-             & (F.least("n", "other_n") >= threshold * F.greatest("n", "other_n") - 1e-9) & (common >= AGREE))
-    pairs = left.join(right, (left["bucket"] == right["bucket"]) & alike).select(
-        *_ordered("node", "other_node"), "node", "other_node", "component", "other_component", common.alias("common"))
-    pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    either = pairs.select("a", "b", "common", F.col("node").alias("x"), F.col("other_component").alias("c")).unionByName(
-        pairs.select("a", "b", "common", F.col("other_node").alias("x"), F.col("component").alias("c")))
-    best = either.groupBy("x", "c").agg(F.max(F.struct("common", "a", "b")).alias("best"))
-    return best.select("best.a", "best.b").distinct()
+             & (F.least("n", "other_n") >= threshold * F.greatest("n", "other_n") - 1e-9)
+             & (F.get(common, F.lit(0)) == F.col("bucket"))
+             & (F.size(F.array_intersect("marks", "other_marks")) >= agree))
+    pairs = left.join(right, (F.col("bucket") == F.col("other_bucket")) & alike).select(*_ordered("node", "other_node"))
+    return pairs.join(tried, ["a", "b"], "left_anti")
 
 
 def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -264,9 +294,9 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     texts = texts.withColumn("text_key", text_key(F.col("text")))
     signed = materialise(texts.mapInPandas(
         _sign(bands, rows, size, chunk_words),
-        f"doc_id {kind}, text_key string, node binary, buckets array<long>"), "signatures")
+        f"doc_id {kind}, text_key string, node binary, buckets array<long>, marks array<int>"), "signatures")
     nodes = (signed.where(F.col("node").isNotNull()).groupBy("node")
-             .agg(F.min("text_key").alias("text_key"), F.any_value("buckets").alias("buckets")))
+             .agg(F.min("text_key").alias("text_key"), F.any_value("buckets").alias("buckets"), F.any_value("marks").alias("marks")))
     member = nodes.select("node", F.explode("buckets").alias("bucket"))
     some = F.xxhash64("node")
     shared = materialise(member.groupBy("bucket").agg(F.min(some).alias("low"), F.max(some).alias("high")).where(
@@ -278,23 +308,23 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     ring = F.concat("buckets", F.slice("buckets", 1, max(DEPTHS)))
     finer = [F.xxhash64(F.slice(ring, i, d)) for d in DEPTHS for i in range(1, bands + 1)]
     met = wanted.select("node", F.explode(F.array(*finer)).alias("bucket"))
-    crowded = met.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(
-        F.col("low") != F.col("high")).select("bucket")
+    crowded = met.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("high")).where(
+        F.col("pivot") != F.col("high")).select("bucket", "pivot")
     met = materialise(met.join(crowded, "bucket"), "buckets")
 
-    pivots = crowded_pivots(met)
-    tried = materialise(met.join(pivots, "bucket").where(F.col("node") != F.col("pivot")).select(
-        *_ordered("node", "pivot")).distinct(), "pairs")
+    tried = materialise(met.where(F.col("node") != F.col("pivot")).select(*_ordered("node", "pivot")).distinct(), "pairs")
+    met = met.select("node", "bucket")
     links = materialise(_linked(tried, sets, threshold), "linked")
     labels = components(links)
-    signs = wanted.select("node", "buckets").join(sets.select("node", F.size("set").alias("n")), "node")
-    while True:
-        pairs = materialise(_best_across(met, labels, signs, tried, threshold), "pairs")
+    for turn in range(1, TURNS + 1):
+        pairs = materialise(_foreign_pivots(met, labels, turn).join(tried, ["a", "b"], "left_anti"), "pairs")
         new = materialise(_linked(pairs, sets, threshold), "linked")
-        if new.isEmpty():
-            break
         links, tried = links.unionByName(new), tried.unionByName(pairs)
         labels = components(links)
+    signs = wanted.select("node", "buckets", "marks").join(sets.select("node", F.size("set").alias("n")), "node")
+    rest = materialise(_remaining(member.join(shared, "bucket"), labels, signs, tried,
+                                  least_agreement(bands * rows, threshold), threshold), "pairs")
+    labels = components(links.unionByName(materialise(_linked(rest, sets, threshold), "linked")))
     of_node = signed.select("doc_id", "text_key", "node").join(labels, "node", "left").select(
         "doc_id", "text_key", F.coalesce("component", "node").alias("c"))
     classes = (of_node.where(F.col("c").isNotNull()).groupBy("c")
