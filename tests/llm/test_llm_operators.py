@@ -194,3 +194,40 @@ def test_pipeline_stages(spark, docs, tmp_path):
         folder + "/benchmark.parquet")
     left = sorted((r.doc_id or -1) for r in corpus_pipeline.run(spark, folder).collect())
     assert set(left) <= {-1, 4, 9} and left
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    """Many edited copies of one text, whose similarities spread widely: classes are those of an all-pairs search."""
+    import random
+
+    draw = random.Random(3)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(150)]
+    texts = []
+    for i in range(160):
+        words = list(base)
+        for at in draw.sample(range(150), draw.choice([1, 2, 3, 4, 6, 9])):
+            words[at] = f"edit{i}x{at}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[j:j + 5]) for j in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_duplicates.near_duplicate_classes(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == root
+    assert 1 < len(set(root)) < len(texts)
+
+
+def test_marks_count_agreeing_coordinates():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    first = rng.integers(1, 2**63, (1, 96), dtype=np.uint64)
+    second = first.copy()
+    second[0, :30] += np.uint64(1)
+    a, b = near_duplicates.marks(np.r_[first, second])
+    assert len(set(a) & set(b)) == 66
+    assert near_duplicates.least_agreement(96, 0.8) == pytest.approx(67.79, abs=0.01)
