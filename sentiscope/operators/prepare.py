@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 
 from sentiscope.functions.hashing import hash_fraction
 from sentiscope.functions.labels import score_to_label, score_to_label_or_unknown
-from sentiscope.operators.ranking import group_counts, group_rank
+from sentiscope.operators.ranking import group_counts, order_key, rank_cutoffs, with_group
 
 # Fixed values of the original preparation.
 TRAIN_RATIO, VAL_RATIO, TEST_RATIO = 0.8, 0.1, 0.1
 RANDOM_SEED = 42
 SCORE_PATTERN = "^[1-5]$"
 SAMPLE_ROWS = 10_000
-MAX_BROADCAST_CLASSES = 10_000
 
 
 def load_reviews(raw: DataFrame, text: str = "Text", score: str = "Score") -> DataFrame:
@@ -105,23 +104,21 @@ def split_stratified(frame: DataFrame, label: str = "label", key: str = "doc_id"
                      seed: int = RANDOM_SEED, train_pct: int = 80, val_pct_of_rest: int = 50) -> DataFrame:
     """Per-class exact 80 / 20 split, then the 20 split 50 / 50 into val / test.
 
-    Within a class rows are ordered by the hash fraction of ``key``; the first
-    ``round(n_c * 0.8)`` are train, the next ``round(rest * 0.5)`` val, the
-    remainder test (integer half-up rounding).  The per-class rank is computed by
-    :func:`group_rank`, never by a one-task-per-class window.
+    Within a class rows are ordered by the hash fraction of ``key`` (unique); the first
+    ``round(n_c * 0.8)`` are train, the next ``round(rest * 0.5)`` val, the remainder
+    test (integer half-up rounding).  Keys alone are ranked, without a one-task-per-class
+    window; the wide rows are compared with their class's two cut-offs.
     """
-    counts = group_counts(frame, label)
-    largest = counts.agg(F.max("group_count")).first()[0] or 0
-    ranked = group_rank(frame.withColumn("_u", hash_fraction(key, seed)), label, "_u", key,
-                        out="_r", largest=largest)
     n_train = F.floor((F.col("group_count") * train_pct + 50) / 100)
-    rest = F.col("group_count") - n_train
-    n_val = F.floor((rest * val_pct_of_rest + 50) / 100)
-    joined = ranked.join(counts, label, "inner")
-    return (joined.withColumn("split", F.when(F.col("_r") < n_train, F.lit("train"))
-                              .when(F.col("_r") < n_train + n_val, F.lit("val"))
-                              .otherwise(F.lit("test")))
-            .drop("_u", "_r", "group_count"))
+    n_val = F.floor(((F.col("group_count") - n_train) * val_pct_of_rest + 50) / 100)
+    ends = group_counts(frame, label).select(label, n_train.alias("_val"), (n_train + n_val).alias("_test"))
+    drawn = frame.withColumn("_u", hash_fraction(key, seed))
+    cuts = rank_cutoffs(drawn, ends, label, "_u", key, _val_cut="_val", _test_cut="_test")
+    at = order_key("_u", key)
+    split = (F.when(F.col("_val_cut").isNull() | (at < F.col("_val_cut")), F.lit("train"))
+             .when(F.col("_test_cut").isNull() | (at < F.col("_test_cut")), F.lit("val"))
+             .otherwise(F.lit("test")))
+    return with_group(drawn, cuts, label).withColumn("split", split).drop("_u", "_val_cut", "_test_cut")
 
 
 # ----------------------------------------------------------------- weights
@@ -138,13 +135,9 @@ def class_weight_table(train: DataFrame, label: str = "label") -> DataFrame:
 def add_class_weights(train: DataFrame, label: str = "label") -> DataFrame:
     """Attach ``class_weight`` to every training row.
 
-    The weight table has one row per class; its size is checked before it is
-    broadcast, otherwise the join is left to the planner.
+    The weight table has one row per class; the planner broadcasts it when it is small.
     """
     weights = class_weight_table(train, label).select(label, "class_weight")
-    n_classes = weights.count()
-    if n_classes <= MAX_BROADCAST_CLASSES:
-        weights = F.broadcast(weights)
     return train.join(weights, label, "left")
 
 

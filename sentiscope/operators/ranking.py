@@ -11,15 +11,17 @@ one task; when one class holds most rows that task holds most of the data.
    sub-group its offset; a ``row_number`` inside each sub-group adds the local
    rank.
 
-``S`` is chosen from the largest group so that a sub-group holds about
+``S`` is chosen per group from its size so that a sub-group holds about
 ``rows_per_task`` rows; the index does not depend on ``S``.
+
+``rank_cutoffs`` turns ranks into values of the order key, so that a caller can
+compare wide rows with a per-group cut-off instead of sending them through the
+window.  All of it is lazy: group sizes stay a DataFrame.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 2_000_000
@@ -29,18 +31,19 @@ def group_counts(df: DataFrame, group: str) -> DataFrame:
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("group_count"))
 
 
-def group_rank(df: DataFrame, group: str, u: str, tie: str, out: str = "rank",
-               rows_per_task: int = ROWS_PER_TASK, largest: int | None = None) -> DataFrame:
-    """Add ``out`` = 0-based position of each row within ``group`` ordered by ``(u, tie)``.
+def with_group(df: DataFrame, per_group: DataFrame, group: str) -> DataFrame:
+    """Attach a one-row-per-group table; a null group is a group like any other."""
+    other = per_group.withColumnRenamed(group, "_g")
+    return df.join(other, df[group].eqNullSafe(other["_g"])).drop("_g")
 
-    ``u`` must lie in [0, 1).  ``largest`` (size of the largest group) may be
-    passed when already known; otherwise one small aggregation computes it.
-    """
-    if largest is None:
-        largest = group_counts(df, group).agg(F.max("group_count")).first()[0] or 0
-    buckets = max(1, math.ceil(largest / rows_per_task))
-    b = F.least(F.floor(F.col(u) * F.lit(buckets)), F.lit(buckets - 1)).cast("int")
-    with_bucket = df.withColumn("_bucket", b)
+
+def group_rank(df: DataFrame, group: str, u: str, tie: str, out: str = "rank",
+               rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Add ``out`` = 0-based position of each row within ``group`` ordered by ``(u, tie)``; ``u`` in [0, 1)."""
+    pieces = group_counts(df, group).select(
+        group, F.ceil(F.col("group_count") / F.lit(rows_per_task)).cast("int").alias("_pieces"))
+    piece = F.least(F.floor(F.col(u) * F.col("_pieces")), F.col("_pieces") - 1).cast("int")
+    with_bucket = with_group(df, pieces, group).withColumn("_bucket", piece).drop("_pieces")
     # offsets: small table of (group, bucket) counts, cumulated per group
     sub = with_bucket.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -52,3 +55,18 @@ def group_rank(df: DataFrame, group: str, u: str, tie: str, out: str = "rank",
     return (local.join(offsets, cond, "inner")
             .withColumn(out, (F.col("_offset") + F.col("_local")).cast("bigint"))
             .drop("_bucket", "_offset", "_local", "_g", "_b"))
+
+
+def rank_cutoffs(df: DataFrame, ranks: DataFrame, group: str, u: str, tie: str, **at: str) -> DataFrame:
+    """``group`` and, per ``name=column of ranks``, the order key ``(u, tie)`` of the row at that rank.
+
+    Null where the group has no such row.  Only ``group, u, tie`` are ranked; compare
+    with :func:`order_key`.  ``(u, tie)`` must differ from row to row of a group.
+    """
+    ranked = with_group(group_rank(df.select(group, u, tie), group, u, tie, out="_r"), ranks, group)
+    cuts = [F.min(F.when(F.col("_r") == F.col(column), order_key(u, tie))).alias(name) for name, column in at.items()]
+    return ranked.groupBy(group).agg(*cuts)
+
+
+def order_key(u: str, tie: str) -> Column:
+    return F.struct(F.col(u).alias("u"), F.col(tie).alias("tie"))

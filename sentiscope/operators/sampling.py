@@ -8,87 +8,55 @@
 
 Draws are hashes, not ``rand``: the rows kept by ``undersample`` are the first
 ``k_c`` of the class in hash order, and draw ``j`` of class ``c`` in
-``oversample`` picks the row at position ``floor(h(c, j) * n_c)``.  Positions
-come from :func:`sentiscope.operators.ranking.group_rank` (two-phase, no
-one-task-per-class window).  The draw slots are generated by ``spark.range``
-across many tasks and aggregated into per-row multiplicities before the join,
-so a row drawn many times is one join row, not many.
+``oversample`` picks the row at position ``floor(h(c, j) * n_c)``.  Only keys are
+ranked (:mod:`sentiscope.operators.ranking`, no one-task-per-class window):
+``undersample`` filters the wide rows by a per-class cut-off, and ``oversample``
+aggregates the draws into per-row multiplicities before the wide rows join them,
+so a row drawn many times is one join row.  Class sizes stay a DataFrame: any
+number of classes, null among them.  ``key`` is unique.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentiscope.functions.hashing import hash_fraction
-from sentiscope.operators.ranking import group_counts, group_rank
+from sentiscope.operators.ranking import group_counts, group_rank, order_key, rank_cutoffs, with_group
 
-MAX_CLASSES = 10_000
-SLOTS_PER_PARTITION = 1_000_000
-
-
-def _class_sizes(df: DataFrame, label: str) -> list[tuple]:
-    counts = group_counts(df, label)
-    # one row per class; bounded before it is brought to the driver
-    rows = counts.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}")
-    return sorted(((r[label], int(r["group_count"])) for r in rows), key=lambda x: str(x[0]))
+SLOTS_PER_TASK = 1_000_000
 
 
 def undersample(df: DataFrame, label: str = "label", key: str = "doc_id", seed: int = 42) -> DataFrame:
-    sizes = _class_sizes(df, label)
-    if not sizes:
-        return df
-    smallest = min(n for _, n in sizes)
-    largest = max(n for _, n in sizes)
-    keep = {c: (n if n <= smallest else (n + smallest) // 2) for c, n in sizes}
-    ranked = group_rank(df.withColumn("_u", hash_fraction(key, seed)), label, "_u", key,
-                        out="_r", largest=largest)
-    limit = None
-    for c, k in keep.items():
-        cond = F.col(label).eqNullSafe(F.lit(c))
-        limit = F.when(cond, F.lit(k)) if limit is None else limit.when(cond, F.lit(k))
-    return ranked.where(F.col("_r") < limit).drop("_u", "_r")
+    smallest = F.min("group_count").over(Window.partitionBy())  # over one row per class
+    keep = group_counts(df, label).withColumn("_smallest", smallest).select(
+        label, F.when(F.col("group_count") <= F.col("_smallest"), F.col("group_count"))
+        .otherwise(F.floor((F.col("group_count") + F.col("_smallest")) / 2)).alias("_k"))
+    drawn = df.withColumn("_u", hash_fraction(key, seed))
+    cuts = rank_cutoffs(drawn, keep, label, "_u", key, _cut="_k")
+    inside = F.col("_cut").isNull() | (order_key("_u", key) < F.col("_cut"))
+    return with_group(drawn, cuts, label).where(inside).drop("_u", "_cut")
 
 
 def oversample(df: DataFrame, label: str = "label", key: str = "doc_id", seed: int = 42,
                ratio: float = 1.0) -> DataFrame:
     """Originals plus draws with replacement; adds ``is_original``."""
-    spark = df.sparkSession
-    sizes = _class_sizes(df, label)
-    if not sizes:
-        return df.withColumn("is_original", F.lit(True))
-    largest = max(n for _, n in sizes)
-    target = int(ratio * largest)
-    extra = [(c, n, max(0, target - n)) for c, n in sizes]
-    originals = df.withColumn("is_original", F.lit(True))
-    total = sum(e for _, _, e in extra)
-    if total == 0:
-        return originals
-    # slot id -> (class, j) by the per-class offsets (one CASE branch per class)
-    parts = max(1, -(-total // SLOTS_PER_PARTITION))
-    slots = spark.range(0, total, numPartitions=parts)
-    cls = n_col = off_col = None
-    offset = 0
-    for c, n, e in extra:
-        if e == 0:
-            continue
-        cond = F.col("id") < F.lit(offset + e)
-        cls = F.when(cond, F.lit(c)) if cls is None else cls.when(cond, F.lit(c))
-        n_col = F.when(cond, F.lit(n)) if n_col is None else n_col.when(cond, F.lit(n))
-        off_col = F.when(cond, F.lit(offset)) if off_col is None else off_col.when(cond, F.lit(offset))
-        offset += e
-    slots = slots.select(cls.alias(label), n_col.alias("_n"), (F.col("id") - off_col).alias("_j"))
-    draw_key = F.concat(F.col(label).cast("string"), F.lit("#"), F.col("_j").cast("string"))
-    picks = (slots.select(label, F.floor(hash_fraction(draw_key, seed) * F.col("_n")).alias("_r"))
-             .groupBy(label, "_r").agg(F.count(F.lit(1)).alias("_m")))
-    ranked = group_rank(df.withColumn("_u", hash_fraction(key, seed)), label, "_u", key,
-                        out="_r", largest=largest)
-    picks = picks.withColumnsRenamed({label: "_label", "_r": "_pick"})
+    target = F.floor(F.max("group_count").over(Window.partitionBy()) * F.lit(float(ratio)))
+    sizes = group_counts(df, label).withColumn("_extra", target - F.col("group_count")).where(F.col("_extra") > 0)
+    # draw numbers in blocks, so that no task makes more than SLOTS_PER_TASK of them at a time
+    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("_extra") - 1) / SLOTS_PER_TASK)))
+    blocks = sizes.select(label, "group_count", "_extra", block.alias("_block")).repartition(label, "_block")
+    first = F.col("_block") * SLOTS_PER_TASK
+    slots = blocks.select(label, "group_count", F.explode(
+        F.sequence(first, F.least(first + SLOTS_PER_TASK, F.col("_extra")) - 1)).alias("_j"))
+    draw_key = F.concat(F.coalesce(F.col(label).cast("string"), F.lit("null")), F.lit("#"), F.col("_j").cast("string"))
+    picks = (slots.select(F.col(label).alias("_label"),
+                          F.floor(hash_fraction(draw_key, seed) * F.col("group_count")).alias("_pick"))
+             .groupBy("_label", "_pick").agg(F.count(F.lit(1)).alias("_m")))
+    ranked = group_rank(df.select(label, key, hash_fraction(key, seed).alias("_u")), label, "_u", key, out="_r")
     same = ranked[label].eqNullSafe(picks["_label"]) & (ranked["_r"] == picks["_pick"])
-    drawn = (ranked.join(picks, same, "inner")
+    times = ranked.join(picks, same).select(F.col(key).alias("_key"), "_m")
+    drawn = (df.join(times, df[key].eqNullSafe(times["_key"]))
              .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_m").cast("int"))))
-             .drop("_u", "_r", "_m", "_copy", "_label", "_pick")
-             .withColumn("is_original", F.lit(False)))
-    return originals.unionByName(drawn)
+             .drop("_key", "_m", "_copy").withColumn("is_original", F.lit(False)))
+    return df.withColumn("is_original", F.lit(True)).unionByName(drawn)

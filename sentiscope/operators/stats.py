@@ -1,18 +1,32 @@
 """Distributed order statistics.
 
-``exact_median`` never gathers a whole column into one task: a bounded-memory
-``percentile_approx`` sketch brackets the middle ranks, one more pass counts the
-rows below the bracket and histograms the distinct values inside it, and only
-that small band is ordered to read off the exact middle value(s).
+``exact_median`` never gathers or orders a column: each pass counts the values of the
+current range in ``BINS`` equal bins (a map-side aggregation to at most ``BINS`` rows)
+and goes on with the bin that holds the middle rank, until that bin has one value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows the bracket may hold; the sketch accuracy is chosen to keep it this small.
-_BAND_ROWS = 250_000
+BINS = 1024
+
+
+def _value_at(values: DataFrame, rank: int, low: float, high: float) -> float:
+    """The value at a 1-based rank; ``low`` and ``high`` are the least and greatest value (finite)."""
+    while low < high:
+        width = max(high / BINS - low / BINS, 5e-324)
+        place = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(BINS - 1))
+        bins = (values.where(F.col("v").between(low, high)).groupBy(place.alias("bin"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+                .orderBy("bin").collect())  # at most BINS rows
+        for b in bins:
+            if rank <= b["n"]:
+                break
+            rank -= b["n"]
+        low, high = b["low"], b["high"]
+    return low
 
 
 def exact_median(df: DataFrame, col: str, stats: tuple | None = None) -> float | None:
@@ -23,43 +37,18 @@ def exact_median(df: DataFrame, col: str, stats: tuple | None = None) -> float |
     """
     values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     if stats is None:
-        r = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
-        stats = (r[0], r[1], r[2])
+        stats = tuple(values.agg(F.count("v"), F.min("v"), F.max("v")).first())
     n = int(stats[0] or 0)
     if n == 0:
         return None
-    head = {"lo": float(stats[1]), "hi": float(stats[2])}
-    m1 = (n + 1) // 2          # 1-based rank(s) of the middle value(s)
-    m2 = n // 2 + 1 if n % 2 == 0 else m1
-    accuracy = int(min(1_000_000, max(10_000, 4 * n // _BAND_ROWS)))
-    lo, hi = head["lo"], head["hi"]
-    if n > _BAND_ROWS:
-        eps = 2.0 / accuracy
-        a, b = values.agg(F.percentile_approx(
-            "v", F.array(F.lit(max(0.0, 0.5 - eps)), F.lit(min(1.0, 0.5 + eps))),
-            accuracy)).first()[0]
-    else:
-        a, b = lo, hi
-    if n <= _BAND_ROWS:
-        below = 0                   # the band is the whole column
-    else:
-        counts = values.agg(
-            F.count_if(F.col("v") < F.lit(a)).alias("below"),
-            F.count_if(F.col("v").between(F.lit(a), F.lit(b))).alias("inside"),
-        ).first()
-        below, inside = int(counts["below"]), int(counts["inside"])
-        if not (below < m1 and below + inside >= m2):
-            a, b, below = lo, hi, 0     # sketch bracket missed the middle: use the full range
-    band = (values.where(F.col("v").between(F.lit(a), F.lit(b)))
-            .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    # the band is bounded by _BAND_ROWS rows, so one ordered window over it is cheap
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = band.withColumn("cum", F.sum("c").over(w) + F.lit(below))
-    picked = ranked.agg(
-        F.min(F.when(F.col("cum") >= m1, F.col("v"))).alias("v1"),
-        F.min(F.when(F.col("cum") >= m2, F.col("v"))).alias("v2"),
-    ).first()
-    return (picked["v1"] + picked["v2"]) / 2.0
+    low, high = float(stats[1]), float(stats[2])
+    lower = _value_at(values, (n + 1) // 2, low, high)
+    if n % 2:
+        return lower
+    upto = values.agg(F.count_if(F.col("v") <= F.lit(lower)).alias("n"),
+                      F.min(F.when(F.col("v") > F.lit(lower), F.col("v"))).alias("next")).first()
+    upper = lower if upto["n"] > n // 2 else upto["next"]
+    return (lower + upper) / 2.0
 
 
 def approx_median(df: DataFrame, col: str, accuracy: int = 10_000):
