@@ -88,7 +88,8 @@ def latest_predictions(store: DataFrame, source: str = STREAM_SOURCE, sentiment=
     (``TakeOrderedAndProject``: each task keeps its own top ``limit``), then the
     oldest winning timestamp becomes a literal lower bound pushed into the
     Parquet scan (row groups older than it are skipped by their statistics) and
-    the winners are joined back by id - a broadcast of at most ``limit`` rows.
+    the winners are joined back by id and time, null ones included (a null time
+    is the oldest; without a full set of times there is no lower bound).
     """
     filtered = filter_predictions(store, source, sentiment, score, batch)
     # ``keys_from``: the same rows without the wide columns (e.g. a store view that
@@ -99,16 +100,17 @@ def latest_predictions(store: DataFrame, source: str = STREAM_SOURCE, sentiment=
     # the cutoff travels as the column's own string form and is cast back to the
     # column's type, so no Python / session time-zone conversion can shift it
     ts_type = narrow.schema["processed_at"].dataType.simpleString()
-    cutoff = top.agg(F.min("processed_at").cast("string")).first()[0]
+    oldest = F.min("processed_at").cast("string")
+    cutoff = top.agg(F.when(F.count_if(F.col("processed_at").isNull()) == 0, oldest)).first()[0]
     narrowed = (filtered if cutoff is None
                 else filtered.where(F.col("processed_at") >= F.lit(cutoff).cast(ts_type)))
-    keys = F.broadcast(top.select(F.col("event_id").alias("_id"), F.col("processed_at").alias("_ts")))
-    rows = (narrowed.join(keys, (narrowed.event_id == keys._id) & (narrowed.processed_at == keys._ts), "inner")
-            .drop("_id", "_ts"))
+    keys = top.select(F.col("event_id").alias("_id"), F.col("processed_at").alias("_ts")).distinct()
+    same = narrowed.event_id.eqNullSafe(keys._id) & narrowed.processed_at.eqNullSafe(keys._ts)
+    rows = narrowed.join(keys, same).drop("_id", "_ts")
     return prepare(rows).select(
         "event_id", "processed_at", "text_preview", "text", "score", "prediction",
         "predicted_label", "probability_values",
-        percent("confidence").alias("confidence_pct"), "batch_id", "source").orderBy(*latest_order())
+        percent("confidence").alias("confidence_pct"), "batch_id", "source").orderBy(*latest_order()).limit(limit)
 
 
 # ------------------------------------------------------------ predicates

@@ -35,7 +35,13 @@ TEST_SOURCE = "python_test"
 def reviews(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    score = (
+    return docs.join(labels, "doc_id", how).select(
+        "doc_id", F.col("text").alias("Text"), _raw_score().alias("Score"))
+
+
+def _raw_score() -> Column:
+    """The dirty score of a ``labels`` row."""
+    return (
         F.when(F.col("quality").isNull(), F.lit(None).cast("string"))
         .when(F.col("doc_id") % 17 == 0, F.lit("bad"))
         .when((F.col("quality") == 0) & (F.col("toxic") == 1), F.lit(" 1 "))
@@ -44,8 +50,6 @@ def reviews(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
         .when(F.col("doc_id") % 2 == 0, F.lit("4"))
         .otherwise(F.lit("5"))
     )
-    return docs.join(labels, "doc_id", how).select(
-        "doc_id", F.col("text").alias("Text"), score.alias("Score"))
 
 
 REVIEWS_SQL = """
@@ -63,15 +67,15 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 
 # --------------------------------------------------------------- labelled
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validated reviews.  Text work downstream is CPU-heavy, so a source read in
-    fewer partitions than cores is spread first (see ``session.spread``)."""
-    sc = F.expr("try_cast(trim(Score) AS INT)")
-    return spread(
-        reviews(spark, sf_dir, "inner")  # without a label row there is no score
-        .select("doc_id", F.col("Text").alias("text"), sc.alias("score"))
-        .where(F.col("score").between(1, 5))
-        .withColumn("label", score_to_label("score"))
-    )
+    """Validated reviews.  Scores are validated on the label side, so only texts with a
+    usable score pass the (inner) join; text work downstream is CPU-heavy, so a small
+    text scan is spread first (see ``session.spread``)."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    scores = (table(spark, sf_dir, "labels")
+              .select("doc_id", F.trim(_raw_score()).try_cast("int").alias("score"))
+              .where(F.col("score").between(1, 5))
+              .withColumn("label", score_to_label("score")))
+    return docs.join(scores, "doc_id")
 
 
 LABELLED_SQL = """

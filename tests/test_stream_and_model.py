@@ -169,11 +169,11 @@ def test_compact_batches_keeps_rows_and_reduces_files(spark, tmp_dir):
     ST.write_partitions(store.repartition(8), path)
     before = ST.read_store(spark, path).select("event_id", "batch_id", "predicted_label")
     want = sorted(map(tuple, before.collect()))
-    n_before = len(glob.glob(f"{path}/source=spark_structured_streaming/batch_id=*/*.parquet"))
+    n_before = len(glob.glob(f"{path}/source=spark_structured_streaming/run_id=*/batch_id=*/*.parquet"))
     assert ST.compact_batches(spark, path, "spark_structured_streaming", 3) == len(want)
     after = ST.read_store(spark, path).select("event_id", "batch_id", "predicted_label")
     assert sorted(map(tuple, after.collect())) == want
-    n_after = len(glob.glob(f"{path}/source=spark_structured_streaming/batch_id=*/*.parquet"))
+    n_after = len(glob.glob(f"{path}/source=spark_structured_streaming/run_id=*/batch_id=*/*.parquet"))
     assert n_after < n_before
 
 
