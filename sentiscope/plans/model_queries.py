@@ -20,10 +20,10 @@ from sentiscope.operators import tuning as TU
 from sentiscope.plans import model as MD
 from sentiscope.plans import search as SR
 from sentiscope.sources.fixtures import labelled, scored
+from sentiscope.sources.tables import fingerprint
 
 _LOGS: dict = {}
 _MODELS: dict = {}
-MAX_CLASSES = 10_000
 
 
 def _splits(spark, sf):
@@ -32,7 +32,7 @@ def _splits(spark, sf):
 
 
 def _trial_log(spark, sf):
-    key = (id(spark), sf)
+    key = fingerprint(spark, sf, "documents", "labels")
     if key not in _LOGS:
         train, val, _ = _splits(spark, sf)
         train = train.persist()
@@ -54,7 +54,7 @@ def trained_model(spark, sf):
 
     from sentiscope.session import scratch_path
 
-    key = (id(spark), sf)
+    key = fingerprint(spark, sf, "documents", "labels")
     if key not in _MODELS:
         train, _, _ = _splits(spark, sf)
         fitted = MD.fit(train, **MD.FINAL_CONFIG)
@@ -87,11 +87,8 @@ SELECT s.event_id, s.prediction, COALESCE(o.label, 'unknown') AS predicted_label
 FROM scored s LEFT JOIN o ON s.prediction = o.idx
 """, ("labelled", "scored"))
 def q_decode_prediction(spark, sf):
-    order = FE.label_index_table(labelled(spark, sf)).orderBy("label_index")
-    rows = order.limit(MAX_CLASSES + 1).collect()  # one row per class, bounded
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} labels")
-    labels = [r["label"] for r in rows]
+    # the rating bands are three, so the label array is small
+    labels = [r["label"] for r in FE.label_index_table(labelled(spark, sf)).orderBy("label_index").collect()]
     return scored(spark, sf).select("event_id", "prediction",
                                     decode_prediction("prediction", labels).alias("predicted_label"))
 

@@ -102,17 +102,15 @@ def cluster_conf(input_bytes: int, executor_cores_total: int,
     }
 
 
-def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
+def spread(scan: DataFrame, per_core: int = 2) -> DataFrame:
     """Give CPU-heavy row work (tokenising long texts) at least ``per_core`` tasks per core.
 
-    A small input can arrive in fewer partitions than the cluster has cores - a
-    Parquet file with a single row group is read by one task however many splits
-    it is cut into - and all text work then runs on one core.  Such an input is
-    round-robin repartitioned to ``per_core x defaultParallelism``.  A large input
-    already has many more splits than cores, so it is returned unchanged and no
-    text is shuffled.
+    Takes a bare file scan, whose split count is known without running a job.  A small
+    table can be read in fewer splits than the cluster has cores; it is dealt out
+    round-robin.  A large one has more splits than that and is returned as it is, so no
+    text is shuffled for it.  The rows are the same either way.
     """
-    target = per_core * df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    target = per_core * scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < target:
+        return scan.repartition(target)
+    return scan
