@@ -17,10 +17,12 @@ and the exact Jaccard similarity of the two shingle sets decides on a link; conn
 members are then settled.  In ``TURNS`` further turns each member of a bucket with
 several components meets a drawn member of another one.  So nearly all members are
 settled by work that grows with the nodes alone.  The pairs of different components
-that are left, share a bucket, agree in nearly as many coordinates as the threshold asks
-(``DOUBT`` standard deviations less) and were not tested are then all tested, each once.
-A pair at similarity 0.8 agrees in fewer than these 68 of 96 coordinates with probability
-0.01; it is then lost only if no turn and no chain of other links joins the two.  Classes are the connected components of the links.
+that are left, share a bucket, differ in hardly more bits than the threshold allows
+(``DOUBT`` standard deviations) and were not tested are then all tested, each once.  The
+bits are one per coordinate of a longer signature (``BITS`` coordinates), thrown for the
+nodes that share a bucket.  A pair at similarity 0.8 differs in more bits with probability
+0.005; it is then lost only if no turn and no chain of other links joins the two.  Classes
+are the connected components of the links.
 
 Defined results: a text of one to four words is one shingle; a null text or one without
 words is a class of its own; repeated rows and exact copies share a class; the class id
@@ -48,7 +50,8 @@ BANDS = 24
 ROWS = 4
 DEPTHS = (1, 2, 4)
 TURNS = 2
-DOUBT = 2.3
+BITS = 1024
+DOUBT = 2.6
 CHUNK_WORDS = 1_000_000
 
 
@@ -138,15 +141,15 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def marks(signature: np.ndarray) -> np.ndarray:
-    """A 32-bit number per coordinate and value, so that equal marks count the coordinates that agree."""
-    place = np.arange(signature.shape[1], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (_mix(signature ^ place) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+def bits(signature: np.ndarray) -> np.ndarray:
+    """One bit per coordinate, 64 of them to a number: equal values have equal bits, others by chance half the time."""
+    return np.packbits((_mix(signature) >> np.uint64(63)).astype(np.uint8), axis=1).view(np.int64)
 
 
-def least_agreement(k: int, threshold: float) -> float:
-    """Agreeing coordinates of ``k`` that a pair at the threshold reaches but for ``DOUBT`` standard deviations."""
-    return threshold * k - DOUBT * float(np.sqrt(k * threshold * (1 - threshold)))
+def most_differing(k: int, threshold: float) -> float:
+    """Differing bits of ``k`` that a pair at the threshold stays within but for ``DOUBT`` standard deviations."""
+    differs = (1 - threshold) / 2
+    return differs * k + DOUBT * float(np.sqrt(k * differs * (1 - differs)))
 
 
 # -------------------------------------------------------------- map functions
@@ -174,8 +177,7 @@ def _sign(bands: int, rows: int, size: int, chunk_words: int):
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].iloc[part].array, "text_key": batch["text_key"].iloc[part].array,
                     "node": [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() if w else None for w in words],
-                    "buckets": [k if n else [] for k, n in zip(keys, lengths, strict=True)],
-                    "marks": [m if n else [] for m, n in zip(marks(signature), lengths, strict=True)]})
+                    "buckets": [k if n else [] for k, n in zip(keys, lengths, strict=True)]})
 
     return run
 
@@ -186,9 +188,11 @@ def _shingle_sets(size: int, chunk_words: int):
             for part, words in _chunks(batch["text"], chunk_words):
                 lengths = np.array([len(w) for w in words], dtype=np.int64)
                 doc, element, _ = weighted(*shingles([x for w in words for x in w], lengths, size))
+                # unit weights, as the exact similarity counts distinct shingles
+                signature = dart_signatures(doc, element, np.ones(len(doc)), len(words), BITS)
                 ends = np.cumsum(np.bincount(doc, minlength=len(words)))
                 yield pd.DataFrame({"node": batch["node"].iloc[part].array,
-                                    "set": np.split(element.view(np.int64), ends[:-1])})
+                                    "set": np.split(element.view(np.int64), ends[:-1]), "bits": list(bits(signature))})
 
     return run
 
@@ -263,8 +267,8 @@ def _foreign_pivots(met: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     return met_by.select(*_ordered("node", "pivot")).distinct()
 
 
-def _remaining(member: DataFrame, labels: DataFrame, signs: DataFrame, tried: DataFrame, agree: float, threshold: float) -> DataFrame:
-    """All pairs of different components that share a bucket, agree in ``agree`` coordinates and have not been tested.
+def _remaining(member: DataFrame, labels: DataFrame, signs: DataFrame, tried: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of different components that share a bucket, differ in few enough bits and have not been tested.
 
     Sizes of the sets bound the similarity; a pair comes from the first bucket it shares.
     """
@@ -274,10 +278,11 @@ def _remaining(member: DataFrame, labels: DataFrame, signs: DataFrame, tried: Da
     left = materialise(placed.join(mixed, "bucket").join(signs, "node"), "mixed")
     right = left.select(*[F.col(c).alias(f"other_{c}") for c in left.columns])
     common = F.array_intersect("buckets", "other_buckets")
+    differing = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("other_bits")[i])) for i in range(BITS // 64)), F.lit(0))
     alike = ((F.col("component") < F.col("other_component"))
              & (F.least("n", "other_n") >= threshold * F.greatest("n", "other_n") - 1e-9)
-             & (F.get(common, F.lit(0)) == F.col("bucket"))
-             & (F.size(F.array_intersect("marks", "other_marks")) >= agree))
+             & (differing <= most_differing(BITS, threshold))
+             & (F.get(common, F.lit(0)) == F.col("bucket")))
     pairs = left.join(right, (F.col("bucket") == F.col("other_bucket")) & alike).select(*_ordered("node", "other_node"))
     return pairs.join(tried, ["a", "b"], "left_anti")
 
@@ -294,9 +299,9 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     texts = texts.withColumn("text_key", text_key(F.col("text")))
     signed = materialise(texts.mapInPandas(
         _sign(bands, rows, size, chunk_words),
-        f"doc_id {kind}, text_key string, node binary, buckets array<long>, marks array<int>"), "signatures")
+        f"doc_id {kind}, text_key string, node binary, buckets array<long>"), "signatures")
     nodes = (signed.where(F.col("node").isNotNull()).groupBy("node")
-             .agg(F.min("text_key").alias("text_key"), F.any_value("buckets").alias("buckets"), F.any_value("marks").alias("marks")))
+             .agg(F.min("text_key").alias("text_key"), F.any_value("buckets").alias("buckets")))
     member = nodes.select("node", F.explode("buckets").alias("bucket"))
     some = F.xxhash64("node")
     shared = materialise(member.groupBy("bucket").agg(F.min(some).alias("low"), F.max(some).alias("high")).where(
@@ -304,7 +309,7 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     # nodes that share a bucket, and their buckets of every depth
     wanted = materialise(nodes.join(member.join(shared, "bucket").select("node").distinct(), "node"), "wanted")
     chosen = texts.join(wanted.select("node", "text_key"), "text_key").dropDuplicates(["node"]).select("node", "text")
-    sets = materialise(chosen.mapInPandas(_shingle_sets(size, chunk_words), "node binary, set array<long>"), "shingles")
+    sets = materialise(chosen.mapInPandas(_shingle_sets(size, chunk_words), "node binary, set array<long>, bits array<long>"), "shingles")
     ring = F.concat("buckets", F.slice("buckets", 1, max(DEPTHS)))
     finer = [F.xxhash64(F.slice(ring, i, d)) for d in DEPTHS for i in range(1, bands + 1)]
     met = wanted.select("node", F.explode(F.array(*finer)).alias("bucket"))
@@ -321,9 +326,8 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
         new = materialise(_linked(pairs, sets, threshold), "linked")
         links, tried = links.unionByName(new), tried.unionByName(pairs)
         labels = components(links)
-    signs = wanted.select("node", "buckets", "marks").join(sets.select("node", F.size("set").alias("n")), "node")
-    rest = materialise(_remaining(member.join(shared, "bucket"), labels, signs, tried,
-                                  least_agreement(bands * rows, threshold), threshold), "pairs")
+    signs = wanted.select("node", "buckets").join(sets.select("node", "bits", F.size("set").alias("n")), "node")
+    rest = materialise(_remaining(member.join(shared, "bucket"), labels, signs, tried, threshold), "pairs")
     labels = components(links.unionByName(materialise(_linked(rest, sets, threshold), "linked")))
     of_node = signed.select("doc_id", "text_key", "node").join(labels, "node", "left").select(
         "doc_id", "text_key", F.coalesce("component", "node").alias("c"))

@@ -221,13 +221,15 @@ def test_near_duplicates_against_all_pairs(spark):
     assert 1 < len(set(root)) < len(texts)
 
 
-def test_marks_count_agreeing_coordinates():
+def test_bits_differ_as_often_as_the_similarity_says():
     import numpy as np
 
-    rng = np.random.default_rng(2)
-    first = rng.integers(1, 2**63, (1, 96), dtype=np.uint64)
-    second = first.copy()
-    second[0, :30] += np.uint64(1)
-    a, b = near_duplicates.marks(np.r_[first, second])
-    assert len(set(a) & set(b)) == 66
-    assert near_duplicates.least_agreement(96, 0.8) == pytest.approx(67.79, abs=0.01)
+    rng = np.random.default_rng(1)
+    element = rng.integers(1, 2**63, 450, dtype=np.uint64)
+    doc = np.repeat([0, 1], [400, 400])
+    s = near_duplicates.dart_signatures(doc, np.r_[element[:400], element[50:]], np.ones(800), 2, near_duplicates.BITS)
+    a, b = near_duplicates.bits(s)
+    assert len(a) == near_duplicates.BITS // 64
+    differing = sum(bin(int(x) & (2**64 - 1)).count("1") for x in a ^ b)
+    assert abs(differing / near_duplicates.BITS - (1 - 350 / 450) / 2) < 0.04
+    assert near_duplicates.most_differing(1024, 0.8) == pytest.approx(127.36, abs=0.01)
