@@ -233,3 +233,29 @@ def test_bits_differ_as_often_as_the_similarity_says():
     differing = sum(bin(int(x) & (2**64 - 1)).count("1") for x in a ^ b)
     assert abs(differing / near_duplicates.BITS - (1 - 350 / 450) / 2) < 0.04
     assert near_duplicates.most_differing(1024, 0.8) == pytest.approx(127.36, abs=0.01)
+
+
+LONG = "A long paragraph of running text that goes on for many words and so has a high ratio of text to tags"
+
+
+def test_html_clusters_choose_the_region_on_every_page():
+    links = "".join(f'<li><a href="/{i}">Go {i}</a></li>' for i in range(6))
+    teaser = f'<body><article><h2><a href="/x">More</a></h2></article><ul>{links}</ul><div class="story"><p>{LONG} one.</p><p>{LONG} two.</p></div></body>'
+    assert html_text.main_text(teaser) == f"{LONG} one.\n\n{LONG} two."
+    siblings = f"<body><ul>{links}</ul><article><p>{LONG} one.</p></article><article><p>{LONG} two.</p></article></body>"
+    assert html_text.main_text(siblings) == f"{LONG} one.\n\n{LONG} two."
+
+
+def test_html_short_parts_of_a_region_stay():
+    parts = ("<ul><li>one</li><li>two</li></ul>", "<table><tr><td>one<td>two</table>", "<blockquote>one</blockquote>", "<section><p>one</p></section>")
+    wanted = ("one\n\ntwo", "one two", "one", "one")
+    for part, want in zip(parts, wanted, strict=True):
+        page = f'<body><ul><li><a href="/">Go</a></li></ul><div class="story"><p>{LONG} one.</p>{part * 3}<p>{LONG} two.</p></div></body>'
+        assert html_text.main_text(page) == "\n\n".join([f"{LONG} one.", *[want] * 3, f"{LONG} two."])
+
+
+def test_html_hidden_elements_end():
+    assert html_text.main_text(f"<html><head><title>T</title><body><p>{LONG}</p></body>") == LONG
+    assert html_text.main_text(f"<html><head><meta charset=x><link rel=y><p>{LONG}</p>") == LONG
+    assert html_text.main_text(f"<body><div><noscript>No script</div><p>{LONG}</p>") == LONG
+    assert html_text.main_text(f"<body><article><div><svg><g>Drawing</div><p>{LONG}</p></article>") == LONG
