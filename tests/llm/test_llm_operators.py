@@ -259,3 +259,24 @@ def test_html_hidden_elements_end():
     assert html_text.main_text(f"<html><head><meta charset=x><link rel=y><p>{LONG}</p>") == LONG
     assert html_text.main_text(f"<body><div><noscript>No script</div><p>{LONG}</p>") == LONG
     assert html_text.main_text(f"<body><article><div><svg><g>Drawing</div><p>{LONG}</p></article>") == LONG
+
+
+def test_license_texts_and_headers(spark):
+    full = {k: t for k, t in licenses.known_texts() if len(t) > 600}
+    apache = [t for k, t in licenses.known_texts() if k == "Apache-2.0" and t.startswith("Licensed under the Apache License, Version 2.0 (the")][0]
+    gnu = [t for k, t in licenses.known_texts() if k == "GPL-3.0-or-later"][0].replace(" you can", "\n# you can").replace(" as pub", "\n# as pub")
+    rows = [(1, full["BSD-2-Clause"]), (2, "A file.\n\n" + full["BSD-3-Clause"] + "\nand code\n"), (3, "Copyright 2020 Ann\n\n" + full["ISC"]),
+            (4, "/*\n * " + apache.replace(" you may", "\n * you may") + "\n *\n *   https://www.apache.org/licenses/LICENSE-2.0\n *\n * Unless\n */\ncode"),
+            (5, "#!/bin/sh\n#\n# " + gnu + "\n#\n# rest\n"), (6, "Intro\n\n" + full["GPL-3.0-only"]), (7, full["MPL-2.0"].replace("\n\n", "\r\n\r\n")),
+            (8, full["BSD-2-Clause"].replace("binary form must", "binary form should")), (9, full["Apache-2.0"])]
+    got = licenses.find_licenses(spark.createDataFrame(rows, "doc_id int, text string"), licenses.known_digests(spark)).collect()
+    assert {r.doc_id: (r.licenses, r.whole) for r in got} == {
+        1: ("BSD-2-Clause", True), 2: ("BSD-3-Clause", False), 3: ("ISC", True), 4: ("Apache-2.0", False), 5: ("GPL-3.0-or-later", False),
+        6: ("GPL-3.0-only", False), 7: ("MPL-2.0", True), 8: ("", False), 9: ("Apache-2.0", True)}
+    own = licenses.known_digests(spark, [("Own-1.0", "My own license.\n\nDo what you like.")])
+    rows = [(1, "x\n\nMy own licence\n\n\nDo what you like!\n\ny")]
+    assert licenses.find_licenses(spark.createDataFrame(rows, "doc_id int, text string"), own).first().licenses == "Own-1.0"
+
+
+def test_known_licenses_contain_a_mark():
+    assert all(re.search(f"(?i){licenses.MARKS}", t) for _, t in licenses.known_texts())
