@@ -5,7 +5,8 @@ after a title.  An entity's canonical form (lower case; digits only for numbers)
 secret key give its surrogate, so every mention of one entity, in any document and any
 format, gets the same one (coreference), and each mention keeps its own format:
 
-* e-mail: letters become letters, digits digits; separators and the top-level domain stay;
+* e-mail: letters become letters, digits digits; separators and the top-level domain stay
+  (one without letters or digits before that domain gets eight letters on both sides);
 * IPv4: four new numbers from 0 to 255; phone and card: new digits in the old places, a
   country code and a card's first digit stay;
 * names: the title stays and gives the gender; the given name comes from a list of that
@@ -13,7 +14,9 @@ format, gets the same one (coreference), and each mention keeps its own format:
 
 Collision checks: over the table of distinct entities, a surrogate that equals another
 entity's surrogate or any real entity is drawn again with the next attempt number, round by
-round, until all differ.  Only mentions and entities are shuffled, and the texts of
+round, until all differ.  A surrogate grows with the attempts - by a syllable, letter, digit
+or number every few rounds - so the room of every shape is unbounded and the rounds end
+whatever the number of entities.  Only mentions and entities are shuffled, and the texts of
 rows that have a mention, by text digest; all steps are built-in functions.
 
 Defined results: a null text stays null, a text without mentions stays as it is; repeated
@@ -37,7 +40,9 @@ PHONE = "(?:\\+[0-9]{1,3}[ .-]?)?(?:\\([0-9]{3}\\)|(?<![0-9])[0-9]{3})[ .-]?[0-9
 CARD = "(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
 FEMALE = "Mrs|Ms|Miss|Frau|Mme|Madame|Sra|Señora|Г-жа|Κα"
 MALE = "Mr|Herr|M|Monsieur|Sr|Señor|Г-н|Κος"
-PERSON = f"(?<![\\p{{L}}])(?:{FEMALE}|{MALE})\\.? \\p{{Lu}}[\\p{{Ll}}'-]+(?: \\p{{Lu}}[\\p{{Ll}}'-]+)?"
+# a capital, then letters, and apostrophes and hyphens between letters, but no possessive s
+NAME = "\\p{Lu}(?:[\\p{L}\\p{M}]|(?!['’]s(?!\\p{L}))['’-](?=\\p{L}))+"
+PERSON = f"(?<![\\p{{L}}])(?:{FEMALE}|{MALE})\\.? {NAME}(?: {NAME})?"
 ANY = "|".join((EMAIL, IPV4, PHONE, CARD, PERSON))
 GIVEN = {
     "latin": ("Anna Clara Emma Julia Laura Maria Nora Sara".split(), "Adam David Felix Jonas Lucas Martin Oscar Paul".split()),
@@ -62,7 +67,7 @@ def _digits(mention: Column) -> Column:
 
 def canonical(kind: Column, mention: Column) -> Column:
     return (F.when(kind.isin("phone", "card"), _digits(mention))
-            .when(kind == "person", F.lower(F.regexp_replace(mention, "\\.", ""))).otherwise(F.lower(mention)))
+            .when(kind == "person", F.lower(F.translate(mention, "’.", "'"))).otherwise(F.lower(mention)))
 
 
 def _number(stream: Column, at: Column) -> Column:
@@ -82,15 +87,32 @@ def _spelled(entity: Column, stream: Column, first: Column) -> Column:
                         .when(c.rlike("[a-z]"), F.substring(letters, _number(stream, i) % 26 + 1, F.lit(1))).otherwise(c)), "")
 
 
-def _name(entity: Column, stream: Column) -> Column:
-    """A new canonical name: the title, a given name if there was one, a last name of four syllables."""
+def _letters(stream: Column, n: Column, skip: int) -> Column:
+    """``n`` new letters, from number ``skip`` of the stream on."""
+    letters = F.lit("abcdefghijklmnopqrstuvwxyz")
+    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.array_join(F.transform(places, lambda i: F.substring(letters, _number(stream, i + skip) % 26 + 1, F.lit(1))), "")
+
+
+def _email(entity: Column, stream: Column, more: Column) -> Column:
+    """New letters and digits in the old places, and ``more`` letters after the local part."""
+    kept = F.regexp_extract(entity, "(\\.[^.]*)$", 1)
+    spelled = _spelled(F.regexp_extract(entity, "^(.*)\\.[^.]*$", 1), stream, F.lit(0))
+    grown = F.concat(F.regexp_extract(spelled, "^([^@]*)@", 1), _letters(stream, more, 31), F.regexp_extract(spelled, "(@.*)$", 1))
+    made = F.concat(_letters(stream, F.lit(8) + more, 0), F.lit("@"), _letters(stream, F.lit(8), 40))
+    return F.concat(F.when(spelled.rlike("[a-z0-9]"), grown).otherwise(made), kept)
+
+
+def _name(entity: Column, stream: Column, more: Column) -> Column:
+    """A new canonical name: the title, a given name if there was one, a last name of four syllables and ``more``."""
     parts = F.split(entity, " ")
     female = F.get(parts, F.lit(0)).rlike(f"(?i)^(?:{FEMALE})$")
 
     def of_script(script):
         women, men = GIVEN[script]
         given = F.when(female, _pick(women, _number(stream, F.lit(0)))).otherwise(_pick(men, _number(stream, F.lit(0))))
-        last = F.initcap(F.concat(*[_pick(SYLLABLES[script], _number(stream, F.lit(i))) for i in range(1, 5)]))
+        last = F.initcap(F.array_join(F.transform(
+            F.sequence(F.lit(1), F.lit(4) + more), lambda i: _pick(SYLLABLES[script], _number(stream, i))), ""))
         return F.when(F.size(parts) > 2, F.concat_ws(" ", given, last)).otherwise(last)
 
     name = F.element_at(parts, -1)
@@ -102,12 +124,12 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str = KEY) ->
     """Surrogate of a canonical entity, in canonical form (names keep capitals)."""
     seed = F.concat_ws("\x1f", F.lit(key), kind, entity, attempt.cast("string"))
     stream = F.concat(F.sha2(seed, 512), F.sha2(F.concat(seed, F.lit("+")), 512))
-    domain_end = F.regexp_extract(entity, "^(.*)\\.[^.]*$", 1)
-    email = F.concat(_spelled(domain_end, stream, F.lit(0)), F.regexp_extract(entity, "(\\.[^.]*)$", 1))
-    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_number(stream, i) % 256).cast("string")), ".")
+    soon, late = F.floor(attempt / 2).cast("int"), F.floor(attempt / 4).cast("int")
+    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3) + late), lambda i: (_number(stream, i) % 256).cast("string")), ".")
     country = F.when(kind == "card", F.lit(1)).otherwise(F.greatest(F.length(entity) - 10, F.lit(0)))
-    return (F.when(kind == "email", email).when(kind == "ipv4", octets).when(kind == "person", _name(entity, stream))
-            .otherwise(_spelled(entity, stream, country)))
+    return (F.when(kind == "email", _email(entity, stream, soon)).when(kind == "ipv4", octets)
+            .when(kind == "person", _name(entity, stream, soon))
+            .otherwise(_spelled(F.concat(entity, F.repeat(F.lit("0"), late)), stream, country)))
 
 
 def surrogate_table(entities: DataFrame, key: str = KEY) -> DataFrame:
@@ -141,6 +163,7 @@ def render(kind: Column, mention: Column, new: Column) -> Column:
     before = F.transform(F.split(mention, ""), lambda c, i: F.struct(
         c.alias("c"), F.length(_digits(F.substring(mention, F.lit(1), i))).alias("n")))
     filled = F.array_join(F.transform(before, lambda x: F.when(x.c.rlike("[0-9]"), F.get(digit, x.n)).otherwise(x.c)), "")
+    filled = F.concat(filled, F.substring(new, F.length(_digits(mention)) + 1, F.length(new)))  # digits that it has grown
     title = F.regexp_extract(mention, "^([^ ]*) ", 1)
     cased = F.when((mention == F.upper(mention)) & (mention != F.lower(mention)), F.upper(new)).otherwise(new)
     return (F.when(kind.isin("phone", "card"), filled)

@@ -280,3 +280,34 @@ def test_license_texts_and_headers(spark):
 
 def test_known_licenses_contain_a_mark():
     assert all(re.search(f"(?i){licenses.MARKS}", t) for _, t in licenses.known_texts())
+
+
+def test_surrogates_end_when_a_shape_is_used_up(spark):
+    from pyspark.sql import functions as F
+
+    shapes = [("email", "a@b.io"), ("email", "__@--.com"), ("person", "mr smith"), ("ipv4", "1.2.3.4"), ("phone", "2125550100"), ("card", "4000123412341234")]
+    rows = spark.createDataFrame([(*shape, attempt) for shape in shapes for attempt in (0, 12)], "kind string, entity string, attempt int")
+    new = {(r.entity, r.attempt): r.new for r in rows.withColumn("new", pii.surrogate(F.col("kind"), F.col("entity"), F.col("attempt"))).collect()}
+    for _, entity in shapes[:3] + shapes[4:]:
+        assert len(new[entity, 12]) > len(new[entity, 0])
+    assert new["1.2.3.4", 12].count(".") > 3 and new["__@--.com", 0] != "__@--.com"
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [("email", f"{x}@{y}.io") for x in letters for y in letters] + [("email", "__@--.com")]  # as many as there are short surrogates
+    table = pii.surrogate_table(spark.createDataFrame(rows, "kind string, entity string")).collect()
+    assert len({r.new for r in table}) == len(rows) == len(table) and not {r.new for r in table} & {e for _, e in rows}
+
+
+def test_names_with_inner_capitals(spark):
+    names = ["Mr O'Brien", "Mr O’Brien", "Mrs McDonald", "Mr Jean-Luc Picard", "Mr Smith", "Mr Smith"]
+    text = "{} left. {} left. {} left. {} left. {} left. {}'s hat".format(*names)
+    got = pii.replace_personal_data(spark.createDataFrame([(1, text)], "doc_id int, text string")).first()
+    new = [part.strip() for part in got.text.split(" left.")]
+    assert got.n_entities == 6 and new[0] == new[1] and new[5] == new[4] + "'s hat"
+    assert not re.search("Brien|Donald|Luc|Picard|Smith", got.text)
+
+
+def test_grown_digits_are_rendered(spark):
+    from pyspark.sql import functions as F
+
+    row = spark.createDataFrame([("phone", "(212) 555-0100", "98765432101")], "k string, m string, n string")
+    assert row.select(pii.render(F.col("k"), F.col("m"), F.col("n"))).first()[0] == "(987) 654-32101"
