@@ -7,7 +7,11 @@ alone, so all documents share the darts of common elements.  Darts below a rank
 gives a document about ``k (ln k + 4)`` of them fall into ``k`` coordinates; the earliest
 dart inside the region is the coordinate's value (a document with an empty coordinate
 throws again with twice the rank).  Two documents agree in a coordinate with their
-weighted Jaccard similarity as probability.
+weighted Jaccard similarity as probability.  Links are decided by the similarity of the
+shingle sets, which counts a repeated shingle once; so a document that repeats shingles
+also has the bands of its signature with unit weights, and any two documents agree in a
+coordinate of these with the very similarity that is decided on (without repetitions both
+signatures are the same).
 
 Joining.  Texts with the same words are one node first, so thousands of copies cost one
 signature row in the joins.  Nodes that agree in one of ``bands`` bands of ``rows``
@@ -173,7 +177,15 @@ def _sign(bands: int, rows: int, size: int, chunk_words: int):
                 lengths = np.array([len(w) for w in words], dtype=np.int64)
                 doc, element, weight = weighted(*shingles([x for w in words for x in w], lengths, size))
                 signature = dart_signatures(doc, element, weight, len(words), bands * rows)
-                keys = band_keys(signature, bands, rows)
+                keys = list(band_keys(signature, bands, rows))
+                # documents that repeat a shingle: bands of the plain set too
+                repeating = np.unique(doc[weight > 1])
+                if len(repeating):
+                    of = np.isin(doc, repeating)
+                    plain = dart_signatures(np.searchsorted(repeating, doc[of]), element[of], np.ones(int(of.sum())),
+                                            len(repeating), bands * rows)
+                    for i, key in zip(repeating, band_keys(plain, bands, rows), strict=True):
+                        keys[i] = np.r_[keys[i], key]
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].iloc[part].array, "text_key": batch["text_key"].iloc[part].array,
                     "node": [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() if w else None for w in words],
@@ -302,7 +314,7 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
         f"doc_id {kind}, text_key string, node binary, buckets array<long>"), "signatures")
     nodes = (signed.where(F.col("node").isNotNull()).groupBy("node")
              .agg(F.min("text_key").alias("text_key"), F.any_value("buckets").alias("buckets")))
-    member = nodes.select("node", F.explode("buckets").alias("bucket"))
+    member = nodes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
     some = F.xxhash64("node")
     shared = materialise(member.groupBy("bucket").agg(F.min(some).alias("low"), F.max(some).alias("high")).where(
         F.col("low") != F.col("high")).select("bucket"), "shared")
@@ -310,9 +322,13 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     wanted = materialise(nodes.join(member.join(shared, "bucket").select("node").distinct(), "node"), "wanted")
     chosen = texts.join(wanted.select("node", "text_key"), "text_key").dropDuplicates(["node"]).select("node", "text")
     sets = materialise(chosen.mapInPandas(_shingle_sets(size, chunk_words), "node binary, set array<long>, bits array<long>"), "shingles")
-    ring = F.concat("buckets", F.slice("buckets", 1, max(DEPTHS)))
-    finer = [F.xxhash64(F.slice(ring, i, d)) for d in DEPTHS for i in range(1, bands + 1)]
-    met = wanted.select("node", F.explode(F.array(*finer)).alias("bucket"))
+
+    def finer(first: int):
+        ring = F.concat(F.slice("buckets", first, bands), F.slice("buckets", first, max(DEPTHS)))
+        return F.array(*[F.xxhash64(F.slice(ring, i, d)) for d in DEPTHS for i in range(1, bands + 1)])
+
+    plain = F.when(F.size("buckets") > bands, finer(bands + 1)).otherwise(F.array().cast("array<bigint>"))
+    met = wanted.select("node", F.explode(F.array_distinct(F.concat(finer(1), plain))).alias("bucket"))
     crowded = met.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("high")).where(
         F.col("pivot") != F.col("high")).select("bucket", "pivot")
     met = materialise(met.join(crowded, "bucket"), "buckets")

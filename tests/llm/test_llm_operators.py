@@ -311,3 +311,12 @@ def test_grown_digits_are_rendered(spark):
 
     row = spark.createDataFrame([("phone", "(212) 555-0100", "98765432101")], "k string, m string, n string")
     assert row.select(pii.render(F.col("k"), F.col("m"), F.col("n"))).first()[0] == "(987) 654-32101"
+
+
+def test_near_duplicates_of_repeated_texts(spark):
+    """A text and its repetitions have nearly the same shingle set, whatever the counts."""
+    times = (1, 2, 3, 5, 20, 60)
+    rows = [(100 * i + r, " ".join([prose(400, 10 + i)] * r)) for i in range(4) for r in times]
+    got = {r.doc_id: (r.class_id, r.class_size) for r in near_duplicates.near_duplicate_classes(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {100 * i + r: (100 * i + 1, len(times)) for i in range(4) for r in times}
