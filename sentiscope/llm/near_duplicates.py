@@ -22,10 +22,11 @@ members are then settled.  In ``TURNS`` further turns each member of a bucket wi
 several components meets a drawn member of another one.  So nearly all members are
 settled by work that grows with the nodes alone.  The pairs of different components
 that are left, share a bucket, differ in hardly more bits than the threshold allows
-(``DOUBT`` standard deviations) and were not tested are then all tested, each once.  The
+(``SURE`` standard deviations) and were not tested are then all tested, each once.  The
 bits are one per coordinate of a longer signature (``BITS`` coordinates), thrown for the
 nodes that share a bucket.  A pair at similarity 0.8 differs in more bits with probability
-0.005; it is then lost only if no turn and no chain of other links joins the two.  Classes
+below 1e-7, less than the banding loses (3e-6), and is then lost only if no turn and no
+chain of other links joins the two.  Classes
 are the connected components of the links.
 
 Defined results: a text of one to four words is one shingle; a null text or one without
@@ -56,6 +57,7 @@ DEPTHS = (1, 2, 4)
 TURNS = 2
 BITS = 1024
 DOUBT = 2.6
+SURE = 6.0
 CHUNK_WORDS = 1_000_000
 
 
@@ -150,10 +152,10 @@ def bits(signature: np.ndarray) -> np.ndarray:
     return np.packbits((_mix(signature) >> np.uint64(63)).astype(np.uint8), axis=1).view(np.int64)
 
 
-def most_differing(k: int, threshold: float) -> float:
-    """Differing bits of ``k`` that a pair at the threshold stays within but for ``DOUBT`` standard deviations."""
+def most_differing(k: int, threshold: float, doubt: float = DOUBT) -> float:
+    """Differing bits of ``k`` that a pair at the threshold stays within but for ``doubt`` standard deviations."""
     differs = (1 - threshold) / 2
-    return differs * k + DOUBT * float(np.sqrt(k * differs * (1 - differs)))
+    return differs * k + doubt * float(np.sqrt(k * differs * (1 - differs)))
 
 
 # -------------------------------------------------------------- map functions
@@ -293,7 +295,7 @@ def _remaining(member: DataFrame, labels: DataFrame, signs: DataFrame, tried: Da
     differing = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("other_bits")[i])) for i in range(BITS // 64)), F.lit(0))
     alike = ((F.col("component") < F.col("other_component"))
              & (F.least("n", "other_n") >= threshold * F.greatest("n", "other_n") - 1e-9)
-             & (differing <= most_differing(BITS, threshold))
+             & (differing <= most_differing(BITS, threshold, SURE))
              & (F.get(common, F.lit(0)) == F.col("bucket")))
     pairs = left.join(right, (F.col("bucket") == F.col("other_bucket")) & alike).select(*_ordered("node", "other_node"))
     return pairs.join(tried, ["a", "b"], "left_anti")

@@ -320,3 +320,23 @@ def test_near_duplicates_of_repeated_texts(spark):
     got = {r.doc_id: (r.class_id, r.class_size) for r in near_duplicates.near_duplicate_classes(
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {100 * i + r: (100 * i + 1, len(times)) for i in range(4) for r in times}
+
+
+def test_remaining_pairs_keep_all_but_one_link_in_ten_million(spark):
+    from pyspark.sql import functions as F
+
+    n = near_duplicates.BITS
+    # the most differing bits that a remaining pair may have, as the operator decides it
+    rows = [(bytes([0]), 5, [1], [0] * (n // 64), bytes([0]))]
+    for i, d in enumerate(range(100, 180), 1):
+        mask = (1 << d) - 1
+        words = [(mask >> (64 * j)) & (2**64 - 1) for j in range(n // 64)]
+        rows.append((bytes([i]), 5, [1], [w - 2**64 if w >= 2**63 else w for w in words], bytes([i])))
+    signs = spark.createDataFrame([r[:4] for r in rows], "node binary, n int, buckets array<long>, bits array<long>")
+    member = signs.select("node", F.lit(1).cast("long").alias("bucket"))
+    labels = signs.select("node", F.col("node").alias("component"))
+    none = spark.createDataFrame([], "a binary, b binary")
+    pairs = near_duplicates._remaining(member, labels, signs, none, 0.8).where(F.col("a") == bytes([0])).count()
+    most = 99 + pairs
+    lost = sum(math.comb(n, d) * 0.1**d * 0.9 ** (n - d) for d in range(most + 1, most + 200))
+    assert lost < 1e-7
