@@ -304,9 +304,12 @@ def _remaining(member: DataFrame, labels: DataFrame, signs: DataFrame, tried: Da
 def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                            threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
                            chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """One row per document: ``doc_id, text_key, class_id, class_size``.
+    """One row per document: ``doc_id, text_key, component, class_id, class_size``.
 
-    ``text_key`` is the digest of the text by which callers join back.
+    ``text_key`` is the digest of the text by which callers join back.  ``component`` tells
+    classes apart, whatever the ids (null for a document without words, a class of its own);
+    ``class_id`` is the least id in the class that is not null, null if it has none, and
+    two classes share it if an id repeats with different texts.
     """
     kind = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
@@ -327,7 +330,8 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
 
     def finer(first: int):
         ring = F.concat(F.slice("buckets", first, bands), F.slice("buckets", first, max(DEPTHS)))
-        return F.array(*[F.xxhash64(F.slice(ring, i, d)) for d in DEPTHS for i in range(1, bands + 1)])
+        starts = F.sequence(F.lit(1), F.lit(bands))
+        return F.concat(*[F.transform(starts, lambda i, d=d: F.xxhash64(F.slice(ring, i, F.lit(d)))) for d in DEPTHS])
 
     plain = F.when(F.size("buckets") > bands, finer(bands + 1)).otherwise(F.array().cast("array<bigint>"))
     met = wanted.select("node", F.explode(F.array_distinct(F.concat(finer(1), plain))).alias("bucket"))
@@ -352,21 +356,24 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     classes = (of_node.where(F.col("c").isNotNull()).groupBy("c")
                .agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
     return of_node.join(classes, "c", "left").select(
-        "doc_id", "text_key",
+        "doc_id", "text_key", F.col("c").alias("component"),
         F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The document with the least id of each class, with its own columns; documents without words all stay."""
+    """The document with the least id of each class, with its own columns; documents without words all stay.
+
+    A null id comes after all others, and of one id the least text digest stays.
+    """
     own = [F.col(f"`{c}`") for c in docs.columns]
     key = fresh_name(docs, "_key")
     classes = materialise(near_duplicate_classes(docs, id_col=id_col, text_col=text_col, **options), "classes")
     several = classes.where(F.col("class_size") > 1)
-    first = several.groupBy("class_id").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("n"))
-    gone = several.groupBy("class_id", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
-    gone = gone.withColumnRenamed("class_id", "c").join(first, F.col("c").eqNullSafe(F.col("class_id")))
-    stays = F.struct("doc_id", "text_key").eqNullSafe(F.col("first"))
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_key")
+    first = several.groupBy("component").agg(F.min(order).alias("first"))
+    gone = several.groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies")).join(first, "component")
+    stays = order.eqNullSafe(F.col("first"))
     verdict = materialise(gone.where(~stays | (F.col("copies") > 1)).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), stays.alias("_stays")), "verdicts")
     verdict = verdict.toDF(*[fresh_name(docs, c) for c in verdict.columns])

@@ -340,3 +340,62 @@ def test_remaining_pairs_keep_all_but_one_link_in_ten_million(spark):
     most = 99 + pairs
     lost = sum(math.comb(n, d) * 0.1**d * 0.9 ** (n - d) for d in range(most + 1, most + 200))
     assert lost < 1e-7
+
+
+def test_classes_without_or_with_repeated_ids(spark):
+    """Classes whose ids are all null, and classes that share an id, stay apart."""
+    a, b, c, d = (prose(120, seed) for seed in (21, 22, 23, 24))
+    rows = [(None, a), (None, a), (None, b), (None, b), (7, c), (7, c), (7, d), (8, d), (9, prose(120, 25)), (None, c), (None, None), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    left = near_duplicates.drop_near_duplicates(frame).collect()
+    assert sorted((r.doc_id or -1, r.text or "") for r in left) == sorted(
+        [(-1, a), (-1, b), (7, c), (7, d), (9, prose(120, 25)), (-1, ""), (-1, "")])
+    classes = near_duplicates.near_duplicate_classes(frame).where("component is not null").collect()
+    assert len({r.component for r in classes}) == 5
+    assert sorted((r.class_id or -1, r.class_size) for r in classes) == sorted([(-1, 2)] * 4 + [(7, 3)] * 3 + [(7, 2)] * 2 + [(9, 1)])
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """run() against the same five stages by plain Python, the near duplicates by all pairs of shingle sets."""
+    import random
+
+    draw = random.Random(5)
+    vocabulary = "".join(chr(97 + i) for i in range(26))
+    def words(n):
+        return ["".join(draw.choice(vocabulary) for _ in range(draw.randint(3, 9))) for _ in range(n)]
+    stop = "the of and to in that is was".split()
+    texts, ids = [], []
+    for i in range(12):
+        base = words(90 + i)  # the number of words tells the classes apart
+        base[::6] = [draw.choice(stop) for _ in base[::6]]
+        for copy in range(draw.choice([1, 2, 4])):
+            edited = list(base)
+            for at in draw.sample(range(90), draw.choice([0, 1, 2])):
+                edited[at] = f"edit{vocabulary[copy]}"
+            texts.append(" ".join(edited))
+            ids.append(draw.choice([None, None, 3, 10 + len(ids)]))
+    texts.append("too short"), ids.append(99)
+    texts.append(" ".join([w for word in words(80) for w in (word, "the")] + ["password = hunter22222"])), ids.append(100)
+    schema = "doc_id long, text string, source string"
+    frame = spark.createDataFrame([(i, t, "s") for i, t in zip(ids, texts, strict=True)], schema)
+    folder = str(tmp_path)
+    frame.write.parquet(folder + "/documents.parquet")
+    passage = " ".join(texts[0].split()[10:40])
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(folder + "/benchmark.parquet")
+
+    kept = [(i, t) for i, t in zip(ids, texts, strict=True) if len(t.split()) >= 50]
+    sets = [{tuple(w[j:j + 5]) for j in range(len(w) - 4)} for w in (t.lower().split() for _, t in kept)]
+    root = list(range(len(kept)))
+    for i in range(len(kept)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    groups = {}
+    for (i, t), r in zip(kept, root, strict=True):
+        groups.setdefault(r, []).append((i is None, i or 0, hashlib.md5(t.encode()).hexdigest(), t))
+    first = [(min(g)[1] or -1, min(g)[3]) for g in groups.values()]
+    items = {tuple(passage.split()[j:j + 10]) for j in range(len(passage.split()) - 9)}
+    clean = [(i, t) for i, t in first if not any(tuple(t.split()[j:j + 10]) in items for j in range(len(t.split()) - 9))]
+    mixed = sorted((i, len(t.replace("password = hunter22222", secrets.MASK).split())) for i, t in clean)
+    got = sorted((r.doc_id or -1, r["size"]) for r in corpus_pipeline.run(spark, folder).collect())
+    assert got and len(first) < len(kept) < len(texts) and len(clean) < len(first) and got == mixed
