@@ -2,7 +2,8 @@
 
 The model mixes maximum-likelihood estimates of bigrams, unigrams and the uniform
 distribution.  The mixture weights depend on how often the context was seen (one set per
-power of two) and are learned by expectation-maximisation on the held-out documents.
+power of two) and are learned by expectation-maximisation on the training documents, each
+token with itself deleted from the counts; held-out documents are scored and nothing else.
 
 Counting and scoring without a row per token in any shuffle:
 
@@ -12,7 +13,7 @@ Counting and scoring without a row per token in any shuffle:
    counts; a range's task sums the training counts and answers each chunk with the totals of
    the n-grams it asked for, in its order.  The number of ranges grows with the corpus, so
    a task's load does not; a frequent word is one entry per chunk, never a hot key;
-3. held-out chunks meet their answers and count events by context class and the two
+3. training chunks meet their answers, less the token itself, and count events by context class and the two
    estimates on a logarithmic grid; the EM steps run on that table, whose size is bounded by
    the grid, not by the corpus;
 4. all chunks meet their answers and score their documents.
@@ -168,10 +169,10 @@ def _event_counter(total: int):
     def run(key, chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if chunk.empty:
             return pd.DataFrame({"cls": [], "two": [], "one": [], "n": []})
-        word, context, pair = _estimates(chunk["words"].iloc[0], answers)
+        word, context, pair = (n - 1 for n in _estimates(chunk["words"].iloc[0], answers))  # without the token itself
         with np.errstate(divide="ignore", invalid="ignore"):
             two = np.where(pair > 0, np.rint(GRID * np.log2(pair / np.maximum(context, 1))), NEVER)
-            one = np.where(word > 0, np.rint(GRID * np.log2(word / max(total, 1))), NEVER)
+            one = np.where(word > 0, np.rint(GRID * np.log2(word / max(total - 1, 1))), NEVER)
         events = pd.DataFrame({"cls": _classes(context), "two": two.astype(np.int64), "one": one.astype(np.int64)})
         return events.value_counts().rename("n").reset_index()
 
@@ -235,9 +236,9 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     distinct = answers.agg(F.sum("distinct")).first()[0] or 0
     replies = answers.select("chunk", "order", "range", "totals")
 
-    out = chunks.where("held_out").select("chunk", "words")
-    mine = replies.join(out.select("chunk"), "chunk", "left_semi")
-    events = (out.groupBy("chunk").cogroup(mine.groupBy("chunk"))
+    seen = chunks.where(~F.col("held_out")).select("chunk", "words")
+    mine = replies.join(seen.select("chunk"), "chunk", "left_semi")
+    events = (seen.groupBy("chunk").cogroup(mine.groupBy("chunk"))
               .applyInPandas(_event_counter(total), "cls long, two long, one long, n long")
               .groupBy("cls", "two", "one").agg(F.sum("n").alias("n"))).toPandas()
     weights = learn_weights(events, 1 / (distinct + 1), steps)

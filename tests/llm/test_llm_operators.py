@@ -399,3 +399,14 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     mixed = sorted((i, len(t.replace("password = hunter22222", secrets.MASK).split())) for i, t in clean)
     got = sorted((r.doc_id or -1, r["size"]) for r in corpus_pipeline.run(spark, folder).collect())
     assert got and len(first) < len(kept) < len(texts) and len(clean) < len(first) and got == mixed
+
+
+def test_lm_weights_come_from_the_learning_fold_alone(spark):
+    out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    scores = []
+    for text in (prose(80, 1), "quite other words " * 40):
+        rows = [(i, text if i == out else prose(60 + i, i % 3)) for i in range(out + 12) if i == out or zlib.crc32(str(i).encode()) % 10]
+        got = interpolated_lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        scores.append({r.doc_id: r.score for r in got if r.doc_id != out})
+    assert scores[0] and scores[0].keys() == scores[1].keys()
+    assert all(math.isclose(scores[0][i], scores[1][i], rel_tol=1e-9) for i in scores[0])
