@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentiscope.llm import decontaminate, html_text, interpolated_lm, licenses, mixing, near_duplicates, pii, quality, secrets, url_filter
+from sentiscope.llm import (decontaminate, html_text, interpolated_lm, licenses, mixing, near_duplicates, pii, quality,
+                            secrets, spelling, token_alignment, url_filter, warc)
 from sentiscope.llm.common import scan
 
 
@@ -60,11 +61,28 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(scan(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = scan(spark, sf_dir, "documents", "doc_id", "text")
+    return spelling.spelling_forms(spelling.vocabulary(spelling.with_slips(spelling.word_runs(docs))))
+
+
+def op12_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(scan(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.link_scores(scan(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_quality_rules, op3_near_duplicates, op4_decontaminate, op5_surrogates, op6_license_scan, op7_lm_scores, op8_url_filter, op9_secret_scan, op10_main_text)}
+    op1_mix_sources, op2_quality_rules, op3_near_duplicates, op4_decontaminate, op5_surrogates, op6_license_scan,
+    op7_lm_scores, op8_url_filter, op9_secret_scan, op10_main_text, op11_spelling_variants, op12_warc_round_trip,
+    op13_token_alignment)}
 
 ORACLES = {
     "op1_mix_sources": mixing.MIX_SQL,
     "op2_quality_rules": quality.QUALITY_SQL,
     "op8_url_filter": url_filter.URL_SQL,
+    "op11_spelling_variants": spelling.SPELLING_SQL,
+    "op12_warc_round_trip": warc.WARC_SQL,
 }
