@@ -40,11 +40,11 @@ from sentiscope.session import scratch_path
 
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20      # records of an archive before compression; then a new file begins
-READ_SPAN = 32 << 20           # compressed bytes of an archive that one task reads
+READ_SPAN = 8 << 20            # compressed bytes of an archive that one task reads
 PIECE = 1 << 20                # bytes copied at a time
 YIELD_BYTES = 16 << 20         # payloads handed to Spark at a time
 END = b"\r\n"
-MANIFEST = "path string, records long"
+MANIFEST = "path string, records long, bytes long"
 INDEX = "path string, offset long, length long, record_id string, record_type string"
 RECORD = ("record_id string, record_type string, refers_to string, page_id string, url string, digest string, "
           "payload binary")
@@ -131,12 +131,19 @@ def with_heads(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 
 def write_archives(rows: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z",
                    archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write each partition as WARC files, each one gzip stream; returns their manifest (``path, records``)."""
+    """Write each partition as WARC files, each one gzip stream; returns their manifest (``path, records, bytes``)."""
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files, place = arrow_fs.FileSystem.from_uri(folder)
         files.create_dir(place, recursive=True)
         path = sink = packer = None
         size = count = 0
+
+        def closed() -> pd.DataFrame:
+            sink.write(packer.flush())
+            done = pd.DataFrame({"path": [path], "records": [count], "bytes": [sink.tell()]})
+            sink.close()
+            return done
+
         for pdf in batches:
             for page_id, url, payload, digest, head in pdf.itertuples(index=False, name=None):
                 if sink is None:
@@ -146,14 +153,10 @@ def write_archives(rows: DataFrame, folder: str, date: str = "2000-01-01T00:00:0
                 sink.write(packer.compress(record))
                 size, count = size + len(record), count + 1
                 if size >= archive_bytes:
-                    sink.write(packer.flush())
-                    sink.close()
-                    yield pd.DataFrame({"path": [path], "records": [count]})
+                    yield closed()
                     sink, size, count = None, 0, 0
         if sink is not None:
-            sink.write(packer.flush())
-            sink.close()
-            yield pd.DataFrame({"path": [path], "records": [count]})
+            yield closed()
 
     # ids as text: pandas would turn whole numbers beside nulls into floats
     ready = rows.select(F.col("page_id").cast("string"), F.col("url").cast("string"), "payload", "digest", F.col("head").cast("string"))
@@ -211,7 +214,8 @@ def normalise(manifest: DataFrame, folder: str) -> DataFrame:
                     for entry in rewrite_stream(source, sink):
                         index.write(json.dumps(entry).encode() + b"\n")
                         count += 1
-                yield pd.DataFrame({"path": [target], "records": [count]})
+                    size = sink.tell()
+                yield pd.DataFrame({"path": [target], "records": [count], "bytes": [size]})
 
     n = max(1, manifest.count())
     ship(__name__)
@@ -237,6 +241,12 @@ def read_index(manifest: DataFrame, folder: str) -> DataFrame:
     return manifest.mapInPandas(read, INDEX)
 
 
+def read_tasks(manifest: DataFrame) -> int:
+    """A task for every ``READ_SPAN`` of the archives."""
+    total = manifest.agg(F.coalesce(F.sum(F.ceil(F.col("bytes") / F.lit(READ_SPAN))), F.lit(0))).first()[0]
+    return max(1, int(total))
+
+
 def _parse_member(data: bytes) -> tuple:
     stream = io.BytesIO(zlib.decompress(data, 31))
     _, fields = _read_header(stream)
@@ -250,8 +260,11 @@ def _parse_member(data: bytes) -> tuple:
             fields.get("warc-target-uri"), digest, payload)
 
 
-def read_records(index: DataFrame, folder: str) -> DataFrame:
-    """The records at the index's places: each task seeks into its share of the archives."""
+def read_records(index: DataFrame, folder: str, tasks: int | None = None) -> DataFrame:
+    """The records at the index's places: each task seeks into its share of the archives.
+
+    ``tasks``: see :func:`read_tasks`; the index alone is too small to tell the work behind it.
+    """
     names = [f.split()[0] for f in RECORD.split(", ")]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -271,21 +284,26 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                         yield pd.DataFrame(held, columns=names)
 
     span = (F.col("offset") / F.lit(READ_SPAN)).cast("long")
-    places = index.repartition("path", span).sortWithinPartitions("path", "offset")
+    places = (index.repartition(tasks, "path", span) if tasks else index.repartition("path", span))
+    places = places.sortWithinPartitions("path", "offset")
     ship(__name__)
     return places.select("path", "offset", "length").mapInPandas(read, RECORD)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
-    """``page_id, payload_bytes, payload_digest, record_type, refers_to``: revisits get their response's size and page."""
+    """``page_id, payload_bytes, payload_digest, record_type, refers_to``: revisits get their response's size and page.
+
+    Only revisits meet the join; those of one response are split by the adaptive skew join (one row on the other side).
+    """
     found = records.where(F.col("record_type").isin("response", "revisit")).select(
         "record_id", "record_type", "refers_to", "page_id", "digest", F.octet_length("payload").cast("long").alias("n_bytes"))
     found = materialise(found, "warc-records")
     responses = (found.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to"))
                  .agg(F.max("page_id").alias("of"), F.max("n_bytes").alias("of_bytes")))
-    return found.join(responses, "refers_to", "left").select(
-        "page_id", F.coalesce("n_bytes", "of_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
-        "record_type", F.col("of").alias("refers_to"))
+    whole = found.where("record_type = 'response'").select("page_id", "n_bytes", "digest", "record_type", F.lit(None).cast("string"))
+    again = (found.where("record_type = 'revisit'").join(responses, "refers_to", "left")
+             .select("page_id", "of_bytes", "digest", "record_type", "of"))
+    return whole.union(again).toDF("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def archive_round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
@@ -294,7 +312,7 @@ def archive_round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame
     folder = folder or scratch_path(spark, f"warc-{uuid.uuid4().hex}")
     written = write_archives(with_heads(pages), f"{folder}/whole")
     kept = normalise(written, f"{folder}/records")
-    rows = resolve_revisits(read_records(read_index(kept, folder), folder))
+    rows = resolve_revisits(read_records(read_index(kept, folder), folder, read_tasks(kept)))
     kind = pages.schema["page_id"].dataType
     return rows.withColumns({"page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
 
