@@ -24,6 +24,7 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -109,15 +110,17 @@ def _split(a_ends: np.ndarray, b_ends: np.ndarray, lo: np.ndarray, last: np.ndar
     Ends inside are those of the tokens before ``last``.
     """
     middle = (lo + last - 1) >> 1
-    a_cut, b_cut = np.full(len(lo), -1), np.full(len(lo), -1)
-    open_, width = np.arange(len(lo)), 0
+    at = np.searchsorted(b_ends, a_ends[middle])  # bisection; an end inside is below the last one
+    hit = b_ends[at] == a_ends[middle]
+    a_cut, b_cut = np.where(hit, middle, -1), np.where(hit, at, -1)
+    open_, width = np.flatnonzero(~hit), 1
     while len(open_):
         first = np.maximum(lo[open_], middle[open_] - width)
         after = np.minimum(last[open_], middle[open_] + width + 1)
         sizes = after - first
         tried = _ranges(first, sizes)
         owner = np.repeat(np.arange(len(open_)), sizes)
-        at = np.searchsorted(b_ends, a_ends[tried])  # bisection; an end inside is below the last one
+        at = np.searchsorted(b_ends, a_ends[tried])
         hit = np.flatnonzero(b_ends[at] == a_ends[tried])
         distance = np.abs(tried[hit] - middle[open_][owner[hit]])
         hit = hit[np.lexsort((tried[hit], distance, owner[hit]))]
@@ -125,31 +128,36 @@ def _split(a_ends: np.ndarray, b_ends: np.ndarray, lo: np.ndarray, last: np.ndar
         a_cut[open_[who]], b_cut[open_[who]] = tried[hit[best]], at[hit[best]]
         whole = (first == lo[open_]) & (after == last[open_])
         whole[who] = True
-        open_, width = open_[~whole], max(1, width * WIDEN)
+        open_, width = open_[~whole], width * WIDEN
     return a_cut, b_cut
 
 
+def _halves(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Left and right halves in the order of the text, so that the next bisections run forward."""
+    return np.stack([left, right], axis=1).ravel()
+
+
 def shared_cuts(a_ends: np.ndarray, b_ends: np.ndarray, a_last: np.ndarray, b_last: np.ndarray):
     """Tokens of both sequences that end at the same byte, in order.
 
     ``a_last`` and ``b_last`` are the last tokens of the texts that lie one after another in the
     sequences, each ending at the same byte in both.
     """
-    cuts = [(a_last, b_last)]
+    cut_at = np.full(len(a_ends), -1)  # token of b that ends with the token of a
+    cut_at[a_last] = b_last
     a_lo, b_lo = np.concatenate([[0], a_last[:-1] + 1]), np.concatenate([[0], b_last[:-1] + 1])
     a_hi, b_hi = a_last, b_last
     while len(a_lo):
-        some = (a_hi > a_lo) & (b_hi > b_lo)  # a single token has no end inside
+        some = np.flatnonzero((a_hi > a_lo) & (b_hi > b_lo))  # a single token has no end inside
         a_lo, a_hi, b_lo, b_hi = a_lo[some], a_hi[some], b_lo[some], b_hi[some]
         a_cut, b_cut = _split(a_ends, b_ends, a_lo, a_hi)
-        found = a_cut >= 0  # the others are leaf groups
+        found = np.flatnonzero(a_cut >= 0)  # the others are leaf groups
         a_cut, b_cut = a_cut[found], b_cut[found]
-        cuts.append((a_cut, b_cut))
-        a_lo, a_hi = np.concatenate([a_lo[found], a_cut + 1]), np.concatenate([a_cut, a_hi[found]])
-        b_lo, b_hi = np.concatenate([b_lo[found], b_cut + 1]), np.concatenate([b_cut, b_hi[found]])
-    a, b = (np.concatenate(side) for side in zip(*cuts))
-    order = np.argsort(a, kind="stable")
-    return a[order], b[order]
+        cut_at[a_cut] = b_cut
+        a_lo, a_hi = _halves(a_lo[found], a_cut + 1), _halves(a_cut, a_hi[found])
+        b_lo, b_hi = _halves(b_lo[found], b_cut + 1), _halves(b_cut, b_hi[found])
+    a = np.flatnonzero(cut_at >= 0)
+    return a, cut_at[a]
 
 
 def align_texts(texts: list[str | None], first, second):
@@ -260,7 +268,8 @@ def _number_links(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.Recor
 
     def block() -> pa.RecordBatch:
         links = np.concatenate([r[4] for r in held])
-        pairs, codes, times = np.unique(links, return_inverse=True, return_counts=True)
+        codes, pairs = pd.factorize(links)
+        times = np.bincount(codes, minlength=len(pairs))
         ends = np.cumsum([len(r[4]) for r in held])
         empty = [None] * (len(held) - 1)
         return pa.RecordBatch.from_arrays([
