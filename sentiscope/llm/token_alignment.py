@@ -20,6 +20,7 @@ other columns of the input are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 
@@ -68,6 +69,11 @@ class ByteBpe:
         self.tokens = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.tokens[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        steps = json.loads(self._tokenizer.to_str())
+        # letters for all bytes, nothing added, nothing normalised: whatever it reads, it spells
+        self.lossless = (steps["normalizer"] is None and steps["pre_tokenizer"]["type"] == "ByteLevel"
+                         and not steps["pre_tokenizer"]["add_prefix_space"] and set(letters) <= set(vocabulary)
+                         and not any(steps["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         found = self._tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
@@ -168,7 +174,7 @@ def align_texts(texts: list[str | None], first, second):
     kept, ids = [], ([], [])
     for i, a, b in zip(some, first.encode([texts[i] for i in some]), second.encode([texts[i] for i in some])):
         spelt = f" {texts[i]}".encode()
-        if b"".join(map(first.tokens.__getitem__, a)) == spelt == b"".join(map(second.tokens.__getitem__, b)):
+        if _spells(first, a, spelt) and _spells(second, b, spelt):
             kept.append(i)
             ids[0].append(np.array(a, np.int32))
             ids[1].append(np.array(b, np.int32))
@@ -187,6 +193,10 @@ def align_texts(texts: list[str | None], first, second):
     return out
 
 
+def _spells(tokenizer, ids: list[int], spelt: bytes) -> bool:
+    return getattr(tokenizer, "lossless", False) or b"".join(map(tokenizer.tokens.__getitem__, ids)) == spelt
+
+
 def _lengths(tokenizer) -> np.ndarray:
     if not hasattr(tokenizer, "lengths"):
         tokenizer.lengths = np.array([len(t) for t in tokenizer.tokens])
