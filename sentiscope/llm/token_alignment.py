@@ -110,6 +110,19 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - before, sizes)
 
 
+class _Strings:
+    """Byte strings by number, laid out for array look-ups."""
+
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.array([len(s) for s in strings], np.int64)
+        self._starts = np.cumsum(self.sizes) - self.sizes
+        self._flat = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        """The bytes of the numbered strings, one after another."""
+        return self._flat[_ranges(self._starts[numbers], self.sizes[numbers])]
+
+
 def _split(a_ends: np.ndarray, b_ends: np.ndarray, lo: np.ndarray, last: np.ndarray):
     """A shared end inside each interval ``lo .. last`` of first tokens, near its middle: ``(token of a, token of b)``; -1 if none.
 
@@ -171,18 +184,17 @@ def align_texts(texts: list[str | None], first, second):
     none = np.empty(0, np.int32)
     out = [(none,) * 4 for _ in texts]
     some = [i for i, t in enumerate(texts) if t]
-    kept, ids = [], ([], [])
-    for i, a, b in zip(some, first.encode([texts[i] for i in some]), second.encode([texts[i] for i in some])):
-        spelt = f" {texts[i]}".encode()
-        if _spells(first, a, spelt) and _spells(second, b, spelt):
-            kept.append(i)
-            ids[0].append(np.array(a, np.int32))
-            ids[1].append(np.array(b, np.int32))
+    read = [texts[i] for i in some]
+    spelt = [f" {t}".encode() for t in read]
+    ids = [[np.array(x, np.int32) for x in side.encode(read)] if read else [] for side in (first, second)]
+    right = [a and b for a, b in zip(*(_spells(side, x, spelt) for side, x in zip((first, second), ids)))]
+    kept = [i for i, ok in zip(some, right) if ok]
+    ids = [[x for x, ok in zip(side, right) if ok] for side in ids]
     if not kept:
         return out
     flat = [np.concatenate(side) for side in ids]
     lasts = [np.cumsum([len(x) for x in side]) - 1 for side in ids]
-    ends = [np.cumsum(_lengths(t)[f]) for t, f in zip((first, second), flat)]
+    ends = [np.cumsum(_strings(side).sizes[f]) for side, f in zip((first, second), flat)]
     a, b = shared_cuts(*ends, *lasts)
     group_end = np.searchsorted(a, lasts[0]) + 1  # groups up to each text's end
     a_sizes, b_sizes = np.diff(a, prepend=-1).astype(np.int32), np.diff(b, prepend=-1).astype(np.int32)
@@ -193,14 +205,20 @@ def align_texts(texts: list[str | None], first, second):
     return out
 
 
-def _spells(tokenizer, ids: list[int], spelt: bytes) -> bool:
-    return getattr(tokenizer, "lossless", False) or b"".join(map(tokenizer.tokens.__getitem__, ids)) == spelt
+def _strings(tokenizer) -> _Strings:
+    if len(getattr(tokenizer, "strings", ((),))[0]) != len(tokenizer.tokens):
+        tokenizer.strings = (tokenizer.tokens[:], _Strings(tokenizer.tokens))
+    return tokenizer.strings[1]
 
 
-def _lengths(tokenizer) -> np.ndarray:
-    if not hasattr(tokenizer, "lengths"):
-        tokenizer.lengths = np.array([len(t) for t in tokenizer.tokens])
-    return tokenizer.lengths
+def _spells(tokenizer, ids: list[np.ndarray], spelt: list[bytes]) -> list[bool]:
+    """Whether the joined tokens of each text are its bytes."""
+    if getattr(tokenizer, "lossless", False):
+        return [True] * len(ids)
+    strings = _strings(tokenizer)
+    found = strings.joined(np.concatenate(ids)).tobytes() if ids else b""
+    ends = np.cumsum([strings.sizes[x].sum() for x in ids]).tolist()
+    return [found[start:end] == s for start, end, s in zip([0, *ends], ends, spelt)]
 
 
 def _aligned(batches: Iterator[pa.RecordBatch], folder: str, names: tuple[str, str]):
@@ -237,13 +255,12 @@ def align_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 # -------------------------------------------------------------------- digests
-def _group_texts(found: list[tuple], tables: list[bytes]) -> list[str]:
+def _group_digests(found: list[tuple], written: _Strings) -> list[str]:
     """sha256 of ``a1,a2|b1;a3|b2,b3`` per text; empty without tokens.
 
-    ``tables`` has every id with a comma, then with a bar, then with a semicolon behind it.
+    ``written`` has every id with a comma, then with a bar, then with a semicolon behind it.
     """
-    k = len(tables) // 3
-    out = []
+    k, out = len(written.sizes) // 3, []
     for a, b, a_sizes, b_sizes in found:
         if not len(a):
             out.append("")
@@ -255,7 +272,7 @@ def _group_texts(found: list[tuple], tables: list[bytes]) -> list[str]:
         b_code[b_upto - 1] += 2 * k
         codes[np.arange(len(a)) + np.repeat(b_upto - b_sizes, a_sizes)] = a_code
         codes[np.arange(len(b)) + np.repeat(a_upto, b_sizes)] = b_code
-        out.append(hashlib.sha256(b"".join(map(tables.__getitem__, codes.tolist()))[:-1]).hexdigest())
+        out.append(hashlib.sha256(written.joined(codes)[:-1]).hexdigest())
     return out
 
 
@@ -309,11 +326,11 @@ def link_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = max(len(_load(folder, name).tokens) for name in names)
-        tables = [f"{i}{mark}".encode() for mark in ",|;" for i in range(n)]
+        written = _Strings([f"{i}{mark}".encode() for mark in ",|;" for i in range(n)])
 
         def found() -> Iterator[tuple]:
             for ids, aligned in _aligned(batches, folder, names):
-                digests = _group_texts(aligned, tables)
+                digests = _group_digests(aligned, written)
                 for i, x, digest in zip(ids.to_pylist(), aligned, digests):
                     yield i, len(x[0]), len(x[1]), digest, _links(*x) if len(x[0]) else np.empty(0, np.int64)
 
