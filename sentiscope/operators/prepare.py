@@ -68,7 +68,14 @@ def quarantine(raw: DataFrame, keep=("doc_id",)) -> DataFrame:
                      .otherwise(F.lit("non_numeric_score")).alias("reason")))
 
 
+def truncated_score(col="score") -> Column:
+    """Lenient numeric parse cut to its whole part (5.5 is 5, 0.5 is 0); null where it is no number or too large."""
+    c = F.col(col) if isinstance(col, str) else col
+    return coerce_score(F.trim(c.cast("string"))).try_cast("int")
+
+
 def valid_range(frame: DataFrame, score: str = "score") -> DataFrame:
+    """Rows whose (truncated) score is 1 to 5."""
     return frame.where(F.col(score).between(1, 5))
 
 
@@ -77,8 +84,8 @@ def sample_head(frame: DataFrame, n: int = SAMPLE_ROWS, order: str = "doc_id") -
     return frame.orderBy(order).limit(n)
 
 
-def resume_from(frame: DataFrame, start: int, index: str = "doc_id") -> DataFrame:
-    """Rows at or after a row index (empty when ``start`` is past the end)."""
+def resume_from(frame: DataFrame, start: int, index: str = "row_index") -> DataFrame:
+    """Rows at or after a row position (empty when ``start`` is past the end)."""
     return frame.where(F.col(index) >= F.lit(start))
 
 

@@ -11,15 +11,42 @@ from sentiscope.sources.fixtures import labelled, message_payload, reviews
 
 U_SQL = hash_fraction_sql("doc_id", P.RANDOM_SEED)
 SPLIT_SQL = f"CASE WHEN {U_SQL} < 0.8 THEN 'train' WHEN {U_SQL} < 0.8 + 0.1 THEN 'val' ELSE 'test' END"
-RESUME_AT = 500
+RESUME_AT = 20
+# the publishable rows of the exported test split, with their positions
+POSITIONS_SQL = f"""
+pos AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_index, text, score, label FROM labelled
+        WHERE {SPLIT_SQL} = 'test' AND text IS NOT NULL)
+"""
+
+
+def _exported_test_split(spark, sf) -> str:
+    """The test split, written as JSON lines in document order to the scratch folder."""
+    import uuid
+
+    from sentiscope.session import scratch_path
+    from sentiscope.sources import files
+
+    path = scratch_path(spark, f"export-{uuid.uuid4().hex[:12]}")
+    _, _, test = P.split_frames(labelled(spark, sf))
+    files.export_jsonl(test, path, order="doc_id")
+    return path
 
 
 @register("scan_reviews", """
-SELECT doc_id, Text, Score FROM reviews WHERE Text IS NOT NULL AND Score IS NOT NULL
+SELECT translate(Text, chr(10) || chr(13), '  ') AS Text, Score FROM reviews WHERE Text IS NOT NULL AND Score IS NOT NULL
 """, ("reviews",))
 def q_scan_reviews(spark, sf):
-    raw = reviews(spark, sf)
-    return raw.select("doc_id", "Text", "Score").na.drop("any", subset=["Text", "Score"])
+    """Reviews on one line each, written as CSV to the scratch folder and read by the single-line scan (by header names)."""
+    import uuid
+
+    from sentiscope.session import scratch_path
+    from sentiscope.sources import files
+
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex[:12]}")
+    lines = reviews(spark, sf).withColumn("Text", F.translate("Text", "\n\r", "  "))
+    (lines.write.option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return files.scan_reviews(spark, path)
 
 
 @register("clean_reviews", """
@@ -56,14 +83,13 @@ def q_coerce_score(spark, sf):
 
 
 @register("valid_range", """
-SELECT doc_id, CAST(s AS INT) AS score FROM
-  (SELECT doc_id, TRY_CAST(TRIM(Score) AS DOUBLE) AS s FROM reviews WHERE Text IS NOT NULL) r
+SELECT doc_id, s AS score FROM
+  (SELECT doc_id, CAST(trunc(TRY_CAST(TRIM(Score) AS DOUBLE)) AS INT) AS s FROM reviews WHERE Text IS NOT NULL) r
 WHERE s BETWEEN 1 AND 5
 """, ("reviews",))
 def q_valid_range(spark, sf):
-    frame = reviews(spark, sf).where(F.col("Text").isNotNull()).select(
-        "doc_id", P.coerce_score(F.trim("Score")).alias("s"))
-    return P.valid_range(frame, "s").select("doc_id", F.col("s").cast("int").alias("score"))
+    frame = reviews(spark, sf).where(F.col("Text").isNotNull()).select("doc_id", P.truncated_score("Score").alias("score"))
+    return P.valid_range(frame)
 
 
 @register("bad_rows", """
@@ -156,25 +182,35 @@ def q_split_stratified(spark, sf):
 
 
 @register("resume_offset", f"""
-SELECT doc_id, score FROM labelled WHERE doc_id >= {RESUME_AT}
+WITH {POSITIONS_SQL.strip()}
+SELECT row_index, score FROM pos WHERE row_index >= {RESUME_AT}
 """, ("labelled",))
 def q_resume_offset(spark, sf):
-    return P.resume_from(labelled(spark, sf), RESUME_AT).select("doc_id", "score")
+    from sentiscope.streaming.publish import exported_rows
 
+    return P.resume_from(exported_rows(spark, _exported_test_split(spark, sf)), RESUME_AT).select("row_index", "score")
 
-@register("publish_events", """
-SELECT doc_id, value FROM messages
-""", ("messages",))
+
+@register("publish_events", f"""
+WITH {POSITIONS_SQL.strip()}
+SELECT row_index, CAST(to_json({{'text': text, 'score': score, 'source_split': 'test', 'source_row_index': row_index}}) AS VARCHAR) AS value
+FROM pos
+""", ("labelled",))
 def q_publish_events(spark, sf):
-    return labelled(spark, sf).select("doc_id", message_payload().alias("value"))
+    """Test split exported, read back, positions given, messages encoded."""
+    from sentiscope.streaming.publish import messages_from_export
+
+    return messages_from_export(spark, _exported_test_split(spark, sf))
 
 
 @register("export_test_split", f"""
-SELECT doc_id, text, score, label FROM labelled WHERE {SPLIT_SQL} = 'test'
+SELECT text, CAST(score AS VARCHAR) AS score, label FROM labelled WHERE {SPLIT_SQL} = 'test'
 """, ("labelled",))
 def q_export_test_split(spark, sf):
-    _, _, test = P.split_frames(labelled(spark, sf))
-    return test.select("doc_id", "text", "score", "label")
+    """The lines that the export wrote, values as written."""
+    from sentiscope.sources import files
+
+    return files.scan_jsonl(spark, _exported_test_split(spark, sf), files.RAW_JSONL_SCHEMA)
 
 
 @register("parse_events", """
