@@ -28,8 +28,12 @@ NLTK_ENGLISH_STOPWORDS = (
 ).split()
 CLEAN_STOPWORDS = tuple(NLTK_ENGLISH_STOPWORDS) + ("im",)
 
-# Java's \s set, written out so Spark (Java regex) and DuckDB (RE2) agree.
-WS = " \\t\\n\\x0B\\f\\r"
+# The white space of the original's text handling, every Unicode space among it (plain
+# characters, so that Java's and RE2's regular expressions agree): tab to carriage return, the four separators,
+# space, next line, no-break space, ogham space, the spaces of General Punctuation, line and paragraph
+# separator, narrow no-break, mathematical and ideographic space.
+WS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                       0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 TOKEN_SPLIT = "\\W+"
 
 # Spark ML's default English stop-word list (what ``StopWordsRemover`` loads).
@@ -53,15 +57,16 @@ def _col(c) -> Column:
 
 
 def clean_tokens(text, stopwords=CLEAN_STOPWORDS) -> Column:
-    """lower -> delete all but ``[a-z]`` and whitespace -> split -> drop stop words.
+    """lower -> delete all but ``[a-z]`` and (Unicode) whitespace -> split -> drop stop words.
 
     Deleting (not spacing) punctuation glues words (``good,bad`` -> ``goodbad``)
     and turns ``don't`` into ``dont``, exactly as the original chain does.
     A non-string / null text gives an empty array.
     """
     t = F.coalesce(_col(text), F.lit(""))
-    kept = F.regexp_replace(F.lower(t), f"[^a-z{WS}]", "")
-    parts = F.split(kept, f"[{WS}]+")
+    # one kind of white space first: the class to delete and the split then stay plain and fast
+    spaced = F.translate(F.lower(t), WS, " " * len(WS))
+    parts = F.split(F.regexp_replace(spaced, "[^a-z ]+", ""), " ")
     # isin over many literals plans as a hash-set lookup (InSet), not a list scan
     return F.filter(parts, lambda w: (F.length(w) >= 1) & ~w.isin(*stopwords))
 

@@ -10,7 +10,7 @@ vocabulary (at most ``vocab_size`` rows, a parameter) and the label table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # WordNet's noun detachment rules (suffix -> replacement), in rule order.
@@ -111,20 +111,21 @@ def tfidf_smooth_l2(docs: DataFrame, doc: str, tokens: str) -> DataFrame:
     """Smooth IDF ``ln((1 + N) / (1 + df)) + 1``, raw counts, each document L2-normalised.
 
     Vocabulary = every term (no frequency cut).  Output ``doc, term, weight``.
-    Document frequencies come from :func:`term_stats_from_tokens` (no
-    ``(doc, term)`` shuffle).  The norm sums each document's squared weights in
-    ascending order (a group is one document's distinct terms), so the result
-    does not depend on the order rows arrive after a shuffle.
+    The texts are tokenised once: the counts per (document, term) feed the document
+    frequencies (partial sums per term, so a frequent term is no hot key there) and, in one join by term, the
+    weights.  A document's distinct terms are then one row: its norm sums the squares in ascending order, so the
+    result does not depend on the order rows arrive after a shuffle, and needs no second join.
     """
     terms = doc_terms(docs, doc, tokens)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    dfs = term_stats_from_tokens(docs, tokens).select("term", "df")
-    weighted = terms.join(dfs, "term", "inner").withColumn(
-        "w", F.col("tf") * (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)))
-    squares = F.array_sort(F.collect_list(F.col("w") * F.col("w")))
-    norms = weighted.groupBy(doc).agg(
-        F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x)).alias("_norm"))
-    return weighted.join(norms, doc, "inner").select(doc, "term", (F.col("w") / F.col("_norm")).alias("weight"))
+    dfs = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weight = F.col("tf") * (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
+    per_doc = (terms.join(dfs, "term").groupBy(doc)
+               .agg(F.collect_list(F.struct("term", weight.alias("w"))).alias("_terms")))
+    squares = F.array_sort(F.transform("_terms", lambda t: t["w"] * t["w"]))
+    normed = per_doc.select(doc, "_terms", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x)).alias("_norm"))
+    return (normed.select(doc, "_norm", F.inline("_terms"))
+            .select(doc, "term", (F.col("w") / F.col("_norm")).alias("weight")))
 
 
 def label_index_table(frame: DataFrame, label: str = "label") -> DataFrame:
@@ -138,48 +139,88 @@ def label_index_table(frame: DataFrame, label: str = "label") -> DataFrame:
 
 
 # ------------------------------------------------------------ lemmatisation
-def noun_lemma_table(vocab_terms: DataFrame, term: str = "term") -> DataFrame:
-    """Noun lemma per term from WordNet's detachment rules, checked against a lexicon.
+def _detached(forms: Column) -> Column:
+    """Every rule applied to every form that ends in its suffix, in the order of forms and rules."""
+    def cut(form: Column) -> Column:
+        results = [F.when(form.endswith(suffix), F.concat(F.substring(form, F.lit(1), F.length(form) - len(suffix)), F.lit(base)))
+                   for suffix, base in NOUN_RULES]
+        return F.filter(F.array(*results), lambda x: x.isNotNull())
 
-    WordNet's lexicon is not available, so the lexicon is the corpus vocabulary
-    itself: a rule's base form is accepted when the corpus also contains it.
-    Among the term and its accepted base forms the shortest wins (the term itself
-    first, then rule order), as the noun lemmatiser does.  Output ``term, lemma``.
+    return F.array_distinct(F.flatten(F.transform(forms, cut)))
+
+
+def noun_candidates(words: DataFrame, term: str = "term") -> DataFrame:
+    """``term, level, place, cand``: base forms that the detachment rules give, level by level.
+
+    Level 1 has the word itself and its rules' results; a further level has the rules'
+    results of the level before.  Only trailing ``e`` and ``s`` letters, and one more ending
+    behind them, can be detached, so their number bounds the levels.
     """
-    lex = vocab_terms.select(F.col(term).alias("term")).distinct()
-    rules = F.array(*[F.struct(F.lit(i + 1).alias("prio"), F.lit(s).alias("suffix"), F.lit(r).alias("repl"))
-                      for i, (s, r) in enumerate(NOUN_RULES)])
-    cands = (lex.select("term", F.explode(rules).alias("r"))
-             .where(F.col("term").endswith(F.col("r.suffix"))
-                    & (F.length("term") > F.length(F.col("r.suffix"))))
-             .select("term", F.col("r.prio").alias("prio"),
-                     F.concat(F.expr("substring(term, 1, length(term) - length(r.suffix))"),
-                              F.col("r.repl")).alias("cand")))
-    accepted = cands.join(lex.select(F.col("term").alias("cand")), "cand", "left_semi")
-    own = lex.select("term", F.lit(0).alias("prio"), F.col("term").alias("cand"))
-    best = (own.unionByName(accepted)
-            .groupBy("term")
-            .agg(F.min_by("cand", F.struct(F.length("cand"), F.col("prio"))).alias("lemma")))
-    return best
-
-
-def lemmatize_tokens(docs: DataFrame, doc: str, tokens: str, lemmas: DataFrame,
-                     outer: bool = False) -> DataFrame:
-    """Replace every token by its lemma, keeping token order: ``doc, pos, token, lemma``.
-
-    With ``outer`` a document without tokens keeps one row with null position so
-    that :func:`join_lemmas` returns an empty string for it.
+    levels = F.length(F.regexp_extract(term, "[es]*$", 0)) + F.lit(1)
+    none = F.array().cast("array<struct<level:int,place:int,cand:string>>")
+
+    def step(acc: Column, level: Column) -> Column:
+        forms = _detached(acc["forms"])
+        found = F.transform(forms, lambda c, i: F.struct(level.cast("int").alias("level"), (i + 1).cast("int").alias("place"), c.alias("cand")))
+        return F.struct(forms.alias("forms"), F.concat(acc["found"], found).alias("found"))
+
+    start = F.struct(F.array(F.col(term)).alias("forms"), none.alias("found"))
+    found = F.aggregate(F.sequence(F.lit(1), levels), start, step, lambda acc: acc["found"])
+    own = F.array(F.struct(F.lit(1).alias("level"), F.lit(0).alias("place"), F.col(term).alias("cand")))
+    return words.select(term, F.inline(F.concat(own, found)))
+
+
+def noun_lemma_table(words: DataFrame, lexicon: DataFrame | None = None, exceptions: DataFrame | None = None,
+                     term: str = "term") -> DataFrame:
+    """``term, lemma`` of the words that have another form as noun lemma (all other words are their own).
+
+    ``lexicon`` (``word``) holds the known base forms, ``exceptions`` (``form, place, lemma``) the irregular forms;
+    both are inputs, for instance WordNet's noun index and exception list (``sources.lexicon``).  A form of the exception list has
+    itself and its listed lemmas as candidates, any other word those of the detachment rules: the
+    first level that has a word of the lexicon counts.  Of the candidates in the lexicon the shortest wins, the first of equal
+    ones.  Without a lexicon the words themselves are it.
+    """
+    distinct = words.select(F.col(term).alias("term")).where(F.col("term").isNotNull()).distinct()
+    known = distinct.select(F.col("term").alias("cand")) if lexicon is None else lexicon.select(F.col("word").alias("cand")).distinct()
+    cands = noun_candidates(distinct)
+    if exceptions is not None:
+        irregular = exceptions.select(F.col("form").alias("term"), F.lit(1).alias("level"), "place", F.col("lemma").alias("cand"))
+        own = cands.where("level = 1 and place = 0")
+        listed = irregular.unionByName(own.join(irregular, "term", "left_semi")).join(distinct, "term", "left_semi")
+        cands = cands.join(irregular, "term", "left_anti").unionByName(listed)
+    order = F.struct("level", F.length("cand"), "place")
+    return (cands.join(known, "cand", "left_semi").groupBy("term").agg(F.min_by("cand", order).alias("lemma"))
+            .where(F.col("lemma") != F.col("term")))
+
+
+def changed_tokens(docs: DataFrame, doc: str, tokens: str, lemmas: DataFrame) -> DataFrame:
+    """``doc, lemma_of``: per document a map of its tokens that have another lemma; documents without one are left out.
+
+    ``lemmas`` is a dictionary with a row per word that changes.  Stored, its size is known to the planner, which broadcasts it
+    when it is small enough: then no token is shuffled.  Beyond that each document sends a token once, and
+    the adaptive skew join splits a token of very many documents (the dictionary has one row for it).
     """
-    exploded = docs.select(doc, F.posexplode_outer(tokens).alias("pos", "token"))
-    if not outer:
-        exploded = exploded.where(F.col("pos").isNotNull())
     lem = lemmas.select(F.col("term").alias("token"), "lemma")
-    return (exploded.join(lem, "token", "left")
-            .select(doc, "pos", "token", F.coalesce("lemma", "token").alias("lemma")))
+    seen = explode_terms(docs.select(doc, F.array_distinct(tokens).alias("_seen")), doc, "_seen", "token")
+    return (seen.join(lem, "token").groupBy(doc)
+            .agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("lemma_of")))
+
+
+def lemma_arrays(docs: DataFrame, doc: str, tokens: str, lemmas: DataFrame) -> DataFrame:
+    """``doc, tokens, lemmas``: each token's lemma in place; ``doc`` is unique."""
+    changes = changed_tokens(docs, doc, tokens, lemmas)
+    rewritten = F.transform(F.col(tokens), lambda w: F.coalesce(F.try_element_at("lemma_of", w), w))
+    return docs.join(changes, doc, "left").select(
+        doc, F.col(tokens).alias("tokens"), F.when(F.col("lemma_of").isNull(), F.col(tokens)).otherwise(rewritten).alias("lemmas"))
+
+
+def lemmatize_tokens(docs: DataFrame, doc: str, tokens: str, lemmas: DataFrame) -> DataFrame:
+    """Every token with its lemma, in order: ``doc, pos, token, lemma``."""
+    pairs = lemma_arrays(docs, doc, tokens, lemmas).select(
+        doc, F.arrays_zip(F.col("tokens").alias("token"), F.col("lemmas").alias("lemma")).alias("_t"))
+    return pairs.select(doc, F.posexplode("_t").alias("pos", "_e")).select(doc, "pos", "_e.token", "_e.lemma")
 
 
-def join_lemmas(lemmatized: DataFrame, doc: str) -> DataFrame:
-    """Re-assemble each document's lemmas in token order into one string."""
-    return (lemmatized.groupBy(doc)
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "lemma"))).alias("_l"))
-            .select(doc, F.array_join(F.transform("_l", lambda x: x["lemma"]), " ").alias("clean_text")))
+def lemmatized_texts(docs: DataFrame, doc: str, tokens: str, lemmas: DataFrame) -> DataFrame:
+    """``doc, clean_text``: the lemmas of each document, joined by spaces."""
+    return lemma_arrays(docs, doc, tokens, lemmas).select(doc, F.array_join("lemmas", " ").alias("clean_text"))

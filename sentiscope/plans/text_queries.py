@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 from sentiscope.catalog import register
 from sentiscope.functions import text as X
 from sentiscope.operators import features as FE
+from sentiscope.operators import prepare as P
+from sentiscope.plans.prepare_queries import SPLIT_SQL
+from sentiscope.session import stored
 from sentiscope.sources.fixtures import labelled
 
 # Final configuration of the original search (vocabulary size, min document frequency).
 VOCAB_SIZE, MIN_DF = 10_000, 4
 
-WS_SQL = " \\t\\n\\x0B\\f\\r"
+# Python's white space in RE2's own classes
+WS_SQL = r"\s\pZ\x0B\x1C-\x1F\x{85}"
 CLEAN_SQL = (f"list_filter(regexp_split_to_array(regexp_replace(lower(COALESCE(text, '')), "
              f"'[^a-z{WS_SQL}]', '', 'g'), '[{WS_SQL}]+'), "
              f"lambda w: length(w) >= 1 AND NOT list_contains({X.sql_string_list(X.CLEAN_STOPWORDS)}, w))")
@@ -37,21 +41,33 @@ def _stop_sql() -> str:
     return f"toks AS (SELECT doc_id, {_filtered_sql(TOKENS_SQL)} AS t FROM labelled)"
 
 
-TERMS_SQL = """
+# term statistics and the vocabulary come from the training split; every document is then counted by it
+TERMS_SQL = f"""
 dt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM toks) u GROUP BY doc_id, term),
-st AS (SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM dt GROUP BY term)
+st AS (SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM dt
+       WHERE doc_id IN (SELECT doc_id FROM labelled WHERE {SPLIT_SQL} = 'train') GROUP BY term)
 """
 VOCAB_SQL = f"""
 voc AS (SELECT term, tf, df, CAST(row_number() OVER (ORDER BY tf DESC, term ASC) - 1 AS INTEGER) AS term_index
         FROM st WHERE df >= {float(MIN_DF)} ORDER BY tf DESC, term ASC LIMIT {VOCAB_SIZE})
 """
+N_TRAIN_SQL = f"CAST((SELECT count(*) FROM labelled WHERE {SPLIT_SQL} = 'train') AS DOUBLE)"
+
+
+def _train_tokens(spark, sf):
+    train, _, _ = P.split_frames(labelled(spark, sf))
+    return train.select("doc_id", X.remove_stopwords(X.tokenize("text")).alias("tokens"))
 
 
 def _vocab(spark, sf):
-    docs = _filtered(spark, sf)
-    terms = FE.doc_terms(docs, "doc_id", "tokens")
-    vocab = FE.vocabulary(None, VOCAB_SIZE, MIN_DF, stats=FE.term_stats_from_tokens(docs, "tokens"))
-    return terms, vocab.withColumn("term_index", F.col("term_index").cast("int"))
+    """Vocabulary of the training split."""
+    vocab = FE.vocabulary(None, VOCAB_SIZE, MIN_DF, stats=FE.term_stats_from_tokens(_train_tokens(spark, sf), "tokens"))
+    return vocab.withColumn("term_index", F.col("term_index").cast("int"))
+
+
+def _n_train(spark, sf):
+    train, _, _ = P.split_frames(labelled(spark, sf).select("doc_id"))
+    return train.select(F.count(F.lit(1))).scalar()
 
 
 @register("clean_text", f"""
@@ -61,46 +77,64 @@ def q_clean_text(spark, sf):
     return labelled(spark, sf).select("doc_id", X.clean_text("text").alias("clean_text"))
 
 
+RULES_SQL = ", ".join(f"({i + 1}, '{s}', '{r}')" for i, (s, r) in enumerate(FE.NOUN_RULES))
+# The lexicon inputs are derived from the corpus: its words are the known base forms, and its words on -aux
+# are the irregular forms, of lemmas on -al and -ail.
 LEMMA_SQL = f"""
 ct AS (SELECT doc_id, {CLEAN_SQL} AS t FROM labelled),
-lex AS (SELECT DISTINCT unnest(t) AS term FROM ct),
-rules(prio, suffix, repl) AS (VALUES {", ".join(f"({i + 1}, '{s}', '{r}')" for i, (s, r) in enumerate(FE.NOUN_RULES))}),
-cands AS (SELECT l.term, r.prio, substring(l.term, 1, length(l.term) - length(r.suffix)) || r.repl AS cand
-          FROM lex l JOIN rules r ON suffix(l.term, r.suffix) AND length(l.term) > length(r.suffix)),
-allc AS (SELECT term, 0 AS prio, term AS cand FROM lex
-         UNION ALL SELECT term, prio, cand FROM cands WHERE cand IN (SELECT term FROM lex)),
-lem AS (SELECT term, first(cand ORDER BY length(cand), prio) AS lemma FROM allc GROUP BY term),
+words AS (SELECT DISTINCT unnest(t) AS term FROM ct),
+exc AS (SELECT term AS form, 1 AS place, substring(term, 1, length(term) - 3) || 'al' AS lemma FROM words WHERE suffix(term, 'aux')
+        UNION ALL SELECT term, 2, substring(term, 1, length(term) - 3) || 'ail' FROM words WHERE suffix(term, 'aux')),
+lex AS (SELECT term AS word FROM words UNION SELECT lemma FROM exc WHERE length(lemma) % 2 = 0),
+rules(prio, suffix, repl) AS (VALUES {RULES_SQL}),
+steps AS (
+  SELECT term, 0 AS level, 0::HUGEINT AS place, term AS cand FROM words WHERE term NOT IN (SELECT form FROM exc)
+  UNION ALL
+  SELECT s.term, s.level + 1, s.place * 10 + r.prio, substring(s.cand, 1, length(s.cand) - length(r.suffix)) || r.repl
+  FROM steps s JOIN rules r ON suffix(s.cand, r.suffix)),
+cands AS (
+  SELECT term, greatest(level, 1) AS level, place, cand FROM steps
+  UNION ALL SELECT form, 1, place, lemma FROM exc
+  UNION ALL SELECT DISTINCT form, 1, 0, form FROM exc),
+lem AS (SELECT term, first(cand ORDER BY level, length(cand), place) AS lemma FROM cands
+        WHERE cand IN (SELECT word FROM lex) GROUP BY term),
 pos AS (SELECT doc_id, g.pos - 1 AS pos, t[g.pos] AS token
         FROM ct, LATERAL (SELECT unnest(range(1, len(t) + 1)) AS pos) g)
 """
 
 
-def _lemmatized(spark, sf):
-    docs = labelled(spark, sf).select("doc_id", X.clean_tokens("text").alias("tokens"))
-    lex = FE.explode_terms(docs, "doc_id", "tokens").select("term")
-    return FE.lemmatize_tokens(docs, "doc_id", "tokens", FE.noun_lemma_table(lex))
+def _lemma_inputs(spark, sf):
+    """Stored tokens, and the stored dictionary of the words that change."""
+    docs = stored(labelled(spark, sf).select("doc_id", X.clean_tokens("text").alias("tokens")), "clean-tokens")
+    words = FE.explode_terms(docs, "doc_id", "tokens").select("term").distinct()
+    stem = F.expr("substring(term, 1, length(term) - 3)")
+    irregular = words.where(F.col("term").endswith("aux")).select(
+        F.col("term").alias("form"), F.posexplode(F.array(F.concat(stem, F.lit("al")), F.concat(stem, F.lit("ail")))).alias("p", "lemma"))
+    exceptions = irregular.select("form", (F.col("p") + 1).alias("place"), "lemma")
+    lexicon = words.select(F.col("term").alias("word")).unionByName(
+        exceptions.where(F.length("lemma") % 2 == 0).select(F.col("lemma").alias("word")))
+    return docs, stored(FE.noun_lemma_table(words, lexicon, exceptions), "lemmas")
 
 
 @register("lemmatize_tokens", f"""
-WITH {LEMMA_SQL}
+WITH RECURSIVE {LEMMA_SQL}
 SELECT p.doc_id, CAST(p.pos AS INTEGER) AS pos, p.token, COALESCE(l.lemma, p.token) AS lemma
 FROM pos p LEFT JOIN lem l ON p.token = l.term
 """, ("labelled",))
 def q_lemmatize_tokens(spark, sf):
-    return _lemmatized(spark, sf)
+    docs, lemmas = _lemma_inputs(spark, sf)
+    return FE.lemmatize_tokens(docs, "doc_id", "tokens", lemmas)
 
 
 @register("clean_text_lemmatized", f"""
-WITH {LEMMA_SQL}
+WITH RECURSIVE {LEMMA_SQL}
 SELECT ct.doc_id, COALESCE(string_agg(COALESCE(l.lemma, p.token), ' ' ORDER BY p.pos), '') AS clean_text
 FROM ct LEFT JOIN pos p ON p.doc_id = ct.doc_id LEFT JOIN lem l ON p.token = l.term
 GROUP BY ct.doc_id
 """, ("labelled",))
 def q_clean_text_lemmatized(spark, sf):
-    docs = labelled(spark, sf).select("doc_id", X.clean_tokens("text").alias("tokens"))
-    lex = FE.explode_terms(docs, "doc_id", "tokens").select("term")
-    lem = FE.lemmatize_tokens(docs, "doc_id", "tokens", FE.noun_lemma_table(lex), outer=True)
-    return FE.join_lemmas(lem, "doc_id")
+    docs, lemmas = _lemma_inputs(spark, sf)
+    return FE.lemmatized_texts(docs, "doc_id", "tokens", lemmas)
 
 
 @register("tokenize", f"""
@@ -138,7 +172,7 @@ WITH {_stop_sql()}, {TERMS_SQL.strip()}
 SELECT term, tf, df FROM st
 """, ("labelled",))
 def q_term_stats(spark, sf):
-    return FE.term_stats_from_tokens(_filtered(spark, sf), "tokens")
+    return FE.term_stats_from_tokens(_train_tokens(spark, sf), "tokens")
 
 
 @register("vocabulary", f"""
@@ -146,19 +180,19 @@ WITH {_stop_sql()}, {TERMS_SQL.strip()}, {VOCAB_SQL.strip()}
 SELECT term, tf, df, term_index FROM voc
 """, ("labelled",))
 def q_vocabulary(spark, sf):
-    return _vocab(spark, sf)[1]
+    return _vocab(spark, sf)
 
 
 @register("bigram_vocabulary", f"""
 WITH {_stop_sql()},
-bg AS (SELECT doc_id, {_bigrams_sql('t')} AS b FROM toks),
+bg AS (SELECT doc_id, {_bigrams_sql('t')} AS b FROM toks JOIN labelled USING (doc_id) WHERE {SPLIT_SQL} = 'train'),
 dt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(b) AS term FROM bg) u GROUP BY doc_id, term),
 st AS (SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM dt GROUP BY term)
 SELECT term, tf, df, CAST(row_number() OVER (ORDER BY tf DESC, term ASC) - 1 AS INTEGER) AS term_index
 FROM st WHERE df >= 2.0 ORDER BY tf DESC, term ASC LIMIT {VOCAB_SIZE}
 """, ("labelled",))
 def q_bigram_vocabulary(spark, sf):
-    docs = _filtered(spark, sf).select("doc_id", X.bigrams("tokens").alias("bigrams"))
+    docs = _train_tokens(spark, sf).select("doc_id", X.bigrams("tokens").alias("bigrams"))
     stats = FE.term_stats_from_tokens(docs, "bigrams")
     return FE.vocabulary(None, VOCAB_SIZE, 2, stats=stats).withColumn("term_index", F.col("term_index").cast("int"))
 
@@ -168,32 +202,28 @@ WITH {_stop_sql()}, {TERMS_SQL.strip()}, {VOCAB_SQL.strip()}
 SELECT dt.doc_id, voc.term_index, dt.term, dt.tf AS count FROM dt JOIN voc ON dt.term = voc.term
 """, ("labelled",))
 def q_term_counts(spark, sf):
-    terms, vocab = _vocab(spark, sf)
-    return FE.term_counts(terms, vocab, "doc_id")
+    return FE.term_counts(FE.doc_terms(_filtered(spark, sf), "doc_id", "tokens"), _vocab(spark, sf), "doc_id")
 
 
 @register("idf", f"""
 WITH {_stop_sql()}, {TERMS_SQL.strip()}, {VOCAB_SQL.strip()}
-SELECT term, term_index, df, round(ln((CAST((SELECT count(*) FROM labelled) AS DOUBLE) + 1.0) / (df + 1.0)), 12)
+SELECT term, term_index, df, round(ln(({N_TRAIN_SQL} + 1.0) / (df + 1.0)), 12)
        AS idf FROM voc
 """, ("labelled",))
 def q_idf(spark, sf):
-    terms, vocab = _vocab(spark, sf)
-    n_docs = labelled(spark, sf).select(F.count(F.lit(1))).scalar()
-    return FE.idf(vocab, n_docs).withColumn("idf", F.round("idf", 12))
+    return FE.idf(_vocab(spark, sf), _n_train(spark, sf)).withColumn("idf", F.round("idf", 12))
 
 
 @register("tfidf", f"""
 WITH {_stop_sql()}, {TERMS_SQL.strip()}, {VOCAB_SQL.strip()},
-i AS (SELECT term_index, ln((CAST((SELECT count(*) FROM labelled) AS DOUBLE) + 1.0) / (df + 1.0)) AS idf FROM voc)
-SELECT dt.doc_id, voc.term_index, dt.term, round(dt.tf * i.idf, 12) AS tfidf
+i AS (SELECT term_index, ln(({N_TRAIN_SQL} + 1.0) / (df + 1.0)) AS idf FROM voc)
+SELECT dt.doc_id, voc.term_index, dt.term, round(dt.tf * i.idf, 9) AS tfidf
 FROM dt JOIN voc ON dt.term = voc.term JOIN i ON i.term_index = voc.term_index
 """, ("labelled",))
 def q_tfidf(spark, sf):
-    terms, vocab = _vocab(spark, sf)
-    n_docs = labelled(spark, sf).select(F.count(F.lit(1))).scalar()
-    out = FE.tfidf(terms, FE.idf(vocab, n_docs), "doc_id")
-    return out.withColumn("tfidf", F.round("tfidf", 12))
+    terms = FE.doc_terms(_filtered(spark, sf), "doc_id", "tokens")
+    out = FE.tfidf(terms, FE.idf(_vocab(spark, sf), _n_train(spark, sf)), "doc_id")
+    return out.withColumn("tfidf", F.round("tfidf", 9))
 
 
 @register("tfidf_smooth_l2", f"""

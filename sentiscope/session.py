@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,6 +77,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame under the shared checkpoint folder and read it back: a cut lineage of known size."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cluster_conf(input_bytes: int, executor_cores_total: int,
                  target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Settings for a large cluster run, sized from the input volume.

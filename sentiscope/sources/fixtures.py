@@ -227,5 +227,8 @@ def with_fixtures(sql: str, *names: str) -> str:
         return body
     if body[:4].upper() == "WITH":
         # the query has CTEs of its own: append them after the fixtures
-        return "WITH " + ",\n".join(ctes) + ",\n" + body[4:].lstrip()
+        own = body[4:].lstrip()
+        recursive = own[:9].upper() == "RECURSIVE"
+        head = "WITH RECURSIVE " if recursive else "WITH "
+        return head + ",\n".join(ctes) + ",\n" + (own[9:].lstrip() if recursive else own)
     return "WITH " + ",\n".join(ctes) + "\n" + body

@@ -109,7 +109,7 @@ def test_lemma_table_rules(spark):
                                 "term string")
     got = {r["term"]: r["lemma"] for r in noun_lemma_table(lex).collect()}
     assert got["dogs"] == "dog" and got["boxes"] == "box" and got["berries"] == "berry"
-    assert got["glass"] == "glass" and got["dog"] == "dog"
+    assert "glass" not in got and "dog" not in got  # a word that is its own lemma needs no row
 
 
 def _bin_reference(v):
@@ -177,3 +177,60 @@ def test_spread_and_cluster_conf(spark):
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 * 2 ** 20)
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(10, 8000)["spark.sql.shuffle.partitions"]) == 16000
+
+
+def _morphy(word, lexicon, exceptions):
+    """The noun lemmatiser's search in plain Python: exceptions, else detachment level by level."""
+    from sentiscope.operators.features import NOUN_RULES
+
+    def known(forms):
+        return [f for f in forms if f in lexicon]
+
+    def detach(forms):
+        return [f[:len(f) - len(s)] + r for f in forms for s, r in NOUN_RULES if f.endswith(s)]
+
+    if word in exceptions:
+        found = known([word, *exceptions[word]])
+    else:
+        forms = detach([word])
+        found = known([word, *forms])
+        while not found and forms:
+            forms = detach(forms)
+            found = known(forms)
+    return min(found, key=len) if found else word
+
+
+def test_lemmas_with_lexicon_and_exceptions(spark, tmp_path):
+    from sentiscope.operators import features as FE
+    from sentiscope.sources.lexicon import read_exceptions, read_lexicon
+
+    lexicon = "foot dog box berry man glas glass bus buse church axis ax axe datum s as ass".split()
+    exceptions = {"feet": ["foot"], "axes": ["ax", "axis", "axe"], "data": ["datum"], "dice": ["die"]}
+    (tmp_path / "index.noun").write_text("  1 licence line  \n" + "".join(f"{w} n 1 0 1 0 0001  \n" for w in lexicon))
+    (tmp_path / "noun.exc").write_text("".join(f"{f} {' '.join(ls)}\n" for f, ls in exceptions.items()))
+    words = [*lexicon, *exceptions, "feets", "dogs", "dogses", "boxes", "berries", "men", "mens", "glasses", "buses", "churches",
+             "sssss", "asses", "assesses", "unknowns", "women", "ies", "men", "z", ""]
+    table = FE.noun_lemma_table(spark.createDataFrame([(w,) for w in words] + [(None,)], "term string"),
+                                read_lexicon(spark, str(tmp_path)), read_exceptions(spark, str(tmp_path)))
+    got = {r.term: r.lemma for r in table.collect()}
+    want = {w: _morphy(w, set(lexicon), exceptions) for w in words}
+    assert got == {w: v for w, v in want.items() if v != w}
+    assert got["feet"] == "foot" and got["mens"] == "man" and got["axes"] == "ax"
+    docs = spark.createDataFrame([(1, ["feet", "good", "dogs", "feet"]), (2, ["good"]), (3, []), (4, None)], "doc_id int, tokens array<string>")
+    texts = {r.doc_id: r.clean_text for r in FE.lemmatized_texts(docs, "doc_id", "tokens", table).collect()}
+    assert texts[1] == "foot good dog foot" and texts[2] == "good" and texts[3] == ""
+    rows = FE.lemmatize_tokens(docs, "doc_id", "tokens", table).collect()
+    assert sorted((r.doc_id, r.pos, r.token, r.lemma) for r in rows) == [
+        (1, 0, "feet", "foot"), (1, 1, "good", "good"), (1, 2, "dogs", "dog"), (1, 3, "feet", "foot"), (2, 0, "good", "good")]
+
+
+def test_clean_text_splits_at_every_python_space(spark):
+    import re
+
+    from sentiscope.functions.text import CLEAN_STOPWORDS, WS, clean_text
+
+    texts = [f"Good{c}day,x{c}" for c in map(chr, range(0x3001)) if c.isspace()] + ["it's​zero width", "tab\x1fsep", None, ""]
+    want = [" ".join(w for w in re.sub(r"[^a-z\s]", "", (t or "").lower()).split() if w not in CLEAN_STOPWORDS) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    assert [r.c for r in df.select("i", clean_text("text").alias("c")).orderBy("i").collect()] == want
+    assert set(WS) == {c for c in map(chr, range(0x110000)) if c.isspace() and not 0xD800 <= ord(c) < 0xE000}
