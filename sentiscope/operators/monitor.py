@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sentiscope.functions.labels import UNKNOWN
 from sentiscope.functions.probability import confidence, percent, probability_values
-from sentiscope.operators.stats import exact_median
+from sentiscope.operators.stats import median_of_counts, merge_counts, value_counts
 from sentiscope.sources.fixtures import STREAM_SOURCE
 
 # Fixed values of the dashboard.
@@ -231,30 +231,33 @@ def score_by_sentiment(frame: DataFrame) -> DataFrame:
 
 
 def score_sentiment_crosstab(frame: DataFrame, sentiments=(*SENTIMENTS, UNKNOWN)) -> DataFrame:
-    """Wide score x sentiment counts, zeros filled; the values are all that prediction decoding can give."""
+    """Wide score x sentiment counts, zeros filled: a column per named label, and ``other`` for all further ones."""
+    label = F.when(F.col("predicted_label").isin(*sentiments), F.col("predicted_label")).otherwise(F.lit("other"))
     return (frame.where(F.col("score").isNotNull() & F.col("predicted_label").isNotNull())
-            .groupBy("score").pivot("predicted_label", list(sentiments))
+            .groupBy("score").pivot(label, [*sentiments, "other"])
             .agg(F.count(F.lit(1))).na.fill(0).orderBy("score"))
 
 
-def confidence_stats(frame: DataFrame) -> DataFrame:
+def confidence_totals(counts: DataFrame) -> DataFrame:
+    """One row ``total, average, median, least, greatest, low`` from the value counts of the confidence (null among them)."""
+    v, n = F.col("value"), F.col("n")
+    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+                     (F.sum(v * n) / F.sum(F.when(v.isNotNull(), n))).alias("average"),
+                     F.min("value").alias("least"), F.max("value").alias("greatest"),
+                     F.coalesce(F.sum(F.when(v < F.lit(LOW_CONFIDENCE_THRESHOLD), n)), F.lit(0)).alias("low"))
+    return row.withColumn("median", median_of_counts(counts))
+
+
+def confidence_stats(frame: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Mean / exact median / min / max confidence as percentages (2 dp) + low-confidence count.
 
-    One aggregation pass gives every statistic but the median (and the median's
-    count / min / max); the exact median adds one bounded pass
-    (:func:`sentiscope.operators.stats.exact_median`).
+    Everything comes from the value counts of the confidence (``value, n``): one scan
+    of the store, or none if ``counts`` are given (for instance merged from the batches' rollups).
     """
-    conf = F.col("confidence")
-    row = frame.agg(F.avg(conf).alias("avg"), F.min(conf).alias("min"), F.max(conf).alias("max"),
-                    F.count(conf).alias("n"),
-                    F.count_if(conf < F.lit(LOW_CONFIDENCE_THRESHOLD)).alias("low")).first()
-    median = exact_median(frame, "confidence", (row["n"], row["min"], row["max"]))
-    spark = frame.sparkSession
-    one = spark.createDataFrame([(row["avg"], median, row["min"], row["max"], int(row["low"]))],
-                                "a double, md double, mn double, mx double, low long")
-    return one.select(percent("a").alias("average_confidence"), percent("md").alias("median_confidence"),
-                      percent("mn").alias("min_confidence"), percent("mx").alias("max_confidence"),
-                      F.col("low").alias("low_confidence_count"))
+    totals = confidence_totals(merge_counts(counts) if counts is not None else value_counts(frame, "confidence"))
+    return totals.select(percent("average").alias("average_confidence"), percent("median").alias("median_confidence"),
+                         percent("least").alias("min_confidence"), percent("greatest").alias("max_confidence"),
+                         F.col("low").cast("bigint").alias("low_confidence_count"))
 
 
 def confidence_stats_approx(frame: DataFrame, accuracy: int = 10_000) -> DataFrame:

@@ -226,7 +226,8 @@ def q_score_by_sentiment(spark, sf):
 SELECT score, count(*) FILTER (WHERE predicted_label = 'negative') AS negative,
        count(*) FILTER (WHERE predicted_label = 'neutral') AS neutral,
        count(*) FILTER (WHERE predicted_label = 'positive') AS positive,
-       count(*) FILTER (WHERE predicted_label = 'unknown') AS unknown
+       count(*) FILTER (WHERE predicted_label = 'unknown') AS unknown,
+       count(*) FILTER (WHERE predicted_label NOT IN ('negative', 'neutral', 'positive', 'unknown')) AS other
 FROM analytics WHERE score IS NOT NULL AND predicted_label IS NOT NULL GROUP BY score
 """), ("predictions",))
 def q_score_sentiment_crosstab(spark, sf):

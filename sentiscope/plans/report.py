@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentiscope.operators import monitor
-from sentiscope.operators.stats import exact_median
+from sentiscope.operators.stats import value_counts
 
 
 def _pct_or_na(value: Column) -> Column:
@@ -23,24 +23,21 @@ def _thousands(value: Column) -> Column:
     return F.format_number(value.cast("bigint"), 0)
 
 
-def report_summary(frame: DataFrame) -> DataFrame:
-    """Rows ``(section, position, metric, value)`` of report sections 3 and 8."""
-    conf = F.col("confidence")
-    row = frame.agg(F.count(F.lit(1)).alias("total"), F.avg(conf).alias("avg"), F.min(conf).alias("min"),
-                    F.max(conf).alias("max"), F.count(conf).alias("n"),
-                    F.count_if(conf < F.lit(monitor.LOW_CONFIDENCE_THRESHOLD)).alias("low")).first()
-    median = exact_median(frame, "confidence", (row["n"], row["min"], row["max"]))
-    batches = monitor.batch_summary(frame)
+def report_summary(frame: DataFrame, counts: DataFrame | None = None, batches: DataFrame | None = None) -> DataFrame:
+    """Rows ``(section, position, metric, value)`` of report sections 3 and 8.
+
+    Lazy.  ``counts`` (value counts of the confidence) and ``batches`` (records per batch)
+    come from ``frame`` unless they are given, for instance from the store's rollups.
+    """
+    totals = monitor.confidence_totals(value_counts(frame, "confidence") if counts is None else counts)
+    batches = monitor.batch_summary(frame) if batches is None else batches
     low_label = f"Low-confidence predictions below {monitor.LOW_CONFIDENCE_THRESHOLD * 100:.0f}%"
-    one = frame.sparkSession.createDataFrame(
-        [(int(row["total"]), row["avg"], median, row["min"], row["max"], int(row["low"]))],
-        "total long, avg double, median double, min double, max double, low long")
-    execu = one.select(
+    execu = totals.select(
         _thousands(F.col("total")).alias("total"),
-        _pct_or_na(F.col("avg")).alias("avg"),
+        _pct_or_na(F.col("average")).alias("avg"),
         _pct_or_na(F.col("median")).alias("median"),
-        _pct_or_na(F.col("min")).alias("min"),
-        _pct_or_na(F.col("max")).alias("max"),
+        _pct_or_na(F.col("least")).alias("min"),
+        _pct_or_na(F.col("greatest")).alias("max"),
         _thousands(F.col("low")).alias("low"),
     )
     execu_rows = execu.selectExpr(

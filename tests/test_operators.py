@@ -234,3 +234,22 @@ def test_clean_text_splits_at_every_python_space(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     assert [r.c for r in df.select("i", clean_text("text").alias("c")).orderBy("i").collect()] == want
     assert set(WS) == {c for c in map(chr, range(0x110000)) if c.isspace() and not 0xD800 <= ord(c) < 0xE000}
+
+
+def test_exact_median_shapes(spark):
+    import random
+    import statistics
+
+    rng = random.Random(3)
+    for vals in ([1.0], [1.0, 2.0], [0.1] * 5 + [5.0] * 5, [rng.random() for _ in range(1001)], [7.0] * 9 + [1e300],
+                 [float(rng.randint(-3, 3)) for _ in range(500)], [1e308, -1e308, 5e-324, 0.3]):
+        df = spark.createDataFrame([(v,) for v in vals] + [(None,), (float("nan"),)], "v double").repartition(4)
+        assert ST.exact_median(df, "v") == statistics.median(vals)
+    assert ST.exact_median(spark.createDataFrame([], "v double"), "v") is None
+
+
+def test_crosstab_counts_labels_that_it_does_not_name(spark):
+    df = spark.createDataFrame([(1, "positive"), (1, "mixed"), (1, "spam"), (2, "unknown"), (None, "positive")],
+                               "score int, predicted_label string")
+    rows = {r.score: r for r in M.score_sentiment_crosstab(df).collect()}
+    assert rows[1].positive == 1 and rows[1].other == 2 and rows[2].unknown == 1 and len(rows) == 2
