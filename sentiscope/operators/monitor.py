@@ -234,7 +234,7 @@ def score_sentiment_crosstab(frame: DataFrame, sentiments=(*SENTIMENTS, UNKNOWN)
     """Wide score x sentiment counts, zeros filled: a column per named label, and ``other`` for all further ones."""
     label = F.when(F.col("predicted_label").isin(*sentiments), F.col("predicted_label")).otherwise(F.lit("other"))
     return (frame.where(F.col("score").isNotNull() & F.col("predicted_label").isNotNull())
-            .groupBy("score").pivot(label, [*sentiments, "other"])
+            .select("score", label.alias("label")).groupBy("score").pivot("label", [*sentiments, "other"])
             .agg(F.count(F.lit(1))).na.fill(0).orderBy("score"))
 
 
