@@ -11,7 +11,7 @@ from sentiscope.operators import prepare as P
 from sentiscope.plans import model as MD
 from sentiscope.sources import store as ST
 from sentiscope.sources.fixtures import labelled, reviews
-from sentiscope.streaming import publish, sink, sources
+from sentiscope.streaming import progress, publish, sink, sources
 from sentiscope.streaming.parse import parse_messages
 from sentiscope.streaming.predict import scored_stream
 
@@ -68,7 +68,12 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, fitted, tmp_dir):
     cols = ["text", "score", "prediction", "predicted_label", "probability"]
     assert store.count() == msgs.count()
     assert store.select(cols).exceptAll(batch.select(cols)).count() == 0
-    assert store.select("batch_id").distinct().count() == len([p for p in snk.progress if p["rows"] > 0])
+    told = progress.batch_progress(spark, f"{tmp_dir}/store", f"{tmp_dir}/ckpt", snk.run_id).collect()
+    stored = {r["batch_id"]: r["count"] for r in store.groupBy("batch_id").count().collect()}
+    assert {r["batch_id"]: r["rows"] for r in told if r["rows"]} == stored
+    assert all(r["finished_at"] is not None and r["seconds"] >= 0 and "logOffset" in r["offset"] for r in told)
+    lag = progress.file_lag(spark, f"{tmp_dir}/messages", f"{tmp_dir}/ckpt").first()
+    assert (lag["files"], lag["taken"], lag["waiting"]) == (3, 3, 0)
     # a restart with the same checkpoint and no new files writes nothing new
     q2, _ = sink.start(stream, f"{tmp_dir}/store", f"{tmp_dir}/ckpt")
     q2.awaitTermination()
@@ -241,11 +246,15 @@ def test_restart_processes_only_new_messages(spark, fitted, tmp_dir):
     q1.awaitTermination()
     n1 = ST.read_store(spark, f"{tmp_dir}/store").count()
     assert n1 == first.count()
-    last_batch = max(p["batch_id"] for p in s1.progress)
+    told = progress.batch_progress(spark, f"{tmp_dir}/store", f"{tmp_dir}/ckpt", s1.run_id).collect()
+    last_batch = max(p["batch_id"] for p in told)
     publish.publish_files(second, f"{tmp_dir}/messages", 2, mode="append")
+    assert progress.file_lag(spark, f"{tmp_dir}/messages", f"{tmp_dir}/ckpt").first()["waiting"] == 2
     q2, s2 = sink.start(stream, f"{tmp_dir}/store", f"{tmp_dir}/ckpt")
     q2.awaitTermination()
     store = ST.read_store(spark, f"{tmp_dir}/store")
     assert store.count() == first.count() + second.count()
-    assert min(p["batch_id"] for p in s2.progress) > last_batch
+    assert s2.run_id == s1.run_id
+    told = progress.batch_progress(spark, f"{tmp_dir}/store", f"{tmp_dir}/ckpt", s2.run_id)
+    assert told.where(f"batch_id > {last_batch}").agg(F.sum("rows")).first()[0] == second.count()
     assert store.where(f"batch_id > {last_batch}").count() == second.count()
