@@ -19,7 +19,7 @@ pos AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_index, text, score
 """
 
 
-def _exported_test_split(spark, sf) -> str:
+def exported_test_split(spark, sf) -> str:
     """The test split, written as JSON lines in document order to the scratch folder."""
     import uuid
 
@@ -188,7 +188,7 @@ SELECT row_index, score FROM pos WHERE row_index >= {RESUME_AT}
 def q_resume_offset(spark, sf):
     from sentiscope.streaming.publish import exported_rows
 
-    return P.resume_from(exported_rows(spark, _exported_test_split(spark, sf)), RESUME_AT).select("row_index", "score")
+    return P.resume_from(exported_rows(spark, exported_test_split(spark, sf)), RESUME_AT).select("row_index", "score")
 
 
 @register("publish_events", f"""
@@ -200,7 +200,7 @@ def q_publish_events(spark, sf):
     """Test split exported, read back, positions given, messages encoded."""
     from sentiscope.streaming.publish import messages_from_export
 
-    return messages_from_export(spark, _exported_test_split(spark, sf))
+    return messages_from_export(spark, exported_test_split(spark, sf))
 
 
 @register("export_test_split", f"""
@@ -210,7 +210,7 @@ def q_export_test_split(spark, sf):
     """The lines that the export wrote, values as written."""
     from sentiscope.sources import files
 
-    return files.scan_jsonl(spark, _exported_test_split(spark, sf), files.RAW_JSONL_SCHEMA)
+    return files.scan_jsonl(spark, exported_test_split(spark, sf), files.RAW_JSONL_SCHEMA)
 
 
 @register("parse_events", """
