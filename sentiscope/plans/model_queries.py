@@ -19,7 +19,7 @@ from sentiscope.operators import prepare as P
 from sentiscope.operators import tuning as TU
 from sentiscope.plans import model as MD
 from sentiscope.plans import search as SR
-from sentiscope.sources.fixtures import labelled, scored
+from sentiscope.sources.fixtures import labelled, scored, trials
 from sentiscope.sources.tables import fingerprint
 
 _LOGS: dict = {}
@@ -32,19 +32,18 @@ def _splits(spark, sf):
 
 
 def _trial_log(spark, sf):
+    """The log of one search per session and input, read from the files that the search wrote trial by trial."""
+    import uuid
+
+    from sentiscope.session import scratch_path
+
     key = fingerprint(spark, sf, "documents", "labels")
     if key not in _LOGS:
-        train, val, _ = _splits(spark, sf)
-        train = train.persist()
-        val = val.persist()
-        try:
-            _, _, log = SR.simulated_annealing(train, val)
-            _LOGS[key] = log.collect(), log.schema
-        finally:
-            train.unpersist()
-            val.unpersist()
-    rows, schema = _LOGS[key]
-    return spark.createDataFrame(rows, schema)
+        train, val, _ = SR.search_splits(labelled(spark, sf))
+        path = scratch_path(spark, f"trials-{uuid.uuid4().hex[:12]}")
+        SR.simulated_annealing(train, val, log_path=path)
+        _LOGS[key] = path
+    return SR.read_trial_log(spark, _LOGS[key])
 
 
 def trained_model(spark, sf):
@@ -116,6 +115,34 @@ def q_acceptance_prob(spark, sf):
         "step", "accepted", "temperature", "current_macro_f1", "macro_f1", "acceptance_probability")
 
 
+# The same operators over a trial log derived from the tables, where SQL gives the exact result.
+@register("ranked_trials", """
+SELECT CAST(row_number() OVER (ORDER BY macro_f1 DESC, step) AS INT) AS rank, step, macro_f1, accuracy FROM trials
+""", ("trials",))
+def q_ranked_trials(spark, sf):
+    return TU.trial_ranking(trials(spark, sf)).select("rank", "step", "macro_f1", "accuracy")
+
+
+@register("best_of_trials", """
+SELECT step, macro_f1, accuracy FROM trials ORDER BY macro_f1 DESC, step LIMIT 1
+""", ("trials",))
+def q_best_of_trials(spark, sf):
+    return TU.best_trial(trials(spark, sf)).select("step", "macro_f1", "accuracy")
+
+
+@register("trial_acceptance", """
+WITH c AS (SELECT *, last_value(CASE WHEN accepted THEN macro_f1 END IGNORE NULLS)
+                       OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS current_macro_f1 FROM trials)
+SELECT step, accepted, current_macro_f1, macro_f1,
+       round(CASE WHEN current_macro_f1 IS NULL OR macro_f1 >= current_macro_f1 THEN 1.0
+                  ELSE exp((macro_f1 - current_macro_f1) / temperature) END, 9) AS acceptance_probability
+FROM c
+""", ("trials",))
+def q_trial_acceptance(spark, sf):
+    return TU.with_acceptance(trials(spark, sf)).select(
+        "step", "accepted", "current_macro_f1", "macro_f1", F.round("acceptance_probability", 9).alias("acceptance_probability"))
+
+
 @register("baseline_metrics")
 def q_baseline_metrics(spark, sf):
     """Experiments' baseline: plain LR on smooth-IDF / L2 TF-IDF of the cleaned text, scored on val."""

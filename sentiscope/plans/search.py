@@ -1,21 +1,27 @@
-"""Simulated-annealing search over the model configuration.
-
-Each trial is one Spark fit on the (persisted) training split and
-one evaluation on the validation split; only the one-row metric record of each
-trial comes back to the driver.  Repeated configurations are memoised (the walk
-revisits them) but still logged as their own step.
+"""Simulated-annealing search over the model configuration, with a durable log.
+
+The trials share stored tokens and term statistics (``plans.shared_features``); each
+one fits a classifier and is evaluated on the validation split, and only its one-row metric
+record comes back to the driver.  Every trial is written to the log before the next begins,
+together with the state of the walk (random state, temperature, current and best
+configuration), so a search that was stopped anywhere goes on from there and ends with the same log.
+Repeated configurations are memoised (the walk revisits them) but still logged as their own step.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from sentiscope.operators import prepare as P
 from sentiscope.operators.evaluate import metrics_record
 from sentiscope.operators.tuning import TRIAL_SCHEMA, acceptance_probability
 from sentiscope.plans import model as model_mod
+from sentiscope.plans.shared_features import SharedFeatures
+from sentiscope.sources import shared_files
 
 # Fixed values of the original search space and schedule.
 VOCAB_OPTIONS = [10000, 12000, 14000]
@@ -30,6 +36,7 @@ SEED = 42
 
 SPACE = {"vocab_size": VOCAB_OPTIONS, "min_df": MIN_DF_OPTIONS, "max_iter": MAX_ITER_OPTIONS,
          "reg_param": REG_PARAM_OPTIONS}
+CONFIG = ("vocab_size", "min_df", "max_iter", "reg_param", "use_bigrams")
 
 
 def neighbor_config(config: dict, rng: random.Random, space: dict = SPACE) -> dict:
@@ -44,6 +51,7 @@ def neighbor_config(config: dict, rng: random.Random, space: dict = SPACE) -> di
 
 
 def train_and_score(train: DataFrame, val: DataFrame, config: dict) -> dict:
+    """A whole pipeline fitted and scored (what a trial's shared features stand for)."""
     fitted = model_mod.fit(train, **config)
     labels = model_mod.label_order(fitted)
     scored = fitted.transform(val.na.drop(subset=["text"]))
@@ -54,54 +62,122 @@ def train_and_score(train: DataFrame, val: DataFrame, config: dict) -> dict:
 def _record(step, accepted, temperature, config, metrics, sample_size):
     row = {"step": step, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
            "accepted": accepted, "temperature": temperature, "sample_size": sample_size}
-    row.update({k: config[k] for k in ("vocab_size", "min_df", "max_iter", "reg_param", "use_bigrams")})
+    row.update({k: config[k] for k in CONFIG})
     row.update(metrics)
     return row
 
 
+class Walk:
+    """State of a search: what the next step depends on."""
+
+    def __init__(self, config: dict, temperature: float, seed: int):
+        self.rng = random.Random(seed)
+        self.temperature = temperature
+        self.current, self.score = dict(config), None
+        self.best, self.best_metrics = None, None
+
+    def state(self) -> dict:
+        version, words, gauss = self.rng.getstate()
+        return {"random": [version, list(words), gauss], "temperature": self.temperature, "current": self.current,
+                "score": self.score, "best": self.best, "best_metrics": self.best_metrics}
+
+    def restore(self, state: dict) -> None:
+        version, words, gauss = state["random"]
+        self.rng.setstate((version, tuple(words), gauss))
+        self.temperature, self.current, self.score = state["temperature"], state["current"], state["score"]
+        self.best, self.best_metrics = state["best"], state["best_metrics"]
+
+    def take(self, config: dict, metrics: dict, accepted: bool) -> None:
+        score = metrics["macro_f1"]
+        if accepted:
+            self.current, self.score = dict(config), score
+        if self.best is None or score > self.best_metrics["macro_f1"]:  # the first of equal ones stays
+            self.best, self.best_metrics = dict(config), dict(metrics)
+
+
+class TrialLog:
+    """An append-only folder: one file per trial with its record and the walk's state behind it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def append(self, record: dict, walk: Walk) -> None:
+        entry = {**record, "timestamp": record["timestamp"].isoformat(), "walk": walk.state()}
+        shared_files.publish(self.spark, f"{self.path}/trial-{record['step']:06d}.json", json.dumps(entry))
+
+    def entries(self) -> list[dict]:
+        """All logged trials in order (one per model fit, so a short list)."""
+        found = [json.loads(shared_files.read_text(self.spark, f"{self.path}/{n}")) for n in shared_files.names(self.spark, self.path)]
+        return [{**e, "timestamp": dt.datetime.fromisoformat(e["timestamp"])} for e in found]
+
+
+def read_trial_log(spark: SparkSession, path: str) -> DataFrame:
+    """The logged trials as a table."""
+    return spark.read.schema(TRIAL_SCHEMA).json(f"{path.rstrip('/')}/trial-*.json")
+
+
 def simulated_annealing(train: DataFrame, val: DataFrame, steps: int = MAX_STEPS,
                         initial: dict | None = None, space: dict = SPACE,
                         temperature: float = INITIAL_TEMPERATURE, cooling: float = COOLING_RATE,
                         seed: int = SEED, sample_size: int | None = None, on_trial=None,
-                        scorer=train_and_score):
+                        scorer=None, log_path: str | None = None):
     """Run the search; returns ``(best_config, best_metrics, trial_log DataFrame)``.
 
-    ``on_trial(trials_so_far)`` is called after every trial (e.g. to rewrite the
-    log).  The logged temperature is the one in force at that step (before
-    cooling).  The best configuration changes only on a strictly better score.
+    With ``log_path`` every trial is logged there, and the search goes on behind the last logged one; ``train``,
+    ``val``, ``space`` and ``cooling`` must be those it began with.  ``on_trial(trials_so_far)`` is called after every trial.
+    The logged temperature is the one in force at that step (before
+    cooling).  The best configuration changes only on a strictly better score.  ``scorer(train, val, config)`` scores
+    a configuration; by default the trials share stored tokens and statistics.
     """
-    rng = random.Random(seed)
-    memo: dict[tuple, dict] = {}
+    spark = train.sparkSession
+    log = TrialLog(spark, log_path) if log_path else None
+    walk = Walk(initial or INITIAL_CONFIG, temperature, seed)
+    trials = log.entries() if log else []
+    if trials:
+        walk.restore(trials[-1]["walk"])
+    memo = {tuple(t[k] for k in CONFIG): {k: t[k] for k in t if k in _METRICS} for t in trials}
+    shared = None
 
     def evaluate(cfg):
-        key = tuple(sorted(cfg.items()))
+        nonlocal shared
+        key = tuple(cfg[k] for k in CONFIG)
         if key not in memo:
-            memo[key] = scorer(train, val, cfg)
+            if scorer is not None:
+                memo[key] = scorer(train, val, cfg)
+            else:
+                shared = shared or SharedFeatures(train, val)
+                memo[key] = shared.score({k: cfg[k] for k in CONFIG})
         return memo[key]
 
-    current = dict(initial or INITIAL_CONFIG)
-    cur_metrics = evaluate(current)
-    cur_score = cur_metrics["macro_f1"]
-    best, best_metrics, best_score = dict(current), dict(cur_metrics), cur_score
-    trials = [_record(0, True, temperature, current, cur_metrics, sample_size)]
-    if on_trial:
-        on_trial(trials)
-    for step in range(1, steps + 1):
-        cand = neighbor_config(current, rng, space)
-        cand_metrics = evaluate(cand)
-        cand_score = cand_metrics["macro_f1"]
-        accepted = rng.random() < acceptance_probability(cur_score, cand_score, temperature)
-        if accepted:
-            current, cur_metrics, cur_score = cand, cand_metrics, cand_score
-        if cand_score > best_score:
-            best, best_metrics, best_score = dict(cand), dict(cand_metrics), cand_score
-        trials.append(_record(step, accepted, temperature, cand, cand_metrics, sample_size))
+    for step in range(len(trials), steps + 1):
+        if step == 0:
+            cand, accepted = walk.current, True
+            metrics = evaluate(cand)
+        else:
+            cand = neighbor_config(walk.current, walk.rng, space)
+            metrics = evaluate(cand)
+            accepted = walk.rng.random() < acceptance_probability(walk.score, metrics["macro_f1"], walk.temperature)
+        record = _record(step, accepted, walk.temperature, cand, metrics, sample_size)
+        walk.take(cand, metrics, accepted)
+        if step:
+            walk.temperature *= cooling
+        trials.append(record)
+        if log:
+            log.append(record, walk)
         if on_trial:
             on_trial(trials)
-        temperature *= cooling
-    log = train.sparkSession.createDataFrame(
-        [tuple(t.get(f.name) for f in TRIAL_SCHEMA.fields) for t in trials], TRIAL_SCHEMA)
-    return best, best_metrics, log
+    rows = spark.createDataFrame([tuple(t.get(f.name) for f in TRIAL_SCHEMA.fields) for t in trials], TRIAL_SCHEMA)
+    return walk.best, walk.best_metrics, rows
+
+
+_METRICS = {f.name for f in TRIAL_SCHEMA.fields} - {"step", "timestamp", "accepted", "temperature", "sample_size", *CONFIG}
+
+
+def search_splits(labelled: DataFrame, sample_size: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Weighted training split, validation and test split of the first ``sample_size`` reviews (all without one)."""
+    rows = P.sample_head(labelled, sample_size) if sample_size else labelled
+    train, val, test = P.split_frames(rows)
+    return P.add_class_weights(train), val, test
 
 
 def write_trial_log(trials: DataFrame, path: str) -> None:

@@ -210,9 +210,31 @@ FROM labelled
 """
 
 
+# ---------------------------------------------------------------- trials
+def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trial log, one row per nation: its customers give scores, its number the step."""
+    customers = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey")
+    per_nation = customers.groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("c_custkey") % 7).alias("s"), F.sum(F.col("c_custkey") % 3).alias("a"))
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    step = F.col("n_nationkey")
+    return nations.join(per_nation, nations.n_nationkey == per_nation.c_nationkey).select(
+        step.cast("int").alias("step"), ((step == 0) | (F.col("n_regionkey") % 2 == 1)).alias("accepted"),
+        (F.lit(0.5) / (step + 1)).alias("temperature"),
+        F.round(F.col("s") / F.col("n") / 6, 2).alias("macro_f1"), F.round(F.col("a") / F.col("n") / 2, 2).alias("accuracy"))
+
+
+TRIALS_SQL = """
+SELECT CAST(n_nationkey AS INT) AS step, n_nationkey = 0 OR n_regionkey % 2 = 1 AS accepted, 0.5::DOUBLE / (n_nationkey + 1) AS temperature,
+       round(s / n / 6, 2) AS macro_f1, round(a / n / 2, 2) AS accuracy
+FROM nation JOIN (SELECT c_nationkey, count(*) AS n, CAST(sum(c_custkey % 7) AS DOUBLE) AS s, CAST(sum(c_custkey % 3) AS DOUBLE) AS a
+                  FROM customer GROUP BY c_nationkey) c ON n_nationkey = c_nationkey
+"""
+
+
 def with_fixtures(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the CTEs of the fixtures it uses (dependencies first)."""
-    order = ["reviews", "labelled", "predictions", "scored", "messages"]
+    order = ["reviews", "labelled", "predictions", "scored", "messages", "trials"]
     deps = {"labelled": ["reviews"], "messages": ["reviews", "labelled"]}
     need: list[str] = []
     for n in names:
@@ -220,7 +242,8 @@ def with_fixtures(sql: str, *names: str) -> str:
             if d not in need:
                 need.append(d)
     bodies = {"reviews": REVIEWS_SQL, "labelled": LABELLED_SQL, "predictions": PREDICTIONS_SQL,
-              "scored": SCORED_SQL, "messages": MESSAGES_SQL}
+              "scored": SCORED_SQL, "messages": MESSAGES_SQL,
+              "trials": TRIALS_SQL}
     ctes = [f"{n} AS ({bodies[n].strip()})" for n in order if n in need]
     body = sql.strip()
     if not ctes:

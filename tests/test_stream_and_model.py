@@ -206,11 +206,16 @@ def test_cli_train_publish_stream_report(spark, tmp_dir, monkeypatch):
     from sentiscope.plans import model as model_mod
 
     monkeypatch.setattr(model_mod, "FINAL_CONFIG", SMALL)
-    cli.main(["train", "--data", SF_SMALL, "--models", f"{tmp_dir}/models", "--version", "c1"])
-    cli.main(["publish", "--data", SF_SMALL, "--out", f"{tmp_dir}/msgs", "--files", "2"])
-    cli.main(["stream", "--model", f"{tmp_dir}/models/v=c1", "--messages", f"{tmp_dir}/msgs",
+    cli.main(["train", "--data", SF_SMALL, "--models", f"{tmp_dir}/models", "--version", "c1", "--serve"])
+    cli.main(["export", "--data", SF_SMALL, "--out", f"{tmp_dir}/export"])
+    cli.main(["publish", "--exported", f"{tmp_dir}/export", "--out", f"{tmp_dir}/msgs", "--rows-per-file", "5"])
+    cli.main(["stream", "--models", f"{tmp_dir}/models", "--messages", f"{tmp_dir}/msgs",
               "--store", f"{tmp_dir}/store", "--checkpoint", f"{tmp_dir}/ckpt", "--once"])
+    cli.main(["progress", "--store", f"{tmp_dir}/store", "--checkpoint", f"{tmp_dir}/ckpt", "--messages", f"{tmp_dir}/msgs"])
+    cli.main(["compact", "--store", f"{tmp_dir}/store", "--source", "spark_structured_streaming", "--up-to-batch", "0"])
     cli.main(["report", "--store", f"{tmp_dir}/store", "--out", f"{tmp_dir}/report"])
+    _, _, test = P.split_frames(labelled(spark, SF_SMALL))
+    assert ST.read_store(spark, f"{tmp_dir}/store").where("model_version = 'c1'").count() == test.count()
     assert ST.read_store(spark, f"{tmp_dir}/store").count() > 0
     assert glob.glob(f"{tmp_dir}/report/summary/*.csv")
 
@@ -258,3 +263,20 @@ def test_restart_processes_only_new_messages(spark, fitted, tmp_dir):
     told = progress.batch_progress(spark, f"{tmp_dir}/store", f"{tmp_dir}/ckpt", s2.run_id)
     assert told.where(f"batch_id > {last_batch}").agg(F.sum("rows")).first()[0] == second.count()
     assert store.where(f"batch_id > {last_batch}").count() == second.count()
+
+
+def test_cli_trains_and_tunes_from_a_csv(spark, tmp_dir, monkeypatch):
+    from sentiscope import cli
+    from sentiscope.plans import model as model_mod
+    from sentiscope.plans import search
+
+    raw = reviews(spark, SF_SMALL).select("Text", "Score").withColumn("Text", F.translate("Text", "\n\r", "  "))
+    raw.coalesce(1).write.option("header", True).option("quote", '"').option("escape", '"').csv(f"{tmp_dir}/csv")
+    monkeypatch.setattr(model_mod, "FINAL_CONFIG", SMALL)
+    monkeypatch.setattr(search, "INITIAL_CONFIG", {**SMALL, "vocab_size": 10000, "min_df": 3, "max_iter": 15, "reg_param": 0.0001})
+    cli.main(["train", "--csv", f"{tmp_dir}/csv", "--models", f"{tmp_dir}/models", "--version", "c1"])
+    cli.main(["tune", "--csv", f"{tmp_dir}/csv", "--out", f"{tmp_dir}/tuning", "--steps", "0"])
+    cli.main(["tune", "--csv", f"{tmp_dir}/csv", "--out", f"{tmp_dir}/tuning", "--steps", "1", "--models", f"{tmp_dir}/models", "--version", "c2"])
+    log = search.read_trial_log(spark, f"{tmp_dir}/tuning/log")
+    assert sorted(r.step for r in log.collect()) == [0, 1]
+    assert os.path.isdir(f"{tmp_dir}/models/v=c2") and open(f"{tmp_dir}/models/_current").read() == "c2"
