@@ -83,30 +83,22 @@ def latest_predictions(store: DataFrame, source: str = STREAM_SOURCE, sentiment=
                        batch=ALL, limit: int = DEFAULT_LIMIT, keys_from: DataFrame | None = None) -> DataFrame:
     """Latest ``limit`` filtered store rows, newest first (ties by ``event_id``).
 
-    Two phases so the wide columns (``text``) are read only for the winners:
-    the top ``limit`` keys are chosen on ``(processed_at, event_id)`` alone
-    (``TakeOrderedAndProject``: each task keeps its own top ``limit``), then the
-    oldest winning timestamp becomes a literal lower bound pushed into the
-    Parquet scan (row groups older than it are skipped by their statistics) and
-    the winners are joined back by id and time, null ones included (a null time
-    is the oldest; without a full set of times there is no lower bound).
+    Lazy, in two steps so the wide columns (``text``) are read for few rows only: a
+    subquery finds the ``limit``-th newest time on that column alone (``TakeOrderedAndProject``: each task
+    keeps its own newest), and its result is a lower bound that the wide Parquet scan gets as a pushed filter (row
+    groups older than it are skipped by their statistics).  A null time is the oldest; where
+    the newest rows do not fill the limit with times there is no lower bound.
     """
     filtered = filter_predictions(store, source, sentiment, score, batch)
     # ``keys_from``: the same rows without the wide columns (e.g. a store view that
     # skips the text lookup); defaults to the store itself, where column pruning
-    # already keeps phase 1 narrow
+    # already keeps the first step narrow
     narrow = filter_predictions(keys_from, source, sentiment, score, batch) if keys_from is not None else filtered
-    top = narrow.select("event_id", "processed_at").orderBy(*latest_order()).limit(limit)
-    # the cutoff travels as the column's own string form and is cast back to the
-    # column's type, so no Python / session time-zone conversion can shift it
-    ts_type = narrow.schema["processed_at"].dataType.simpleString()
-    oldest = F.min("processed_at").cast("string")
-    cutoff = top.agg(F.when(F.count_if(F.col("processed_at").isNull()) == 0, oldest)).first()[0]
-    narrowed = (filtered if cutoff is None
-                else filtered.where(F.col("processed_at") >= F.lit(cutoff).cast(ts_type)))
-    keys = top.select(F.col("event_id").alias("_id"), F.col("processed_at").alias("_ts")).distinct()
-    same = narrowed.event_id.eqNullSafe(keys._id) & narrowed.processed_at.eqNullSafe(keys._ts)
-    rows = narrowed.join(keys, same).drop("_id", "_ts")
+    at = F.col("processed_at")
+    newest = narrow.select("processed_at").orderBy(at.desc_nulls_last()).limit(limit)
+    bound = newest.agg(F.when(F.count("processed_at") == limit, F.min("processed_at"))).scalar()
+    earliest = F.lit("0001-01-01 00:00:00").cast(narrow.schema["processed_at"].dataType)
+    rows = filtered.where((at >= F.coalesce(bound, earliest)) | at.isNull())
     return prepare(rows).select(
         "event_id", "processed_at", "text_preview", "text", "score", "prediction",
         "predicted_label", "probability_values",
