@@ -16,17 +16,21 @@ signatures are the same).
 Joining.  Texts with the same words are one node first, so thousands of copies cost one
 signature row in the joins.  Nodes that agree in one of ``bands`` bands of ``rows``
 coordinates share a bucket; nodes that also agree in the following bands share finer
-buckets (``DEPTHS`` bands in a row).  Each member first meets its bucket's least node,
+buckets (``DEPTHS`` bands in a row).  Each member first meets its bucket's least node (its pivot),
 and the exact Jaccard similarity of the two shingle sets decides on a link; connected
 members are then settled.  In ``TURNS`` further turns each member of a bucket with
 several components meets a drawn member of another one.  So nearly all members are
-settled by work that grows with the nodes alone.  The pairs of different components
-that are left, share a bucket, differ in hardly more bits than the threshold allows
-(``SURE`` standard deviations) and were not tested are then all tested, each once.  The
-bits are one per coordinate of a longer signature (``BITS`` coordinates), thrown for the
-nodes that share a bucket.  A pair at similarity 0.8 differs in more bits with probability
-below 1e-7, less than the banding loses (3e-6), and is then lost only if no turn and no
-chain of other links joins the two.  Classes
+settled by work that grows with the nodes alone.
+
+What is left are pairs of different components in a bucket.  They are settled exactly, and
+without forming all pairs, by the members' differences from the pivot.  With ``D(x)`` the symmetric difference of x's
+set and the pivot's, two sets differ just where their differences do, so a link needs at least
+``c = (|D(x)| + |D(y)| - (|x| + |y|) (1 - t) / (1 + t)) / 2`` common elements of ``D(x)`` and ``D(y)``.
+Where c is not positive both are linked to the pivot, hence in one component already.  So every
+pair left has a common element, and one among the rarest ``|D| - c + 1`` elements of each (the prefix
+filter, with the least c that a member can have in its bucket; elements that one member alone has are no help and go).  Members meet by (bucket,
+element), and the count of common elements decides in the join, which gives links alone.  Nothing
+but the banding itself (3e-6 at similarity 0.8) loses a link.  Classes
 are the connected components of the links.
 
 Defined results: a text of one to four words is one shingle; a null text or one without
@@ -55,9 +59,6 @@ BANDS = 24
 ROWS = 4
 DEPTHS = (1, 2, 4)
 TURNS = 2
-BITS = 1024
-DOUBT = 2.6
-SURE = 6.0
 CHUNK_WORDS = 1_000_000
 
 
@@ -147,17 +148,6 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def bits(signature: np.ndarray) -> np.ndarray:
-    """One bit per coordinate, 64 of them to a number: equal values have equal bits, others by chance half the time."""
-    return np.packbits((_mix(signature) >> np.uint64(63)).astype(np.uint8), axis=1).view(np.int64)
-
-
-def most_differing(k: int, threshold: float, doubt: float = DOUBT) -> float:
-    """Differing bits of ``k`` that a pair at the threshold stays within but for ``doubt`` standard deviations."""
-    differs = (1 - threshold) / 2
-    return differs * k + doubt * float(np.sqrt(k * differs * (1 - differs)))
-
-
 # -------------------------------------------------------------- map functions
 def _chunks(texts, chunk_words: int) -> Iterator[tuple[slice, list[list[str]]]]:
     """Slices of a batch with about ``chunk_words`` words, and their words in lower case."""
@@ -190,7 +180,7 @@ def _sign(bands: int, rows: int, size: int, chunk_words: int):
                         keys[i] = np.r_[keys[i], key]
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].iloc[part].array, "text_key": batch["text_key"].iloc[part].array,
-                    "node": [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() if w else None for w in words],
+                    "words": [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() if w else None for w in words],
                     "buckets": [k if n else [] for k, n in zip(keys, lengths, strict=True)]})
 
     return run
@@ -202,11 +192,8 @@ def _shingle_sets(size: int, chunk_words: int):
             for part, words in _chunks(batch["text"], chunk_words):
                 lengths = np.array([len(w) for w in words], dtype=np.int64)
                 doc, element, _ = weighted(*shingles([x for w in words for x in w], lengths, size))
-                # unit weights, as the exact similarity counts distinct shingles
-                signature = dart_signatures(doc, element, np.ones(len(doc)), len(words), BITS)
                 ends = np.cumsum(np.bincount(doc, minlength=len(words)))
-                yield pd.DataFrame({"node": batch["node"].iloc[part].array,
-                                    "set": np.split(element.view(np.int64), ends[:-1]), "bits": list(bits(signature))})
+                yield pd.DataFrame({"node": batch["node"].iloc[part].array, "set": np.split(element.view(np.int64), ends[:-1])})
 
     return run
 
@@ -281,24 +268,43 @@ def _foreign_pivots(met: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     return met_by.select(*_ordered("node", "pivot")).distinct()
 
 
-def _remaining(member: DataFrame, labels: DataFrame, signs: DataFrame, tried: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of different components that share a bucket, differ in few enough bits and have not been tested.
+def _remaining(member: DataFrame, labels: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The links ``a, b`` between different components that share a bucket (``member``: ``node, bucket, buckets``).
 
-    Sizes of the sets bound the similarity; a pair comes from the first bucket it shares.
+    See the module's text for the filter; a pair comes from the first bucket and the first
+    prefix element it shares.
     """
+    slack = (1 - threshold) / (1 + threshold)
     placed = _placed(member, labels)
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
-        F.col("low") != F.col("high")).select("bucket")
-    left = materialise(placed.join(mixed, "bucket").join(signs, "node"), "mixed")
+    ends = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("pivot"))
+    mixed = materialise(placed.join(ends.where(F.col("low") != F.col("high")).select("bucket", "pivot"), "bucket"), "mixed")
+    # a node and a pivot may share several buckets: their difference is formed once
+    pairs = (mixed.select("node", "pivot").distinct().join(sets, "node")
+             .join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("of")), "pivot"))
+    apart = F.concat(F.array_except("set", "of"), F.array_except("of", "set"))
+    pairs = materialise(pairs.select("node", "pivot", F.size("set").alias("n"), apart.alias("apart")), "differences")
+    far = (F.size("apart") - F.lit(slack) * F.col("n")).alias("far")
+    rows = mixed.join(pairs, ["node", "pivot"]).select("bucket", "node", "component", "buckets", "n", "apart", far)
+    # the rarest elements of each difference within its bucket
+    elements = rows.select("bucket", "node", F.explode("apart").alias("element"))
+    often = elements.groupBy("bucket", "element").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    ranked = (elements.join(often, ["bucket", "element"]).groupBy("bucket", "node")
+              .agg(F.array_sort(F.collect_list(F.struct("often", "element"))).alias("known")))
+    nearest = rows.groupBy("bucket").agg(F.min("far").alias("nearest"))
+    common = F.greatest(F.lit(1.0), F.ceil((F.col("far") + F.col("nearest")) / 2 - 1e-9)).cast("int")
+    alone = F.size("apart") - F.size("known")
+    prefix = F.slice("known", F.lit(1), F.greatest(F.size("apart") - common + 1 - alone, F.lit(0)))
+    rows = (rows.join(nearest, "bucket").join(ranked, ["bucket", "node"])
+            .select("bucket", "node", "component", "buckets", "far", F.transform("known", lambda e: e["element"]).alias("known"),
+                    F.transform(prefix, lambda e: e["element"]).alias("prefix")))
+    left = materialise(rows.withColumn("element", F.explode("prefix")), "prefixes")
     right = left.select(*[F.col(c).alias(f"other_{c}") for c in left.columns])
-    common = F.array_intersect("buckets", "other_buckets")
-    differing = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("other_bits")[i])) for i in range(BITS // 64)), F.lit(0))
     alike = ((F.col("component") < F.col("other_component"))
-             & (F.least("n", "other_n") >= threshold * F.greatest("n", "other_n") - 1e-9)
-             & (differing <= most_differing(BITS, threshold, SURE))
-             & (F.get(common, F.lit(0)) == F.col("bucket")))
-    pairs = left.join(right, (F.col("bucket") == F.col("other_bucket")) & alike).select(*_ordered("node", "other_node"))
-    return pairs.join(tried, ["a", "b"], "left_anti")
+             & (F.get(F.array_intersect("prefix", "other_prefix"), F.lit(0)) == F.col("element"))
+             & (F.get(F.array_intersect("buckets", "other_buckets"), F.lit(0)) == F.col("bucket"))
+             & (2 * F.size(F.array_intersect("known", "other_known")) >= F.col("far") + F.col("other_far") - 1e-6))
+    met = (F.col("bucket") == F.col("other_bucket")) & (F.col("element") == F.col("other_element"))
+    return left.join(right, met & alike).select(*_ordered("node", "other_node"))
 
 
 def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -316,22 +322,28 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     texts = texts.withColumn("text_key", text_key(F.col("text")))
     signed = materialise(texts.mapInPandas(
         _sign(bands, rows, size, chunk_words),
-        f"doc_id {kind}, text_key string, node binary, buckets array<long>"), "signatures")
-    nodes = (signed.where(F.col("node").isNotNull()).groupBy("node")
-             .agg(F.min("text_key").alias("text_key"), F.any_value("buckets").alias("buckets")))
+        f"doc_id {kind}, text_key string, words binary, buckets array<long>"), "signatures")
+    # a node gets a short number, unique as the table is written once
+    nodes = materialise(signed.where(F.col("words").isNotNull()).groupBy("words")
+                        .agg(F.min("text_key").alias("text_key"), F.any_value("buckets").alias("buckets"))
+                        .withColumn("node", F.monotonically_increasing_id()), "nodes")
     member = nodes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
-    some = F.xxhash64("node")
-    shared = materialise(member.groupBy("bucket").agg(F.min(some).alias("low"), F.max(some).alias("high")).where(
+    shared = materialise(member.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(
         F.col("low") != F.col("high")).select("bucket"), "shared")
     # nodes that share a bucket, and their buckets of every depth
-    wanted = materialise(nodes.join(member.join(shared, "bucket").select("node").distinct(), "node"), "wanted")
+    wanted = materialise(nodes.join(member.join(shared, "bucket").select("node").distinct(), "node")
+                         .select("node", "text_key", "buckets"), "wanted")
     chosen = texts.join(wanted.select("node", "text_key"), "text_key").dropDuplicates(["node"]).select("node", "text")
-    sets = materialise(chosen.mapInPandas(_shingle_sets(size, chunk_words), "node binary, set array<long>, bits array<long>"), "shingles")
+    sets = materialise(chosen.mapInPandas(_shingle_sets(size, chunk_words), "node long, set array<long>"), "shingles")
 
     def finer(first: int):
         ring = F.concat(F.slice("buckets", first, bands), F.slice("buckets", first, max(DEPTHS)))
         starts = F.sequence(F.lit(1), F.lit(bands))
-        return F.concat(*[F.transform(starts, lambda i, d=d: F.xxhash64(F.slice(ring, i, F.lit(d)))) for d in DEPTHS])
+
+        def deep(d: int):  # a function of one argument: a second one would be taken for the index
+            return F.transform(starts, lambda i: F.xxhash64(F.slice(ring, i, F.lit(d))))
+
+        return F.concat(*[deep(d) for d in DEPTHS])
 
     plain = F.when(F.size("buckets") > bands, finer(bands + 1)).otherwise(F.array().cast("array<bigint>"))
     met = wanted.select("node", F.explode(F.array_distinct(F.concat(finer(1), plain))).alias("bucket"))
@@ -348,11 +360,16 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
         new = materialise(_linked(pairs, sets, threshold), "linked")
         links, tried = links.unionByName(new), tried.unionByName(pairs)
         labels = components(links)
-    signs = wanted.select("node", "buckets").join(sets.select("node", "bits", F.size("set").alias("n")), "node")
-    rest = materialise(_remaining(member.join(shared, "bucket"), labels, signs, tried, threshold), "pairs")
-    labels = components(links.unionByName(materialise(_linked(rest, sets, threshold), "linked")))
-    of_node = signed.select("doc_id", "text_key", "node").join(labels, "node", "left").select(
-        "doc_id", "text_key", F.coalesce("component", "node").alias("c"))
+    # members of the single bands, where all pairs that the banding finds share a bucket
+    single = wanted.select("node", F.array_distinct("buckets").alias("buckets"), F.explode(F.array_distinct("buckets")).alias("bucket"))
+    rest = _remaining(single.join(shared, "bucket"), labels, sets, threshold)
+    labels = components(links.unionByName(materialise(rest, "linked")))
+    # classes by the words of their least node
+    words = nodes.select("node", "words")
+    named = labels.join(words, "node").join(
+        words.select(F.col("node").alias("component"), F.col("words").alias("c")), "component").select("words", "c")
+    of_node = signed.select("doc_id", "text_key", "words").join(named, "words", "left").select(
+        "doc_id", "text_key", F.coalesce("c", "words").alias("c"))
     classes = (of_node.where(F.col("c").isNotNull()).groupBy("c")
                .agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
     return of_node.join(classes, "c", "left").select(

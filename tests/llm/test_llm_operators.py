@@ -221,20 +221,6 @@ def test_near_duplicates_against_all_pairs(spark):
     assert 1 < len(set(root)) < len(texts)
 
 
-def test_bits_differ_as_often_as_the_similarity_says():
-    import numpy as np
-
-    rng = np.random.default_rng(1)
-    element = rng.integers(1, 2**63, 450, dtype=np.uint64)
-    doc = np.repeat([0, 1], [400, 400])
-    s = near_duplicates.dart_signatures(doc, np.r_[element[:400], element[50:]], np.ones(800), 2, near_duplicates.BITS)
-    a, b = near_duplicates.bits(s)
-    assert len(a) == near_duplicates.BITS // 64
-    differing = sum(bin(int(x) & (2**64 - 1)).count("1") for x in a ^ b)
-    assert abs(differing / near_duplicates.BITS - (1 - 350 / 450) / 2) < 0.04
-    assert near_duplicates.most_differing(1024, 0.8) == pytest.approx(127.36, abs=0.01)
-
-
 LONG = "A long paragraph of running text that goes on for many words and so has a high ratio of text to tags"
 
 
@@ -322,24 +308,69 @@ def test_near_duplicates_of_repeated_texts(spark):
     assert got == {100 * i + r: (100 * i + 1, len(times)) for i in range(4) for r in times}
 
 
-def test_remaining_pairs_keep_all_but_one_link_in_ten_million(spark):
-    from pyspark.sql import functions as F
+def test_remaining_links_are_all_links_between_components(spark):
+    """Members of buckets at every similarity around the threshold, none of them settled but with their pivots: no link is lost."""
+    import random
 
-    n = near_duplicates.BITS
-    # the most differing bits that a remaining pair may have, as the operator decides it
-    rows = [(bytes([0]), 5, [1], [0] * (n // 64), bytes([0]))]
-    for i, d in enumerate(range(100, 180), 1):
-        mask = (1 << d) - 1
-        words = [(mask >> (64 * j)) & (2**64 - 1) for j in range(n // 64)]
-        rows.append((bytes([i]), 5, [1], [w - 2**64 if w >= 2**63 else w for w in words], bytes([i])))
-    signs = spark.createDataFrame([r[:4] for r in rows], "node binary, n int, buckets array<long>, bits array<long>")
-    member = signs.select("node", F.lit(1).cast("long").alias("bucket"))
-    labels = signs.select("node", F.col("node").alias("component"))
-    none = spark.createDataFrame([], "a binary, b binary")
-    pairs = near_duplicates._remaining(member, labels, signs, none, 0.8).where(F.col("a") == bytes([0])).count()
-    most = 99 + pairs
-    lost = sum(math.comb(n, d) * 0.1**d * 0.9 ** (n - d) for d in range(most + 1, most + 200))
-    assert lost < 1e-7
+    rng = random.Random(11)
+    base, sets, buckets = [rng.randrange(2**62) for _ in range(120)], {}, {}
+    for node in range(140):
+        gone = rng.sample(range(120), rng.choice([0, 3, 7, 9, 11, 14, 30]))
+        sets[node] = [x for i, x in enumerate(base) if i not in gone] + [rng.randrange(2**62) for _ in range(rng.choice([0, 5, 9, 12]))]
+        buckets[node] = sorted(rng.sample(range(6), rng.choice([1, 2, 3])))
+
+    def similar(a, b):
+        x, y = set(sets[a]), set(sets[b])
+        return len(x & y) >= 0.8 * len(x | y)
+
+    component = {n: n for n in sets}
+
+    def join(a, b):
+        low, high = sorted((component[a], component[b]))
+        component.update({n: low for n, c in component.items() if c == high})
+
+    for bucket in range(6):
+        inside = [n for n in sets if bucket in buckets[n]]
+        for n in inside:
+            if similar(n, min(inside)):
+                join(n, min(inside))
+    want = {(a, b) for a in sets for b in sets if a < b and component[a] != component[b] and set(buckets[a]) & set(buckets[b]) and similar(a, b)}
+    member = spark.createDataFrame([(n, b, bs) for n, bs in buckets.items() for b in bs], "node long, bucket long, buckets array<long>")
+    labels = spark.createDataFrame(list(component.items()), "node long, component long")
+    table = spark.createDataFrame(list(sets.items()), "node long, `set` array<long>")
+    got = [tuple(r) for r in near_duplicates._remaining(member, labels, table, 0.8).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_no_link_of_the_given_documents_is_lost(spark):
+    """Classes of all given documents against the all-pairs components of their shingle sets (by an index of shingles)."""
+    from collections import defaultdict
+
+    import pandas as pd
+
+    frame = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = {}
+    for doc, text in zip(frame.doc_id, frame.text):
+        words = (text or "").lower().split()
+        if words:
+            sets[int(doc)] = frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4)))
+    seen, root = defaultdict(list), {d: d for d in sets}
+
+    def top(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for d, s in sets.items():
+        shared = Counter(o for shingle in s for o in seen[shingle])
+        for other, n in shared.items():
+            if n >= 0.8 * (len(s) + len(sets[other]) - n) and top(d) != top(other):
+                root[max(top(d), top(other))] = min(top(d), top(other))
+        for shingle in s:
+            seen[shingle].append(d)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r.class_id for r in near_duplicates.near_duplicate_classes(docs).where("component is not null").collect()}
+    assert got == {d: top(d) for d in sets}
 
 
 def test_classes_without_or_with_repeated_ids(spark):
