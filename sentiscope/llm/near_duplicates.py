@@ -28,8 +28,9 @@ set and the pivot's, two sets differ just where their differences do, so a link
 ``c = (|D(x)| + |D(y)| - (|x| + |y|) (1 - t) / (1 + t)) / 2`` common elements of ``D(x)`` and ``D(y)``.
 Where c is not positive both are linked to the pivot, hence in one component already.  So every
 pair left has a common element, and one among the rarest ``|D| - c + 1`` elements of each (the prefix
-filter, with the least c that a member can have in its bucket; elements that one member alone has are no help and go).  Members meet by (bucket,
-element), and the count of common elements decides in the join, which gives links alone.  Nothing
+filter, with the least c that a member can have beside its pivot; elements that one member alone has are no help and go).
+Members meet by (pivot, element), and the count of common elements (by 16 bits of each, so never too small) is compared with c in
+the join, which so gives hardly a pair that is no link; the sets decide in the end.  Nothing
 but the banding itself (3e-6 at similarity 0.8) loses a link.  Classes
 are the connected components of the links.
 
@@ -269,42 +270,43 @@ def _foreign_pivots(met: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
 
 
 def _remaining(member: DataFrame, labels: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The links ``a, b`` between different components that share a bucket (``member``: ``node, bucket, buckets``).
+    """Pairs ``a, b`` of different components, all links among those that share a bucket (``member``: ``node, bucket``) and few others.
 
-    See the module's text for the filter; a pair comes from the first bucket and the first
-    prefix element it shares.
+    See the module's text for the filter.  Members meet by their buckets' pivot: two that share
+    a bucket share its pivot, and pairs with the pivot have been tested.
     """
     slack = (1 - threshold) / (1 + threshold)
-    placed = _placed(member, labels)
-    ends = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("pivot"))
-    mixed = materialise(placed.join(ends.where(F.col("low") != F.col("high")).select("bucket", "pivot"), "bucket"), "mixed")
-    # a node and a pivot may share several buckets: their difference is formed once
-    pairs = (mixed.select("node", "pivot").distinct().join(sets, "node")
-             .join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("of")), "pivot"))
+    pivots = member.groupBy("bucket").agg(F.min("node").alias("pivot"))
+    met = member.join(pivots, "bucket").where(F.col("node") != F.col("pivot")).select("pivot", "node").distinct()
+    placed = materialise(_placed(met, labels), "placed")
+    mixed = placed.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
+        F.col("low") != F.col("high")).select("pivot")
+    both = (placed.join(mixed, "pivot").join(sets, "node")
+            .join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("of")), "pivot"))
     apart = F.concat(F.array_except("set", "of"), F.array_except("of", "set"))
-    pairs = materialise(pairs.select("node", "pivot", F.size("set").alias("n"), apart.alias("apart")), "differences")
-    far = (F.size("apart") - F.lit(slack) * F.col("n")).alias("far")
-    rows = mixed.join(pairs, ["node", "pivot"]).select("bucket", "node", "component", "buckets", "n", "apart", far)
-    # the rarest elements of each difference within its bucket
-    elements = rows.select("bucket", "node", F.explode("apart").alias("element"))
-    often = elements.groupBy("bucket", "element").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    ranked = (elements.join(often, ["bucket", "element"]).groupBy("bucket", "node")
-              .agg(F.array_sort(F.collect_list(F.struct("often", "element"))).alias("known")))
-    nearest = rows.groupBy("bucket").agg(F.min("far").alias("nearest"))
+    far = F.size("apart") - F.lit(slack) * F.col("n")
+    rows = materialise(both.select("pivot", "node", "component", F.size("set").alias("n"), apart.alias("apart"))
+                       .withColumn("far", far), "differences")
+    # the rarest elements of each difference among those of its pivot; those that it has alone come first and help no pair
+    elements = rows.select("pivot", "node", F.explode("apart").alias("element"))
+    often = elements.groupBy("pivot", "element").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    known = (elements.join(often, ["pivot", "element"]).groupBy("pivot", "node")
+             .agg(F.array_sort(F.collect_list(F.struct("often", "element"))).alias("known")))
+    nearest = rows.groupBy("pivot").agg(F.min("far").alias("nearest"))
     common = F.greatest(F.lit(1.0), F.ceil((F.col("far") + F.col("nearest")) / 2 - 1e-9)).cast("int")
-    alone = F.size("apart") - F.size("known")
-    prefix = F.slice("known", F.lit(1), F.greatest(F.size("apart") - common + 1 - alone, F.lit(0)))
-    rows = (rows.join(nearest, "bucket").join(ranked, ["bucket", "node"])
-            .select("bucket", "node", "component", "buckets", "far", F.transform("known", lambda e: e["element"]).alias("known"),
-                    F.transform(prefix, lambda e: e["element"]).alias("prefix")))
-    left = materialise(rows.withColumn("element", F.explode("prefix")), "prefixes")
+    rest = F.size("known") - common + 1
+    narrow = rows.select("pivot", "node", "component", "far").join(nearest, "pivot").join(known, ["pivot", "node"])
+    # 16 bits of each element count what is common: never too little, and the sets decide in the end
+    codes = F.transform("known", lambda e: e["element"].bitwiseAND(F.lit(0x7FFF)).cast("smallint"))
+    ranked = materialise(narrow.where(rest > 0).select(
+        "pivot", "node", "component", "far", codes.alias("codes"),
+        F.transform(F.slice("known", F.lit(1), rest), lambda e: e["element"]).alias("prefix")), "prefixes")
+    left = ranked.withColumn("element", F.explode("prefix")).drop("prefix")
     right = left.select(*[F.col(c).alias(f"other_{c}") for c in left.columns])
-    alike = ((F.col("component") < F.col("other_component"))
-             & (F.get(F.array_intersect("prefix", "other_prefix"), F.lit(0)) == F.col("element"))
-             & (F.get(F.array_intersect("buckets", "other_buckets"), F.lit(0)) == F.col("bucket"))
-             & (2 * F.size(F.array_intersect("known", "other_known")) >= F.col("far") + F.col("other_far") - 1e-6))
-    met = (F.col("bucket") == F.col("other_bucket")) & (F.col("element") == F.col("other_element"))
-    return left.join(right, met & alike).select(*_ordered("node", "other_node"))
+    same = F.size(F.filter("codes", lambda c: F.array_contains("other_codes", c)))
+    alike = (F.col("component") < F.col("other_component")) & (2 * same >= F.col("far") + F.col("other_far") - 1e-6)
+    at = (F.col("pivot") == F.col("other_pivot")) & (F.col("element") == F.col("other_element"))
+    return left.join(right, at & alike).select(*_ordered("node", "other_node")).distinct()
 
 
 def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -361,9 +363,9 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
         links, tried = links.unionByName(new), tried.unionByName(pairs)
         labels = components(links)
     # members of the single bands, where all pairs that the banding finds share a bucket
-    single = wanted.select("node", F.array_distinct("buckets").alias("buckets"), F.explode(F.array_distinct("buckets")).alias("bucket"))
-    rest = _remaining(single.join(shared, "bucket"), labels, sets, threshold)
-    labels = components(links.unionByName(materialise(rest, "linked")))
+    single = wanted.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
+    rest = materialise(_remaining(single.join(shared, "bucket"), labels, sets, threshold), "pairs")
+    labels = components(links.unionByName(materialise(_linked(rest, sets, threshold), "linked")))
     # classes by the words of their least node
     words = nodes.select("node", "words")
     named = labels.join(words, "node").join(
