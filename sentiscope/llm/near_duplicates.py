@@ -29,8 +29,8 @@ set and the pivot's, two sets differ just where their differences do, so a link
 Where c is not positive both are linked to the pivot, hence in one component already.  So every
 pair left has a common element, and one among the rarest ``|D| - c + 1`` elements of each (the prefix
 filter, with the least c that a member can have beside its pivot; elements that one member alone has are no help and go).
-Members meet by (pivot, element), and the number of common elements is compared with c in
-the join, which so gives links only; the sets confirm them.  Nothing
+Members meet by (pivot, element), and the number of common elements (by 16 bits of each, never counted too low) is
+compared with c in the join, which so gives hardly a pair that is no link; the sets decide in the end.  Nothing
 but the banding itself (3e-6 at similarity 0.8) loses a link.  Classes
 are the connected components of the links.
 
@@ -298,16 +298,22 @@ def _remaining(member: DataFrame, labels: DataFrame, sets: DataFrame, threshold:
     common = F.greatest(F.lit(1.0), F.ceil((F.col("far") + F.col("nearest")) / 2 - 1e-6), F.ceil(own - 1e-6)).cast("int")
     rest = F.size("known") - common + 1
     narrow = rows.select("pivot", "node", "component", "n", "far").join(nearest, "pivot").join(known, ["pivot", "node"])
-    ranked = materialise(narrow.where(rest > 0).select(
-        "pivot", "node", "component", "n", "far", F.transform("known", lambda e: e["element"]).alias("known"),
-        F.transform(F.slice("known", F.lit(1), rest), lambda e: e["element"]).alias("prefix")), "prefixes")
-    left = ranked.withColumn("element", F.explode("prefix")).drop("prefix")
+    # 16 bits of each element count what is common; ``twins`` makes up for elements of one set with equal bits
+    bits = F.transform("known", lambda e: e["element"].bitwiseAND(F.lit(0x7FFF)).cast("smallint"))
+    ranked = narrow.where(rest > 0).select(
+        "pivot", "node", "component", "n", "far", F.array_distinct(bits).alias("codes"),
+        (F.size("known") - F.size(F.array_distinct(bits))).alias("twins"),
+        F.transform(F.slice("known", F.lit(1), rest), lambda e: e["element"]).alias("prefix"))
+    ranked = materialise(ranked, "prefixes")
+    # dealt out once for both sides
+    left = ranked.withColumn("element", F.explode("prefix")).drop("prefix").repartition("pivot", "element")
     right = left.select(*[F.col(c).alias(f"other_{c}") for c in left.columns])
     needed = F.col("far") + F.col("other_far") - 1e-6
+    spare = F.least("twins", "other_twins")
     alike = ((F.col("component") < F.col("other_component"))
              & (F.least("n", "other_n") >= threshold * F.greatest("n", "other_n") - 1e-9)
-             & (2 * F.least(F.size("known"), F.size("other_known")) >= needed)
-             & (2 * F.size(F.array_intersect("known", "other_known")) >= needed))
+             & (2 * (F.least(F.size("codes"), F.size("other_codes")) + spare) >= needed)
+             & (2 * (F.size(F.array_intersect("codes", "other_codes")) + spare) >= needed))
     at = (F.col("pivot") == F.col("other_pivot")) & (F.col("element") == F.col("other_element"))
     return left.join(right, at & alike).select(*_ordered("node", "other_node")).distinct()
 
