@@ -120,6 +120,7 @@ def known_texts() -> list[tuple[str, str]]:
 
 
 MARKS = "licen[cs]|permission|redistribut"
+BROADCAST_ROWS = 100_000
 # A paragraph ends at a line without letters or digits.
 BREAK = "\\n(?:[^\\p{L}\\p{N}\\n]*\\n)+"
 # Fixed values: (spelling, canonical spelling), whole words after lower-casing.
@@ -142,30 +143,43 @@ def paragraphs(text: Column) -> Column:
 
 
 def known_digests(spark, known=None) -> DataFrame:
-    """One row per distinct canonical text and, if it has several, per paragraph: ``digest, license, entry, at, n``."""
+    """One row per distinct canonical text and, if it has several, per paragraph: ``digest, license, entry, at, n, marked``.
+
+    ``marked``: the entry's canonical text has one of ``MARKS``, so every copy of it has.
+    """
     rows = spark.createDataFrame(list(known_texts() if known is None else known), "license string, t string")
-    rows = rows.select("license", F.sha2(canonical(F.col("t")), 256).alias("entry"), paragraphs(F.col("t")).alias("p"))
-    rows = rows.groupBy("entry", "p").agg(F.min("license").alias("license"))
-    single = rows.groupBy("entry").agg(F.min("license").alias("license")).select(
-        F.col("entry").alias("digest"), "license", "entry", F.lit(0).alias("at"), F.lit(1).alias("n"))
+    form = canonical(F.col("t"))
+    rows = rows.select("license", F.sha2(form, 256).alias("entry"), paragraphs(F.col("t")).alias("p"), form.rlike(MARKS).alias("marked"))
+    rows = rows.groupBy("entry", "p", "marked").agg(F.min("license").alias("license"))
+    single = rows.groupBy("entry", "marked").agg(F.min("license").alias("license")).select(
+        F.col("entry").alias("digest"), "license", "entry", F.lit(0).alias("at"), F.lit(1).alias("n"), "marked")
     several = rows.where(F.size("p") > 1).select(F.posexplode("p").alias("at", "digest"), "license", F.size("p").alias("n"),
-                                                 F.concat_ws("/", "entry", F.size("p")).alias("entry"))
+                                                 F.concat_ws("/", "entry", F.size("p")).alias("entry"), "marked")
+    several = several.select("digest", "license", "entry", "at", "n", "marked")
     return single.unionByName(several)
 
 
 def find_licenses(docs: DataFrame, known: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, licenses`` (sorted ids), ``n_lines`` with one, ``whole`` text is one."""
+    """One row per document: ``doc_id, licenses`` (sorted ids), ``n_lines`` with one, ``whole`` text is one.
+
+    Texts and lines without any of ``MARKS`` are left out only if every known entry is ``marked``; an entry without
+    a mark (or a table that does not tell) has all texts and lines looked up.  The table is broadcast up to ``BROADCAST_ROWS``.
+    """
+    size = known.select(F.col("marked") if "marked" in known.columns else F.lit(False).alias("marked")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_and("marked"), F.lit(True)).alias("all")).first()
+    table = F.broadcast(known) if size["n"] <= BROADCAST_ROWS else known
+    marks = MARKS if size["all"] else "[\\p{L}\\p{N}]"
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                         text_or_empty(text_col).alias("t"))
-    marked = F.filter(F.split("t", "\n"), lambda line: line.rlike(f"(?i){MARKS}"))
+    marked = F.filter(F.split("t", "\n"), lambda line: line.rlike(f"(?i){marks}"))
     # place: -2 the whole text, -1 a line, else the paragraph's number
     units = F.concat(
         F.array(F.struct(F.lit(-2).alias("place"), F.sha2(canonical(F.col("t")), 256).alias("digest"))),
         F.transform(marked, lambda line: F.struct(F.lit(-1).alias("place"), F.sha2(canonical(line), 256).alias("digest"))),
         F.transform(paragraphs(F.col("t")), lambda digest, i: F.struct(i.alias("place"), digest.alias("digest"))))
-    texts = texts.withColumn("units", F.when(F.col("t").rlike(f"(?i){MARKS}"), units))
+    texts = texts.withColumn("units", F.when(F.col("t").rlike(f"(?i){marks}"), units))
     units = texts.select("row", "doc_id", F.explode_outer("units").alias("unit")).select("row", "doc_id", "unit.place", "unit.digest")
-    hits = units.join(F.broadcast(known), "digest", "left")
+    hits = units.join(table, "digest", "left")
     usable = F.col("license").isNotNull() & ((F.col("n") == 1) | (F.col("place") >= 0))
     run = F.when(usable, F.struct("entry", "license", "n", F.when(F.col("place") >= 0, F.col("place") - F.col("at")).otherwise(
         F.col("place")).alias("start")))

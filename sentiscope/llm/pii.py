@@ -171,7 +171,8 @@ def render(kind: Column, mention: Column, new: Column) -> Column:
 
 
 def replace_personal_data(docs: DataFrame, *, text_col: str = "text", key: str = KEY, count_col: str = "n_entities") -> DataFrame:
-    """``docs`` with every mention replaced, plus ``count_col``, the number of mentions."""
+    """``docs`` with every mention replaced, plus the number of mentions as last column: ``count_col``, longer if ``docs`` has that."""
+    count_col = fresh_name(docs, count_col)
     digest, cuts = fresh_name(docs, "_key"), fresh_name(docs, "_cuts")
     own = [F.col(f"`{c}`") for c in docs.columns]
     text = text_or_empty(text_col)

@@ -75,9 +75,9 @@ def measures(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[s
     Every array that is used more than once is a column of its own, so the optimiser
     keeps it as a separate projection and computes it once per row.
     """
-    stems = ("_t", "_words", "_lines", "_hashes", "_windows", "_places", "_order", "_repeated", "_n_lines", "_n_stops")
+    stems = ("_t", "_words", "_lines", "_hashes", "_windows", "_order", "_repeated", "_n_lines", "_n_stops")
     names = {stem: fresh_name(docs, stem) for stem in stems + MEASURES}
-    t, words, lines, hashes, windows, places, order, repeated, n_lines, n_stops = (names[s] for s in stems)
+    t, words, lines, hashes, windows, order, repeated, n_lines, n_stops = (names[s] for s in stems)
     c = F.col
     step = docs.withColumn(t, text_or_empty(text_col))
     step = step.withColumns({
@@ -86,14 +86,11 @@ def measures(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[s
     })
     step = step.withColumn(hashes, F.transform(c(words), lambda w: F.xxhash64(w)))
     step = step.withColumn(windows, _windows(c(hashes)))
-    # places of windows found twice or more; the sort runs only where there are any.  Each
-    # long holds the hash's high bits and, in as many low bits as the text needs, the place.
-    n = F.pow(F.lit(2.0), F.ceil(F.log2(F.size(c(windows)) + F.lit(1)))).cast("long")
-    step = step.withColumn(places, F.when(F.size(F.array_distinct(c(windows))) < F.size(c(windows)), n))
-    packed = F.sort_array(F.transform(c(windows), lambda h, i: h - F.pmod(h, c(places)) + i))
-    step = step.withColumn(order, F.when(c(places).isNotNull(), packed))
-    twins = _pairs(c(order), lambda a, b: F.when(
-        a - F.pmod(a, c(places)) == b - F.pmod(b, c(places)), F.array(F.pmod(a, c(places)), F.pmod(b, c(places)))))
+    # places of windows found twice or more; the sort, by all bits of the hash and the place, runs only where there are any
+    several = F.size(F.array_distinct(c(windows))) < F.size(c(windows))
+    step = step.withColumn(order, F.when(several, F.sort_array(
+        F.transform(c(windows), lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i"))))))
+    twins = _pairs(c(order), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
     twins = F.flatten(F.filter(twins, lambda x: x.isNotNull()))
     step = step.withColumn(repeated, F.sort_array(F.array_distinct(twins)))
     covered = F.when(F.size(c(repeated)) > 0, _total(_pairs(c(repeated), lambda a, b: F.least(b - a, F.lit(WINDOW).cast("long")))) + WINDOW)

@@ -444,3 +444,32 @@ def test_lm_weights_come_from_the_learning_fold_alone(spark):
         scores.append({r.doc_id: r.score for r in got if r.doc_id != out})
     assert scores[0] and scores[0].keys() == scores[1].keys()
     assert all(math.isclose(scores[0][i], scores[1][i], rel_tol=1e-9) for i in scores[0])
+
+
+def test_repeated_window_of_a_very_long_text(spark):
+    """All bits of a window's hash count: among millions of windows only the repeated one is found."""
+    from pyspark.sql import functions as F
+
+    n = 1_500_000
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("w"), i.cast("string"))),
+                       F.lit("w7 w8 w9"))
+    judged, m = quality.judge(spark.range(1).select(F.col("id").alias("doc_id"), text.alias("text")))
+    row = judged.first()
+    assert (row[m["n_words"]], row[m["n_repeat_words"]]) == (n + 3, 6)
+
+
+def test_known_entries_without_a_license_word_are_found(spark):
+    own = licenses.known_digests(spark, [("PD", "This work is in the public domain."), ("MIT-ish", "Permission is granted to all.")])
+    rows = [(1, "Some prose.\nThis work is in the Public Domain!\nMore."), (2, "this work is in the public domain"), (3, "nothing here"),
+            (4, "permission is granted to ALL"), (5, None), (5, None), (6, "")]
+    got = {r.doc_id: (r.licenses, r.n_lines, r.whole) for r in licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string"), own).collect()}
+    assert got[1] == ("PD", 1, False) and got[2][0] == "PD" and got[2][2] and got[4][0] == "MIT-ish"
+    assert got[3] == got[5] == got[6] == ("", 0, False)
+    assert licenses.known_digests(spark).where("not marked").count() == 0
+
+
+def test_surrogates_beside_a_column_of_the_same_name(spark):
+    rows = [(1, "write to ann@example.org", 5, "x"), (1, "write to ann@example.org", 5, "x"), (2, None, None, None), (3, "no one", 1, "y")]
+    got = pii.replace_personal_data(spark.createDataFrame(rows, "doc_id long, text string, n_entities int, _cuts string"))
+    assert got.columns[:4] == ["doc_id", "text", "n_entities", "_cuts"] and len(got.columns) == 5
+    assert sorted((r[0], r[4]) for r in got.collect()) == [(1, 1), (1, 1), (2, 0), (3, 0)]
