@@ -8,9 +8,13 @@ reported only where complementary parts stand together:
 * ``weak_secret`` next to an identifier (``access`` or ``weak_access``);
 * ``endpoint`` next to both an identifier and a secret.
 
-"Next to" is an interval join within the document: parts whose starts lie within
-``scope`` code points, evaluated as a range window over the document's parts.  A weak
-part that overlaps a base span is not reported again.
+"Next to" is an interval join within the document: the gap between two parts, from the greatest stop before
+a part or to the least start after it, is at most ``scope`` code points (overlapping parts have none).  It is
+evaluated by running windows over the document's parts in both directions, linear in their number.  A weak
+part that overlaps a base span is no part of its own, nor is a secret that overlaps an identifier.
+
+Every identifier is linked with the nearest secret of its scope and every secret with the nearest identifier (ties:
+the one before); a link also has the endpoint nearest to the identifier, if its scope has one.
 
 A match's place is the sum of the pieces that splitting at the pattern leaves before
 it, a running sum over the document's matches.  Only lengths of matches and pieces are
@@ -33,8 +37,9 @@ MASK = "[SECRET]"
 # Fixed values: (kind, pattern, group that is measured, its least length).
 BASE = (
     ("assign", "(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 6),
-    ("access", "AKIA[A-Z0-9]+", 0, 20),
-    ("hex", "[0-9a-f]+", 0, 24),
+    # a shorter run of these two has no longer match inside, so the least length stands in the pattern
+    ("access", "AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", "[0-9a-f]{24,}", 0, 24),
 )
 WEAK = (
     ("weak_access", "(?<![A-Za-z0-9])(?:(?:ASIA|AROA|AIDA|AGPA)[A-Z0-9]{12,}"
@@ -43,13 +48,10 @@ WEAK = (
     ("endpoint", "(?i:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp|s3)://[^\\s\"'<>]+", 0, 1),
 )
 KINDS = BASE + WEAK
-# A pattern that finds a match wherever the kind has a reported one; cheaper than the kind's own.
-_PROBES = {"hex": "[0-9a-f]{24}"}
 
 
 def _pieces(text: Column, number: int, pattern: str, group: int) -> Column:
     """Per match: kind number, place in order, length of the piece before it, of the match, of the measured group."""
-    probe = _PROBES.get(KINDS[number][0], pattern)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     measured = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.transform(F.split(text, pattern), lambda p: F.length(p))
@@ -60,13 +62,14 @@ def _pieces(text: Column, number: int, pattern: str, group: int) -> Column:
     placed = F.transform(found, lambda x, i: F.struct(x["kind"].alias("kind"), i.alias("i"), x["gap"].alias("gap"),
                                                       x["n"].alias("n"), x["g"].alias("g")))
     empty = F.array().cast("array<struct<kind:int,i:int,gap:int,n:int,g:int>>")
-    return F.when(text.rlike(probe), placed).otherwise(empty)
+    return F.when(text.rlike(pattern), placed).otherwise(empty)
 
 
 def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """One row per document: ``row, doc_id`` and ``spans``, sorted structs ``start, kind, stop``.
+    """One row per document: ``row, doc_id``, ``spans`` (sorted structs ``start, kind, stop``) and ``credentials``.
 
-    ``kind`` is the place in :data:`KINDS`; places are code points, ``stop`` exclusive.
+    ``kind`` is the place in :data:`KINDS`; places are code points, ``stop`` exclusive.  ``credentials`` are sorted
+    structs of the spans ``identifier``, ``secret`` and ``endpoint`` (null without one).
     ``row`` numbers the input rows within this result.
     """
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
@@ -83,35 +86,85 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     kind = {name: F.col("kind") == i for i, (name, *_) in enumerate(KINDS)}
     base = F.col("kind") < len(BASE)
-    near = Window.partitionBy("row").orderBy("start").rangeBetween(-scope, scope)
-    in_order = Window.partitionBy("row").orderBy("start", "kind")
-    identifier = F.max(kind["access"] | kind["weak_access"]).over(near)
-    secret = F.max(kind["assign"] | kind["hex"] | kind["weak_secret"]).over(near)
-    reached = F.max(F.when(base, F.col("stop"))).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    coming = F.min(F.when(base, F.col("start"))).over(in_order.rowsBetween(1, Window.unboundedFollowing))
-    linked = (placed.withColumns({"id_near": identifier, "secret_near": secret, "reached": reached, "coming": coming}))
-    alone = ((F.coalesce("reached", F.lit(-1)) <= F.col("start"))
-             & (F.coalesce("coming", F.col("stop")) >= F.col("stop")))
-    complement = (F.when(kind["weak_access"], F.col("secret_near")).when(kind["weak_secret"], F.col("id_near"))
-                  .otherwise(F.col("id_near") & F.col("secret_near")))
-    span = F.when(F.col("kind").isNotNull() & (base | (alone & complement)), F.struct("start", "kind", "stop"))
-    return (linked.groupBy("row").agg(F.any_value("doc_id").alias("doc_id"),
-                                      F.sort_array(F.collect_list(span)).alias("spans")))
+    of_row = Window.partitionBy("row")
+    before = of_row.orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    behind = of_row.orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+
+    edges = {"base": base, "access": kind["access"], "weak_access": kind["weak_access"]}
+    marked = (placed.withColumns({f"{n}_stop": F.max(F.when(c, F.col("stop"))).over(before) for n, c in edges.items()})
+              .withColumns({f"{n}_start": F.min(F.when(c, F.col("start"))).over(behind) for n, c in edges.items()}))
+
+    def apart(name: str) -> Column:
+        return ((F.coalesce(f"{name}_stop", F.lit(-1)) <= F.col("start"))
+                & (F.coalesce(f"{name}_start", F.col("stop")) >= F.col("stop")))
+
+    parts = marked.select(
+        "row", "doc_id", "kind", "start", "stop",
+        (kind["access"] | (kind["weak_access"] & apart("base"))).alias("is_identifier"),
+        (kind["hex"] | (kind["assign"] & apart("access"))
+         | (kind["weak_secret"] & apart("base") & apart("weak_access"))).alias("is_secret"),
+        (kind["endpoint"] & apart("base")).alias("is_endpoint"))
+
+    def nearest(name: str) -> Column:
+        """The nearest part of a class within the scope, from the columns that ``sides`` adds."""
+        left, right = F.col(f"{name}_left"), F.col(f"{name}_right")
+        left_gap = F.greatest(F.col("start") - left["stop"], F.lit(0))
+        right_gap = F.greatest(right["start"] - F.col("stop"), F.lit(0))
+        first = left.isNotNull() & (left_gap <= scope) & (right.isNull() | (left_gap <= right_gap))
+        return F.when(first, left["part"]).when(right.isNotNull() & (right_gap <= scope), right["part"])
+
+    span = F.struct("start", "kind", "stop")
+
+    def sides(df: DataFrame, classes: dict[str, Column]) -> DataFrame:
+        ended = {f"{n}_left": F.max(F.when(F.col(f"is_{n}"), F.struct("stop", part.alias("part")))).over(before)
+                 for n, part in classes.items()}
+        begun = {f"{n}_right": F.min(F.when(F.col(f"is_{n}"), F.struct("start", part.alias("part")))).over(behind)
+                 for n, part in classes.items()}
+        return df.withColumns(ended).withColumns(begun)
+
+    parts = sides(parts, {"endpoint": span}).withColumn("endpoint", nearest("endpoint")).drop("endpoint_left", "endpoint_right")
+    whole = F.struct(span.alias("span"), F.col("endpoint").alias("endpoint"))
+    parts = sides(parts, {"identifier": whole, "secret": span}).select(
+        "row", "doc_id", "kind", "start", "stop", "endpoint", "is_identifier", "is_secret", "is_endpoint",
+        nearest("identifier").alias("identifier"), nearest("secret").alias("secret"))
+
+    identifier, secret = F.col("identifier"), F.col("secret")
+    complement = ((F.col("is_identifier") & secret.isNotNull()) | (F.col("is_secret") & identifier.isNotNull())
+                  | (F.col("is_endpoint") & identifier.isNotNull() & secret.isNotNull()))
+
+    def link(own: Column, other: Column, endpoint: Column) -> Column:
+        return F.struct(own.alias("identifier"), other.alias("secret"), endpoint.alias("endpoint"))
+
+    linked = (F.when(F.col("is_identifier") & secret.isNotNull(), link(span, secret, F.col("endpoint")))
+              .when(F.col("is_secret") & identifier.isNotNull(), link(identifier["span"], span, identifier["endpoint"])))
+    return (parts.groupBy("row").agg(F.any_value("doc_id").alias("doc_id"),
+                                     F.sort_array(F.collect_list(F.when(base | complement, span))).alias("spans"),
+                                     F.sort_array(F.collect_set(linked)).alias("credentials")))
+
+
+def _name(span: Column) -> Column:
+    names = F.array(*[F.lit(k[0]) for k in KINDS])
+    return F.concat_ws(":", F.get(names, span["kind"]), span["start"], span["stop"])
 
 
 def _text(spans: Column) -> Column:
-    names = F.array(*[F.lit(k[0]) for k in KINDS])
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s.kind), s.start, s.stop)), ",")
+    return F.array_join(F.transform(spans, _name), ",")
 
 
 def report(found: DataFrame) -> DataFrame:
-    """``doc_id``, counts of the base kinds, digest of the base spans, and all spans as text."""
+    """``doc_id``, counts of the base kinds, digest of the base spans, all spans and the links as text.
+
+    A link is ``kind:start:stop`` of its parts, joined by ``+``; links are joined by commas.
+    """
     def number(i):
         return F.size(F.filter("spans", lambda s: s.kind == i)).cast("long")
 
     counts = [number(i).alias(f"n_{name}") for i, (name, *_) in enumerate(BASE)]
     base = F.filter("spans", lambda s: s.kind < len(BASE))
-    return found.select("doc_id", *counts, F.sha2(_text(base), 256).alias("base_sha256"), _text(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(_text(base), 256).alias("base_sha256"), _text(F.col("spans")).alias("spans"),
+                        F.array_join(F.transform("credentials", lambda c: F.concat_ws(
+                            "+", _name(c["identifier"]), _name(c["secret"]),
+                            F.when(c["endpoint"].isNotNull(), _name(c["endpoint"])))), ",").alias("credentials"))
 
 
 def mask_secrets(docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE, mask: str = MASK) -> DataFrame:
@@ -124,8 +177,8 @@ def mask_secrets(docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE,
     key, cuts = fresh_name(docs, "_key"), fresh_name(docs, "_cuts")
     text = text_or_empty(text_col)
     probe = F.lit(False)
-    for name, pattern, *_ in KINDS:
-        probe = probe | text.rlike(_PROBES.get(name, pattern))
+    for _, pattern, *_ in KINDS:
+        probe = probe | text.rlike(pattern)
     some = docs.where(probe).withColumn(key, text_key(text))
     found = find_secrets(some, id_col=key, text_col=text_col, scope=scope)
     found = found.where(F.size("spans") > 0).groupBy(F.col("doc_id").alias(key)).agg(F.any_value("spans").alias("spans"))
