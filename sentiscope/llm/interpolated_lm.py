@@ -3,7 +3,8 @@
 The model mixes maximum-likelihood estimates of bigrams, unigrams and the uniform
 distribution.  The mixture weights depend on how often the context was seen (one set per
 power of two) and are learned by expectation-maximisation on the training documents, each
-token with itself deleted from the counts; held-out documents are scored and nothing else.
+token with itself deleted from the counts; held-out documents are scored and nothing else.  After a context that
+was never seen the unigram and uniform shares are scaled to 1, so every context's probabilities sum to 1.
 
 Counting and scoring without a row per token in any shuffle:
 
@@ -197,8 +198,16 @@ def learn_weights(events: pd.DataFrame, uniform: float, steps: int = EM_STEPS) -
     return {int(c): em(part) for c, part in events.groupby("cls")} | {-1: em(events)}
 
 
-def _scorer(total: int, distinct: int, weights: dict):
+def _weight_table(weights: dict[int, tuple[float, float, float]]) -> np.ndarray:
+    """Weights by context class.  A context never seen (class 0) has no bigrams: the other two share the whole."""
     table = np.array([weights.get(c, weights[-1]) for c in range(65)])
+    table[0, 0] = 0.0
+    table[0] /= table[0].sum()
+    return table
+
+
+def _scorer(total: int, distinct: int, weights: dict):
+    table = _weight_table(weights)
 
     def run(key, chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if chunk.empty:
