@@ -282,10 +282,19 @@ def _links(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarra
     return a_last.astype(np.int64) << SHIFT | b_last
 
 
-BLOCKS = ("block long, {id}, n_a long, n_b long, n_groups long, groups_sha256 string, codes array<int>, "
+BLOCKS = ("block long, {id}, n_a long, n_b long, n_groups long, groups_sha256 string, codes binary, "
           "pairs array<long>, times array<long>")
 
 
+def _planes(codes: np.ndarray) -> bytes:
+    """Numbers as four planes of bytes, lowest first: one value to Spark, and the high planes compress to little."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
 def _number_links(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Blocks of rows ``(id, n_a, n_b, sha, links)``: links become numbers of the block's distinct pairs.
 
@@ -302,7 +311,7 @@ def _number_links(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.Recor
         return pa.RecordBatch.from_arrays([
             pa.array(np.full(len(held), task << 32 | number)), pa.array([r[0] for r in held], schema.field(1).type),
             *(pa.array([r[i] for r in held], pa.int64()) for i in (1, 2)), pa.array([len(r[4]) for r in held], pa.int64()),
-            pa.array([r[3] for r in held], pa.string()), _lists(np.split(codes.astype(np.int32), ends[:-1]), pa.int32()),
+            pa.array([r[3] for r in held], pa.string()), pa.array([_planes(c) for c in np.split(codes, ends[:-1])], pa.binary()),
             pa.array([pairs, *empty], pa.list_(pa.int64())), pa.array([times, *empty], pa.list_(pa.int64()))],
             schema.names)
 
@@ -353,15 +362,11 @@ def link_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
         count, best = np.zeros(n, np.int64), np.zeros(n, np.int64)
         count[code] = answer.column("count").to_numpy()
         best[code] = answer.column("best").to_numpy(zero_copy_only=False)
-        sums = []
-        for piece in block.column("codes").chunks:
-            flat, offsets = piece.values.to_numpy(), piece.offsets.to_numpy()
-            for values in (best, count):
-                upto = np.concatenate([[0], np.cumsum(values[flat])])
-                sums.append(upto[offsets[1:]] - upto[offsets[:-1]])
+        codes = [_numbers(c) for c in block.column("codes").to_pylist()]
+        best_sum, count_sum = ([int(values[c].sum()) for c in codes] for values in (best, count))
         kept = block.select(["doc_id", "n_a", "n_b", "n_groups", "groups_sha256"])
-        return (kept.append_column("n_best", pa.array(np.concatenate(sums[::2]), pa.int64()))
-                .append_column("count_sum", pa.array(np.concatenate(sums[1::2]), pa.int64())))
+        return (kept.append_column("n_best", pa.array(best_sum, pa.int64()))
+                .append_column("count_sum", pa.array(count_sum, pa.int64())))
 
     wide = f"doc_id {kind.simpleString()}, n_a long, n_b long, n_groups long, groups_sha256 string, n_best long, count_sum long"
     scored = (blocks.select("block", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "codes").groupBy("block")
