@@ -1,6 +1,6 @@
 """Command line: the jobs a user of the original scripts runs.
 
-  python -m sentiscope.cli train   (--csv CSV | --data SF_DIR) --models DIR [--version V] [--sample-size N] [--serve]
+  python -m sentiscope.cli train   (--csv CSV | --data SF_DIR) --models DIR [--version V] [--sample-size N] [--resample HOW] [--serve]
   python -m sentiscope.cli tune    (--csv CSV | --data SF_DIR) --out DIR [--steps 8] [--sample-size N] [--models DIR]
   python -m sentiscope.cli export  (--csv CSV | --data SF_DIR) --out DIR
   python -m sentiscope.cli publish --exported DIR (--out DIR | --kafka SERVERS) [--rows-per-file N] [--start-row K]
@@ -50,7 +50,7 @@ def cmd_train(a):
 
     rows = _labelled(a)
     rows = sample_head(rows, a.sample_size) if a.sample_size else rows
-    _, path, metrics = train_and_save(rows, a.models, version=a.version)
+    _, path, metrics = train_and_save(rows, a.models, version=a.version, resample=a.resample)
     if a.serve:
         registry.serve(_spark(), a.models, path.rsplit("/v=", 1)[1])
     print(json.dumps({"model": path, "metrics": metrics}, default=str))
@@ -147,6 +147,7 @@ def main(argv=None):
     t.add_argument("--models", required=True)
     t.add_argument("--version")
     t.add_argument("--sample-size", type=int)
+    t.add_argument("--resample", default="none", choices=["none", "oversample", "oversample_75", "undersample"])
     t.add_argument("--serve", action="store_true")
     t.set_defaults(fn=cmd_train)
     u = sub.add_parser("tune")

@@ -8,6 +8,9 @@ is covered by ``tests/test_stream_and_model.py`` and ``tests/test_literal_fixtur
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentiscope.catalog import register
@@ -19,6 +22,7 @@ from sentiscope.operators import prepare as P
 from sentiscope.operators import tuning as TU
 from sentiscope.plans import model as MD
 from sentiscope.plans import search as SR
+from sentiscope.plans.train import RESAMPLING, resampled
 from sentiscope.sources.fixtures import labelled, scored, trials
 from sentiscope.sources.tables import fingerprint
 
@@ -150,3 +154,16 @@ def q_baseline_metrics(spark, sf):
     fitted = MD.fit_smooth_tfidf_baseline(train, max_iter=10)
     labels = list(fitted.stages[-2].labels)
     return V.metrics_record(fitted.transform(val), labels=tuple(labels))
+
+
+@register("resampled_baseline_metrics")
+def q_resampled_baseline_metrics(spark, sf):
+    """The baseline fitted on the training split after each way of resampling, all scored on the same val rows."""
+    train, val, _ = P.split_frames(labelled(spark, sf))
+
+    def one(how):
+        fitted = MD.fit_smooth_tfidf_baseline(resampled(train, how), max_iter=10)
+        labels = tuple(fitted.stages[-2].labels)
+        return V.metrics_record(fitted.transform(val), labels=labels).withColumn("resampling", F.lit(how))
+
+    return reduce(DataFrame.unionByName, [one(how) for how in RESAMPLING if how != "none"])

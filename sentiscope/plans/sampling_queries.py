@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentiscope.catalog import register
 from sentiscope.functions.hashing import hash_fraction_sql
 from sentiscope.operators import prepare as P
 from sentiscope.operators import sampling as S
+from sentiscope.plans.train import RESAMPLING, resampled
 from sentiscope.sources.fixtures import labelled
 
 U = hash_fraction_sql("doc_id", 42)
@@ -67,3 +71,23 @@ def q_resampled_class_sizes(spark, sf):
     under = S.undersample(train).groupBy("label").agg(F.count(F.lit(1)).alias("undersampled"))
     over = S.oversample(train).groupBy("label").agg(F.count(F.lit(1)).alias("oversampled"))
     return orig.join(under, "label").join(over, "label")
+
+
+@register("resampled_class_weights", f"""
+WITH c AS (SELECT label, count(*) AS n FROM labelled WHERE {SPLIT} = 'train' AND text IS NOT NULL GROUP BY label),
+x AS (SELECT label, n, max(n) OVER () AS mx, min(n) OVER () AS mn FROM c),
+s AS (SELECT 'none' AS resampling, label, n AS size FROM x
+      UNION ALL SELECT 'oversample', label, mx FROM x
+      UNION ALL SELECT 'oversample_75', label, GREATEST(n, CAST(floor(0.75 * mx) AS BIGINT)) FROM x
+      UNION ALL SELECT 'undersample', label, CASE WHEN n <= mn THEN n ELSE CAST(floor((n + mn) / 2) AS BIGINT) END FROM x)
+SELECT resampling, label, size AS "count",
+       round(CAST(sum(size) OVER w AS DOUBLE) / (count(*) OVER w * size), 9) AS class_weight
+FROM s WINDOW w AS (PARTITION BY resampling)
+""", ("labelled",))
+def q_resampled_class_weights(spark, sf):
+    """The class weights that a fit gets after each way of resampling its training split."""
+    train, _, _ = P.split_frames(labelled(spark, sf))
+    return reduce(DataFrame.unionByName, [
+        P.class_weight_table(resampled(train, how)).select(
+            F.lit(how).alias("resampling"), "label", "count", F.round("class_weight", 9).alias("class_weight"))
+        for how in RESAMPLING])
