@@ -41,7 +41,7 @@ def _stop_sql() -> str:
     return f"toks AS (SELECT doc_id, {_filtered_sql(TOKENS_SQL)} AS t FROM labelled)"
 
 
-# term statistics and the vocabulary come from the training split; every document is then counted by it
+# the vocabulary comes from the statistics of the training split; every document is then counted by it
 TERMS_SQL = f"""
 dt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM toks) u GROUP BY doc_id, term),
 st AS (SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM dt
@@ -168,11 +168,12 @@ def q_bigrams(spark, sf):
 
 
 @register("term_stats", f"""
-WITH {_stop_sql()}, {TERMS_SQL.strip()}
-SELECT term, tf, df FROM st
+WITH {_stop_sql()},
+dt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM toks) u GROUP BY doc_id, term)
+SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM dt GROUP BY term
 """, ("labelled",))
 def q_term_stats(spark, sf):
-    return FE.term_stats_from_tokens(_train_tokens(spark, sf), "tokens")
+    return FE.term_stats_from_tokens(_filtered(spark, sf), "tokens")
 
 
 @register("vocabulary", f"""
@@ -185,14 +186,14 @@ def q_vocabulary(spark, sf):
 
 @register("bigram_vocabulary", f"""
 WITH {_stop_sql()},
-bg AS (SELECT doc_id, {_bigrams_sql('t')} AS b FROM toks JOIN labelled USING (doc_id) WHERE {SPLIT_SQL} = 'train'),
+bg AS (SELECT doc_id, {_bigrams_sql('t')} AS b FROM toks),
 dt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(b) AS term FROM bg) u GROUP BY doc_id, term),
 st AS (SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM dt GROUP BY term)
 SELECT term, tf, df, CAST(row_number() OVER (ORDER BY tf DESC, term ASC) - 1 AS INTEGER) AS term_index
 FROM st WHERE df >= 2.0 ORDER BY tf DESC, term ASC LIMIT {VOCAB_SIZE}
 """, ("labelled",))
 def q_bigram_vocabulary(spark, sf):
-    docs = _train_tokens(spark, sf).select("doc_id", X.bigrams("tokens").alias("bigrams"))
+    docs = _filtered(spark, sf).select("doc_id", X.bigrams("tokens").alias("bigrams"))
     stats = FE.term_stats_from_tokens(docs, "bigrams")
     return FE.vocabulary(None, VOCAB_SIZE, 2, stats=stats).withColumn("term_index", F.col("term_index").cast("int"))
 
