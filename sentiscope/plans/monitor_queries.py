@@ -443,7 +443,7 @@ def q_rollup_dashboard(spark, sf):
 
     path = scratch_path(spark, f"rolled-{uuid.uuid4().hex[:12]}")
     rows = predictions(spark, sf, with_text=False).withColumn("run_id", F.lit("replay"))
-    ST.write_partitions(rows.repartition(ROLLUP_BATCHES, "batch_id"), path)
+    ST.write_partitions(rows.repartition(max(ROLLUP_BATCHES, 2 * spark.sparkContext.defaultParallelism), "batch_id"), path)
     RS.refresh_rollups(spark, path, F.lit(True))
     half = rows.agg(F.floor(F.max("batch_id") / 2)).first()[0]
     again = F.col("batch_id") == F.lit(half)
