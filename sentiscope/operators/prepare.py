@@ -80,8 +80,18 @@ def valid_range(frame: DataFrame, score: str = "score") -> DataFrame:
 
 
 def sample_head(frame: DataFrame, n: int = SAMPLE_ROWS, order: str = "doc_id") -> DataFrame:
-    """First ``n`` rows in a defined order (``TakeOrderedAndProject``)."""
-    return frame.orderBy(order).limit(n)
+    """First ``n`` rows in a defined order (nulls first).
+
+    The keys alone are ordered for the last one of the sample, and the wide rows are compared with it: no task merges the
+    texts of the first ``n`` rows of every other.  Of the rows of that last key as many are taken as are left.
+    """
+    keys = frame.select(F.struct(F.col(order).alias("key")).alias("at")).orderBy("at").limit(n)
+    last = keys.groupBy("at").agg(F.count(F.lit(1)).alias("n")).agg(F.max("at").alias("at"), F.max_by("n", "at").alias("n")).first()
+    if last["at"] is None:
+        return frame.limit(0)
+    key, cut = F.col(order), last["at"]["key"]
+    below, ties = (F.lit(False), key.isNull()) if cut is None else (key.isNull() | (key < F.lit(cut)), key == F.lit(cut))
+    return frame.where(below).unionByName(frame.where(ties).limit(last["n"])).orderBy(order)
 
 
 def resume_from(frame: DataFrame, start: int, index: str = "row_index") -> DataFrame:
