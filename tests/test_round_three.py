@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from sentiscope.operators import prepare as P
+from sentiscope.plans import model as MD
 from sentiscope.sources import rollups as RS
 from sentiscope.sources import store as ST
 from sentiscope.streaming import live, sink, sources
@@ -108,3 +110,29 @@ def test_the_sink_reads_back_its_own_batch_only(spark, tmp_path):
     read = ST.store(spark, path).one_batch("s", "a", 1).inputFiles()
     assert read and all("batch_id=1/" in f for f in read)
     assert ST.store(spark, path).one_batch("s", "a", 9).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 3, 5, 6, 100])
+def test_sample_head_has_the_first_rows_also_with_null_and_equal_keys(spark, n):
+    keys = [None, None, 1, 1, 1, 2, 5, 9]
+    frame = spark.createDataFrame([(k, f"t{i}") for i, k in enumerate(keys)], "doc_id long, text string").repartition(4)
+    got = P.sample_head(frame, n).collect()
+    assert [r["doc_id"] for r in got] == keys[:n]
+    assert len({r["text"] for r in got}) == len(got)
+
+
+def test_sample_head_orders_no_texts_of_all_tasks(spark):
+    frame = spark.range(4000, numPartitions=8).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 100).alias("text"))
+    plan = P.sample_head(frame, 50)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "(id#" in plan and "< 49" in plan
+
+
+def test_a_fit_keeps_the_filtered_words_only(spark, monkeypatch):
+    kept = []
+    train = spark.createDataFrame([("good nice day", "positive", 1.0), ("bad sad day", "negative", 1.0)] * 4,
+                                  "text string, label string, class_weight double")
+    persist = type(train).persist
+    monkeypatch.setattr(type(train), "persist", lambda self, *a: kept.append(self.columns) or persist(self, *a))
+    model = MD.fit(train, vocab_size=20, min_df=1, max_iter=2, use_bigrams=True)
+    assert sorted(kept[0]) == ["class_weight", "filtered_words", "label"]
+    assert len(model.stages) == 10 and model.transform(train).where("prediction is null").count() == 0
