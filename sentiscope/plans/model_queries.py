@@ -22,6 +22,7 @@ from sentiscope.operators import prepare as P
 from sentiscope.operators import tuning as TU
 from sentiscope.plans import model as MD
 from sentiscope.plans import search as SR
+from sentiscope.plans.baseline import fit_baseline
 from sentiscope.plans.train import RESAMPLING, resampled
 from sentiscope.sources.fixtures import labelled, scored, trials
 from sentiscope.sources.tables import fingerprint
@@ -162,8 +163,6 @@ def q_resampled_baseline_metrics(spark, sf):
     train, val, _ = P.split_frames(labelled(spark, sf))
 
     def one(how):
-        fitted = MD.fit_smooth_tfidf_baseline(resampled(train, how), max_iter=10)
-        labels = tuple(fitted.stages[-2].labels)
-        return V.metrics_record(fitted.transform(val), labels=labels).withColumn("resampling", F.lit(how))
+        return fit_baseline(resampled(train, how), max_iter=10).metrics(val).withColumn("resampling", F.lit(how))
 
     return reduce(DataFrame.unionByName, [one(how) for how in RESAMPLING if how != "none"])
