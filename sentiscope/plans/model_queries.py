@@ -152,9 +152,7 @@ def q_trial_acceptance(spark, sf):
 def q_baseline_metrics(spark, sf):
     """Experiments' baseline: plain LR on smooth-IDF / L2 TF-IDF of the cleaned text, scored on val."""
     train, val, _ = P.split_frames(labelled(spark, sf))
-    fitted = MD.fit_smooth_tfidf_baseline(train, max_iter=10)
-    labels = list(fitted.stages[-2].labels)
-    return V.metrics_record(fitted.transform(val), labels=tuple(labels))
+    return fit_baseline(train, max_iter=10).metrics(val)
 
 
 @register("resampled_baseline_metrics")
