@@ -58,6 +58,18 @@ def term_stats_from_tokens(docs: DataFrame, tokens: str) -> DataFrame:
             .agg(F.sum("e.tf").cast("bigint").alias("tf"), F.sum("e.df").cast("bigint").alias("df")))
 
 
+def term_stats_from_stored(docs: DataFrame, tokens: str) -> DataFrame:
+    """``term, tf, df`` as :func:`term_stats_from_tokens`, of a stored token column.
+
+    Reading it twice is cheap, so tokens and distinct tokens are exploded as they are, without
+    a structure per token.
+    """
+    occ = docs.select(F.explode(tokens).alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))
+    dst = docs.select(F.explode(F.array_distinct(tokens)).alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))
+    return (occ.union(dst).where(F.col("term").isNotNull()).groupBy("term")
+            .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
+
+
 def vocabulary(terms: DataFrame, vocab_size: int, min_df: float = 1.0, n_docs=None,
                stats: DataFrame | None = None) -> DataFrame:
     """Top ``vocab_size`` terms by total count among terms with ``df >= min_df``.

@@ -145,7 +145,9 @@ def simulated_annealing(train: DataFrame, val: DataFrame, steps: int = MAX_STEPS
             if scorer is not None:
                 memo[key] = scorer(train, val, cfg)
             else:
-                shared = shared or SharedFeatures(train, val)
+                sizes = max([*space.get("vocab_size", []), cfg["vocab_size"]])
+                least = {*space.get("min_df", []), cfg["min_df"]}
+                shared = shared or SharedFeatures(train, val, [(sizes, m) for m in sorted(least)])
                 memo[key] = shared.score({k: cfg[k] for k in CONFIG})
         return memo[key]
 
