@@ -94,5 +94,9 @@ def _tokens(frame: DataFrame) -> DataFrame:
     """Tokens and bigrams of the labelled texts, and the weight (1 without one)."""
     words = X.remove_stopwords(X.tokenize("text"))
     weight = F.col("class_weight") if "class_weight" in frame.columns else F.lit(1.0)
-    return (frame.na.drop(subset=["text"]).select("label", weight.alias("class_weight"), words.alias("filtered_words"))
+    # a small join of texts comes in fewer parts than there are cores
+    spark = frame.sparkSession
+    parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = frame.na.drop(subset=["text"]).select("label", "text", weight.alias("class_weight")).repartition(parts)
+    return (rows.select("label", "class_weight", words.alias("filtered_words"))
             .withColumn("bigrams", X.bigrams("filtered_words")))
