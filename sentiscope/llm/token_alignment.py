@@ -6,6 +6,10 @@ second's ends by bisection, then the ends around it in widening windows, and bot
 interval without a shared end inside is a leaf group.  All intervals of one depth, over all texts of
 a batch, take their steps together as array operations, so the depth is the logarithm of the longest text.
 
+A text is tokenised by its stretches, which begin at single spaces that no token of either vocabulary can cross
+(``_stretch_starts``); a stretch that a task meets again takes the tokens it had (``_Stretches``, bounded by
+``HELD_BYTES``).  With tokenizers that are not known to read stretches apart, whole texts are tokenised.
+
 ``align_documents`` gives the ids and the groups.  ``link_scores`` counts how often an id pair is linked (ends at
 the same byte) in the whole corpus and scores each document by it.  Links are numbered within
 blocks of documents: only a block's distinct pairs with their counts are shuffled to the corpus
@@ -20,6 +24,7 @@ other columns of the input are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 from collections.abc import Iterator
@@ -39,6 +44,7 @@ TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PIECE_BYTES = 1 << 19      # bytes of text tokenised at once (or one longer text)
 BLOCK_LINKS = 1 << 21      # links of a block
+HELD_BYTES = 1 << 22       # bytes of the stretches whose tokens a task keeps (and those of one piece)
 SHIFT = 32                 # a pair is first id << SHIFT | second id
 WIDEN = 8                  # growth of the search window around a middle
 
@@ -74,6 +80,9 @@ class ByteBpe:
         self.lossless = (steps["normalizer"] is None and steps["pre_tokenizer"]["type"] == "ByteLevel"
                          and not steps["pre_tokenizer"]["add_prefix_space"] and set(letters) <= set(vocabulary)
                          and not any(steps["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")))
+        # its pattern begins a word at a space before a character that is none, and the only added tokens are special
+        self.reads_stretches = (self.lossless and steps["pre_tokenizer"].get("use_regex") is True and steps["truncation"] is None
+                                and steps["padding"] is None and all(t["special"] for t in steps["added_tokens"]))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         found = self._tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
@@ -90,11 +99,43 @@ class PieceBpe:
         pieces = [self._model.id_to_piece(i) for i in range(self._model.get_piece_size())]
         self.tokens = [bytes([int(p[3:-1], 16)]) if self._model.is_byte(i) else p.replace("▁", " ").encode()
                        for i, p in enumerate(pieces)]
+        # nothing normalised, and no piece has a space behind another character: no merge crosses the start of a stretch
+        model = _fields(self._model.serialized_model_proto())
+        trainer, normalizer = _fields(model.get(2, b"")), _fields(model.get(3, b""))
+        self.reads_stretches = (trainer.get(3) == BPE_MODEL and not trainer.get(24) and not normalizer.get(2) and normalizer.get(3, 1) == 1
+                                and normalizer.get(4, 1) == 0 and normalizer.get(5, 1) == 1
+                                and "▁" in pieces and not any("▁" in p.lstrip("▁") for p in pieces))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self._model.encode(texts, num_threads=1)
 
 
+BPE_MODEL = 2  # of a sentencepiece model's ``trainer_spec.model_type``
+
+
+def _fields(message: bytes) -> dict[int, int | bytes]:
+    """The last value of every field of a protocol buffer message (a sentencepiece model's settings)."""
+    at, out = 0, {}
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte, at = message[at], at + 1
+            value, shift = value | (byte & 127) << shift, shift + 7
+            if byte < 128:
+                return value
+
+    while at < len(message):
+        key = number()
+        if key & 7 == 0:
+            out[key >> 3] = number()
+        else:
+            size = {1: 8, 5: 4}.get(key & 7) or number()
+            out[key >> 3], at = message[at:at + size], at + size
+    return out
+
+
 def _load(folder: str, name: str):
     """One tokenizer per worker and file."""
     key = f"{folder}/{name}"
@@ -179,28 +220,123 @@ def shared_cuts(a_ends: np.ndarray, b_ends: np.ndarray, a_last: np.ndarray, b_la
     return a, cut_at[a]
 
 
-def align_texts(texts: list[str | None], first, second):
+# whether a byte after a space can begin white space (or is a control character)
+_BLANK = np.isin(np.arange(256), [*range(0x21), 0x7F, 0xC2, 0xE1, 0xE2, 0xE3])
+
+
+def _stretch_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the stretches of texts begin: at the text's start and at every single space before a character that is no white space.
+
+    The byte-level pattern begins a word there whatever comes before: white space that ends with it leaves its last
+    space to the word.  ``starts`` are the starts of the texts, which have a space put before them.
+    """
+    begins = data == 0x20
+    begins[1:] &= data[:-1] != 0x20
+    begins[:-1] &= ~_BLANK[data[1:]]
+    begins[-1] = False
+    begins[starts] = True
+    return np.flatnonzero(begins)
+
+
+class _Tokens:
+    """Ids of numbered strings, laid out for array look-ups."""
+
+    def __init__(self):
+        self.flat, self.sizes, self.starts = (np.empty(0, kind) for kind in (np.int32, np.int64, np.int64))
+
+    def add(self, ids: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum()))
+        self.flat, self.sizes, self.starts = (
+            np.concatenate(x) for x in ((self.flat, flat), (self.sizes, sizes), (self.starts, starts)))
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        return self.flat[_ranges(self.starts[numbers], self.sizes[numbers])]
+
+
+class _Stretches:
+    """Tokens of the stretches met so far, by both tokenizers."""
+
+    def __init__(self, first, second):
+        self.sides = first, second
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.held = {}, 0
+        self.tokens, self.right = (_Tokens(), _Tokens()), np.empty(0, bool)
+
+    def _add(self, stretches: list[bytes]) -> None:
+        self.numbers.update(zip(stretches, range(len(self.numbers), len(self.numbers) + len(stretches))))
+        self.held += sum(map(len, stretches))
+        texts, right = [s[1:].decode() for s in stretches], np.ones(len(stretches), bool)
+        for side, tokens in zip(self.sides, self.tokens):
+            ids = side.encode(texts)
+            right &= _spells(side, ids, stretches)
+            tokens.add(ids)
+        self.right = np.concatenate([self.right, right])
+
+    def encode(self, spelt: list[bytes]):
+        """Per side ``(ids, number of ids per text)`` of the texts one after another, and which texts their tokens spell."""
+        sizes = np.fromiter(map(len, spelt), np.int64, len(spelt))
+        starts, data = np.cumsum(sizes) - sizes, b"".join(spelt)
+        begins = _stretch_starts(np.frombuffer(data, np.uint8), starts)
+        ends = pa.array(np.append(begins, len(data)), pa.int64())
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, ends.buffers()[1], pa.py_buffer(data)]).dictionary_encode()
+        found = coded.dictionary.to_pylist()
+        if self.held > HELD_BYTES:
+            self._forget()
+        new = [s for s in found if s not in self.numbers]
+        if new:
+            self._add(new)
+        numbers = np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found))[coded.indices.to_numpy()]
+        text_at = np.searchsorted(begins, starts)
+        sides = [(t.joined(numbers), np.add.reduceat(t.sizes[numbers], text_at)) for t in self.tokens]
+        return sides, np.logical_and.reduceat(self.right[numbers], text_at)
+
+
+def _encode(read: list[str], first, second, held: _Stretches | None):
+    """``_Stretches.encode`` of texts, by their stretches if ``held`` is given, else whole."""
+    spelt = [f" {t}".encode() for t in read]
+    if held is not None:
+        return held.encode(spelt)
+    sides, right = [], np.ones(len(read), bool)
+    for side in (first, second):
+        ids = side.encode(read)
+        right &= _spells(side, ids, spelt)
+        tokens = _Tokens()
+        tokens.add(ids)
+        sides.append((tokens.flat, tokens.sizes))
+    return sides, right
+
+
+def _stretches(first, second) -> _Stretches | None:
+    """A store of stretches if both tokenizers read these apart."""
+    return _Stretches(first, second) if all(getattr(t, "reads_stretches", False) for t in (first, second)) else None
+
+
+def align_texts(texts: list[str | None], first, second, held: _Stretches | None = None):
     """Per text ``(a ids, b ids, a tokens per group, b tokens per group)`` as arrays; all empty for a text without tokens."""
     none = np.empty(0, np.int32)
     out = [(none,) * 4 for _ in texts]
     some = [i for i, t in enumerate(texts) if t]
-    read = [texts[i] for i in some]
-    spelt = [f" {t}".encode() for t in read]
-    ids = [[np.array(x, np.int32) for x in side.encode(read)] if read else [] for side in (first, second)]
-    right = [a and b for a, b in zip(*(_spells(side, x, spelt) for side, x in zip((first, second), ids)))]
-    kept = [i for i, ok in zip(some, right) if ok]
-    ids = [[x for x, ok in zip(side, right) if ok] for side in ids]
+    if not some:
+        return out
+    sides, right = _encode([texts[i] for i in some], first, second, held)
+    kept = [i for i, ok in zip(some, right.tolist()) if ok]
     if not kept:
         return out
-    flat = [np.concatenate(side) for side in ids]
-    lasts = [np.cumsum([len(x) for x in side]) - 1 for side in ids]
+    if len(kept) < len(some):
+        sides = [(flat[np.repeat(right, counts)], counts[right]) for flat, counts in sides]
+    flat, lasts = [f for f, _ in sides], [np.cumsum(counts) - 1 for _, counts in sides]
     ends = [np.cumsum(_strings(side).sizes[f]) for side, f in zip((first, second), flat)]
     a, b = shared_cuts(*ends, *lasts)
     group_end = np.searchsorted(a, lasts[0]) + 1  # groups up to each text's end
     a_sizes, b_sizes = np.diff(a, prepend=-1).astype(np.int32), np.diff(b, prepend=-1).astype(np.int32)
+    parts = [np.split(f, last[:-1] + 1) for f, last in zip(flat, lasts)]
     start = 0
     for k, i in enumerate(kept):
-        out[i] = (ids[0][k], ids[1][k], a_sizes[start:group_end[k]], b_sizes[start:group_end[k]])
+        out[i] = (parts[0][k], parts[1][k], a_sizes[start:group_end[k]], b_sizes[start:group_end[k]])
         start = group_end[k]
     return out
 
@@ -211,19 +347,22 @@ def _strings(tokenizer) -> _Strings:
     return tokenizer.strings[1]
 
 
-def _spells(tokenizer, ids: list[np.ndarray], spelt: list[bytes]) -> list[bool]:
+def _spells(tokenizer, ids: list[list[int]], spelt: list[bytes]) -> list[bool]:
     """Whether the joined tokens of each text are its bytes."""
     if getattr(tokenizer, "lossless", False):
         return [True] * len(ids)
-    strings = _strings(tokenizer)
-    found = strings.joined(np.concatenate(ids)).tobytes() if ids else b""
-    ends = np.cumsum([strings.sizes[x].sum() for x in ids]).tolist()
+    strings, tokens = _strings(tokenizer), _Tokens()
+    tokens.add(ids)
+    found = strings.joined(tokens.flat).tobytes()
+    upto = np.concatenate([[0], np.cumsum(strings.sizes[tokens.flat])])  # bytes before each token
+    ends = upto[np.cumsum(tokens.sizes)].tolist()
     return [found[start:end] == s for start, end, s in zip([0, *ends], ends, spelt)]
 
 
 def _aligned(batches: Iterator[pa.RecordBatch], folder: str, names: tuple[str, str]):
     """``(ids column, alignments)`` of small runs of rows."""
     first, second = (_load(folder, name) for name in names)
+    held = _stretches(first, second)
     for batch in batches:
         texts = batch.column(1)
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -231,7 +370,7 @@ def _aligned(batches: Iterator[pa.RecordBatch], folder: str, names: tuple[str, s
         for part in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(run)) + 1):
             if len(part):
                 here = batch.slice(int(part[0]), len(part))
-                yield here.column(0), align_texts(here.column(1).to_pylist(), first, second)
+                yield here.column(0), align_texts(here.column(1).to_pylist(), first, second, held)
 
 
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:

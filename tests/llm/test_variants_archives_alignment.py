@@ -6,6 +6,7 @@ import io
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from sentiscope.llm import spelling, token_alignment, warc
@@ -315,6 +316,67 @@ def test_aligned_documents_spell_their_texts(multilingual):
             assert b"".join(a_side.tokens[i] for i in r.a_ids) == f" {r.text}".encode()
 
 
+class Counted:
+    """A tokenizer that notes how many characters it was given."""
+
+    def __init__(self, inner):
+        self._inner, self.read = inner, 0
+
+    def __getattr__(self, name):
+        return getattr(self._inner, name)
+
+    def encode(self, texts):
+        self.read += sum(map(len, texts))
+        return self._inner.encode(texts)
+
+
+def tokenizer_pair():
+    return (token_alignment.ByteBpe(f"{token_alignment.TOKENIZERS}/{token_alignment.FIRST}"),
+            token_alignment.PieceBpe(f"{token_alignment.TOKENIZERS}/{token_alignment.SECOND}"))
+
+
+def same_alignments(found, want):
+    return len(found) == len(want) and all([x.tolist() for x in f] == [x.tolist() for x in w] for f, w in zip(found, want))
+
+
+def test_repeated_stretches_are_tokenised_once(monkeypatch):
+    read = []
+
+    def load(folder, name):
+        read.append(Counted(tokenizer_pair()[name == token_alignment.SECOND]))
+        return read[-1]
+
+    monkeypatch.setattr(token_alignment, "_load", load)
+    texts = ["the harbour was quiet and the sea was calm " * 50, "the sea was quiet " * 200, None, ""]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(texts)], ["doc_id", "text"])] * 3
+    found = [x for _, part in token_alignment._aligned(iter(batches), "folder", (token_alignment.FIRST, token_alignment.SECOND)) for x in part]
+    assert same_alignments(found, token_alignment.align_texts(texts, *tokenizer_pair()) * 3)
+    assert all(0 < side.read < 200 for side in read)
+
+
+@pytest.mark.parametrize("held_bytes", [1, 1 << 20])
+def test_stretches_have_the_tokens_of_whole_texts(monkeypatch, held_bytes):
+    import random
+
+    monkeypatch.setattr(token_alignment, "HELD_BYTES", held_bytes)  # 1: everything is forgotten again and again
+    first, second = tokenizer_pair()
+    held, rng = token_alignment._stretches(first, second), random.Random(5)
+    spaces = [" ", " ", "  ", "   ", "\t", "\n", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u3000", "\u200b", "\x00"]
+    words = ["the", "it's", "we'll", "12", "3.5", "$%", "\u201cq\u201d", "\u00e9", "e\u0301", "\u0301x", "\u043f\u0440\u0438\u0432\u0435\u0442", "\u65e5\u672c",
+             "\U0001f600", "<|endoftext|>", "</s>", "<0x0A>", "\ufb01", "\u2581", "a\u2581b"]
+    for _ in range(30):
+        texts = ["".join(rng.choice(spaces) + rng.choice(words[:rng.choice([17, 19])]) for _ in range(rng.choice([1, 3, 20, 200]))) for _ in range(8)]
+        texts += [None, "", " ", "  ", "a ", " a"]
+        assert same_alignments(token_alignment.align_texts(texts, first, second, held), token_alignment.align_texts(texts, first, second))
+
+
+def test_only_known_tokenizers_are_read_by_stretches():
+    first, second = tokenizer_pair()
+    assert token_alignment._stretches(first, second) is not None
+    crossing = Pieces(lambda d: [])
+    assert token_alignment._stretches(first, crossing) is None and token_alignment._stretches(crossing, second) is None
+
+
 def test_alignment_of_nothing(spark):
     assert token_alignment.link_scores(spark.createDataFrame([], DOCS)).count() == 0
     assert token_alignment.align_documents(spark.createDataFrame([], DOCS)).count() == 0
