@@ -11,6 +11,10 @@ with them the line search, are sums of them.  A gradient is two passes over the
 
 The ``DENSE_TERMS`` terms of most documents have their sums as one bounded array, that is sent to the tasks;
 all other terms are rows, joined and summed by term.  No term is left out.
+
+Rows that are drawn several times (``fit_counted``) are kept once, with the number of draws as their weight in every sum;
+texts are counted once for all fits over them.  Every task of a pass sends an array of the dense terms' sums, so a pass has no
+more tasks than the entries need (``ENTRIES_PER_TASK``) or, with few entries, keep busy.
 """
 
 from __future__ import annotations
@@ -23,9 +27,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import StorageLevel, TaskContext, cloudpickle
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sentiscope.operators.evaluate import metrics_record
 from sentiscope.plans.lbfgs import Search
@@ -36,9 +41,10 @@ DENSE_TERMS = 1 << 17   # terms whose sums are one array
 FEW = 4096              # numbers that every task may send as they are
 PARTS = 16              # pieces in which the tasks' arrays are added up
 SMALLEST = 1e-13        # a variance below this share of the mean square is that of a constant
+FEWEST_ENTRIES, ENTRIES_PER_TASK = 1 << 18, 1 << 22
 
-COUNTED = "row long, label_index double, terms array<string>, counts array<int>"
-SPLIT = "row long, label_index double, idx binary, tf binary, terms array<string>, counts array<int>"
+STATE = "row long, label_index double, m long, z binary"
+SPLIT = "row long, label_index double, m long, idx binary, tf binary, terms array<string>, counts array<int>"
 
 
 # ------------------------------------------------------------------- entries
@@ -46,7 +52,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's distinct tokens and how often it has them; rows get numbers."""
     at = TaskContext.get().partitionId() << 33
     for batch in batches:
-        n, tokens = batch.num_rows, batch.column(1)
+        n, tokens = batch.num_rows, batch.column(batch.num_columns - 1)
         coded = tokens.flatten().dictionary_encode()
         words, codes = coded.dictionary, coded.indices.to_numpy()
         owner = np.repeat(np.arange(n), pc.list_value_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -54,15 +60,23 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.searchsorted(keys, np.arange(n + 1) * max(len(words), 1)).astype(np.int32)
         terms = words.take(pa.array(keys % max(len(words), 1)))
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.arange(at, at + n)), batch.column(0), pa.ListArray.from_arrays(pa.array(ends), terms),
-            pa.ListArray.from_arrays(pa.array(ends), pa.array(counts.astype(np.int32)))], ["row", "label_index", "terms", "counts"])
+            pa.array(np.arange(at, at + n)), *batch.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), terms),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(counts.astype(np.int32)))], ["row", *batch.schema.names[:-1], "terms", "counts"])
         at += n
 
 
-def _counted(frame: DataFrame, name: str) -> DataFrame:
-    """``row, label_index, terms, counts`` of labelled texts (null: no terms), stored: row numbers stay."""
-    tokens = frame.select("label_index", F.expr(clean_tokens_sql()).alias("tokens"))
-    return stored(tokens.mapInArrow(_count, COUNTED), name)
+def counted_texts(frame: DataFrame, keep: tuple[str, ...] = (), label_col: str = "label") -> DataFrame:
+    """``row, keep..., label, terms, counts`` of labelled texts (null: no terms), stored: row numbers stay."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the library
+    tokens = frame.select(*keep, F.col(label_col).cast("string").alias("label"), F.expr(clean_tokens_sql()).alias("tokens"))
+    layout = T.StructType([T.StructField("row", T.LongType()), *tokens.schema.fields[:-1], T.StructField("terms", T.ArrayType(T.StringType())),
+                           T.StructField("counts", T.ArrayType(T.IntegerType()))])
+    return stored(tokens.mapInArrow(_count, layout), "baseline-counted")
+
+
+def _passes(spark, entries: int) -> int:
+    """Tasks of a pass over so many entries."""
+    return max(1, min(spark.sparkContext.defaultParallelism, entries // FEWEST_ENTRIES), -(-entries // ENTRIES_PER_TASK))
 
 
 def _pieces(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -83,22 +97,22 @@ def _split(counted: DataFrame, dense_terms) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(dense_terms.value, pa.string())
         for batch in batches:
-            terms, n = batch.column(2), batch.num_rows
+            terms, n = batch.column(3), batch.num_rows
             coded = terms.flatten().dictionary_encode()
             place = pc.fill_null(pc.index_in(coded.dictionary, value_set=known), -1).to_numpy().astype(np.int32)
             at = place[coded.indices.to_numpy()] if len(place) else np.empty(0, np.int32)
             owner = np.repeat(np.arange(n), pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype(np.int64))
-            counts = batch.column(3).flatten()
+            counts = batch.column(4).flatten()
             tf, dense = counts.to_numpy().astype(np.float64), at >= 0
             sizes = np.bincount(owner[dense], minlength=n)
             ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner[~dense], minlength=n))]).astype(np.int32))
             rest = pa.array(np.flatnonzero(~dense))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), _pieces(at[dense], sizes), _pieces(tf[dense], sizes),
+                *batch.columns[:3], _pieces(at[dense], sizes), _pieces(tf[dense], sizes),
                 pa.ListArray.from_arrays(ends, terms.flatten().take(rest)), pa.ListArray.from_arrays(ends, counts.take(rest))],
-                ["row", "label_index", "idx", "tf", "terms", "counts"])
+                ["row", "label_index", "m", "idx", "tf", "terms", "counts"])
 
-    return counted.mapInArrow(split, SPLIT)
+    return counted.select("row", "label_index", "m", "terms", "counts").mapInArrow(split, SPLIT)
 
 
 def _rare(split: DataFrame) -> DataFrame:
@@ -148,20 +162,20 @@ def _norm(sums, squares, n: int):
 class Entries:
     """Standardised entries of the training rows, and the products with them."""
 
-    def __init__(self, train: DataFrame, n_classes: int, dense_terms: int):
-        """``train`` has ``text`` and ``label_index``."""
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the library
-        self.spark = spark = train.sparkSession
-        counted = _counted(train, "baseline-train")
-        self.k, self.n = n_classes if n_classes > 2 else 1, counted.count()
-        terms = counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    def __init__(self, counted: DataFrame, n_classes: int, n: int, dense_terms: int):
+        """``counted`` has ``row, label_index, m, terms, counts``: ``m`` rows alike in each, ``n`` in all."""
+        self.spark = spark = counted.sparkSession
+        self.k, self.n = n_classes if n_classes > 2 else 1, n
+        terms = counted.select(F.explode("terms").alias("term"), "m").groupBy("term").agg(F.sum("m").alias("df"), F.count(F.lit(1)).alias("held"))
         idf = F.log(F.lit(self.n + 1.0) / (F.col("df") + 1.0)) + 1.0
         stats = stored(terms.withColumn("idf", idf), "baseline-terms")
-        sizes = stats.groupBy("df").count().collect()  # few: a sum of n different numbers is at least n * n / 2
+        # few: a sum of n different numbers is at least n * n / 2
+        sizes = stats.groupBy("df").agg(F.count(F.lit(1)).alias("count"), F.sum("held").alias("held")).collect()
         if not sizes:
             raise ValueError("the training rows have no term")
+        self.parts = _passes(spark, sum(r["held"] for r in sizes))
         least, seen = math.inf, 0
-        for r in sorted(sizes, reverse=True):
+        for r in sorted(sizes, key=lambda r: -r["df"]):
             seen += r["count"]
             if seen > dense_terms:
                 break
@@ -176,31 +190,31 @@ class Entries:
         split = stored(_split(counted, self.words), "baseline-split")
         weighted = (_by("term", _rare(split), self.rare_terms)
                     .select("row", "tid", (F.col("count") * F.col("idf")).alias("w")))
-        dense = split.select("row", "label_index", "idx", "tf")
+        dense = split.select("row", "label_index", "m", "idx", "tf")
         if self.some_rare:
             weighted = stored(weighted, "baseline-rare")
             squares = weighted.groupBy("row").agg(F.sum(F.col("w") * F.col("w")).alias("squares"))
             dense = _by("row", dense, squares, "left").fillna(0.0, ["squares"])
         else:
             dense = dense.withColumn("squares", F.lit(0.0))
-        self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.rows = dense.mapInArrow(self._normalised(), "row long, label_index double, norm double, idx binary, x binary").repartition(
+        self.rows = dense.mapInArrow(self._normalised(), "row long, label_index double, m long, norm double, idx binary, x binary").repartition(
             self.parts, "row").persist(StorageLevel.MEMORY_AND_DISK)
         h = len(self.dense)
 
         def moments(batch: pa.RecordBatch, total: np.ndarray) -> None:
-            idx, (x, _) = _read(batch.column(0), np.int32)[0], _read(batch.column(1), np.float64)
-            total[0] += np.bincount(idx, x, h)
-            total[1] += np.bincount(idx, x * x, h)
+            idx, (x, owner) = _read(batch.column(0), np.int32)[0], _read(batch.column(1), np.float64)
+            mx = x * batch.column(2).to_numpy()[owner]
+            total[0] += np.bincount(idx, mx, h)
+            total[1] += np.bincount(idx, mx * x, h)
 
-        sums = _summed(self.rows.select("idx", "x"), moments, (2, h))
+        sums = _summed(self.rows.select("idx", "x", "m"), moments, (2, h))
         self.scale = _norm(sums[0], sums[1], self.n)
         self.centre = sums[0] / self.n * self.scale
         self._scale = spark.sparkContext.broadcast(self.scale)
         if self.some_rare:
-            x = _by("row", weighted, self.rows.select("row", "norm")).select("row", "tid", (F.col("w") / F.col("norm")).alias("x"))
+            x = _by("row", weighted, self.rows.select("row", "norm", "m")).select("row", "tid", (F.col("w") / F.col("norm")).alias("x"), "m")
             x = stored(x, "baseline-rare-x")
-            s, q = F.sum("x"), F.sum(F.col("x") * F.col("x"))
+            s, q = F.sum(F.col("x") * F.col("m")), F.sum(F.col("x") * F.col("x") * F.col("m"))
             spread = q - s * s / self.n
             scale = F.when(spread > SMALLEST * q, F.sqrt(F.lit(float(max(self.n - 1, 1))) / spread)).otherwise(F.lit(0.0))
             self.rare_scale = stored(x.groupBy("tid").agg(scale.alias("scale"), (s / self.n).alias("mean"))
@@ -215,12 +229,12 @@ class Entries:
         def normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 n = batch.num_rows
-                (idx, owner), tf = _read(batch.column(2), np.int32), _read(batch.column(3), np.float64)[0]
+                (idx, owner), tf = _read(batch.column(3), np.int32), _read(batch.column(4), np.float64)[0]
                 w = tf * idf.value[idx]
-                norm = np.sqrt(np.bincount(owner, w * w, n) + batch.column(4).to_numpy(zero_copy_only=False))
+                norm = np.sqrt(np.bincount(owner, w * w, n) + batch.column(5).to_numpy(zero_copy_only=False))
                 x = w / norm[owner]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(norm), batch.column(2),
-                                                  _pieces(x, np.bincount(owner, minlength=n))], ["row", "label_index", "norm", "idx", "x"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(norm), batch.column(3),
+                                                  _pieces(x, np.bincount(owner, minlength=n))], ["row", "label_index", "m", "norm", "idx", "x"])
 
         return normalise
 
@@ -276,7 +290,7 @@ class Entries:
         dense, rare, total = gradient
         less = self.shift(dense, rare) - total  # the intercepts' part is the sum of the residuals
         weights, k = state.sparkSession.sparkContext.broadcast(dense * self.scale[:, None]), self.k
-        frame = _by("row", self.rows.select("row", "idx", "x"), state.select("row", "label_index", "z"))
+        frame = _by("row", self.rows.select("row", "idx", "x"), state.select("row", "label_index", "m", "z"))
         names = [f"p{c}" for c in range(k)]
         if rare is not None:
             part = (_by("tid", self.by_term, rare).groupBy("row")
@@ -289,13 +303,12 @@ class Entries:
             for batch in batches:
                 n = batch.num_rows
                 (idx, owner), x = _read(batch.column(1), np.int32), _read(batch.column(2), np.float64)[0]
-                z = np.stack([np.bincount(owner, x * weights.value[idx, c], n) + batch.column(5 + c).to_numpy(zero_copy_only=False) - less[c]
+                z = np.stack([np.bincount(owner, x * weights.value[idx, c], n) + batch.column(6 + c).to_numpy(zero_copy_only=False) - less[c]
                               for c in range(k)], axis=1) if n else np.empty((0, k))
-                longer = [old + new.tobytes() for old, new in zip(batch.column(4).to_pylist(), z)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(longer, pa.binary())], ["row", "label_index", "z"])
+                longer = [old + new.tobytes() for old, new in zip(batch.column(5).to_pylist(), z)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[3:5], pa.array(longer, pa.binary())], ["row", "label_index", "m", "z"])
 
-        return stored(frame.select("row", "idx", "x", "label_index", "z", *names).mapInArrow(products, "row long, label_index double, z binary"),
-                      "baseline-state")
+        return stored(frame.select("row", "idx", "x", "label_index", "m", "z", *names).mapInArrow(products, STATE), "baseline-state")
 
 
 # ------------------------------------------------------------------ optimiser
@@ -323,18 +336,18 @@ class Rows:
 
     def __init__(self, entries: Entries, start: np.ndarray):
         self.entries, self.start, self.k, self.n = entries, start, entries.k, entries.n
-        self.state = entries.rows.select("row", "label_index", F.lit(b"").alias("z"))
+        self.state = entries.rows.select("row", "label_index", "m", F.lit(b"").alias("z"))
 
     def along(self, point: np.ndarray, way: np.ndarray) -> tuple[float, float]:
         """Loss at ``point`` and its slope along ``way``, both given by their shares of the gradients."""
         k, n_all, start = self.k, self.n, self.start
 
         def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
-            n = batch.num_rows
-            loss, r = _loss(_margins(batch.column(1), n, k, point, start), batch.column(0).to_numpy())
-            total += [loss.sum() / n_all, (r * _margins(batch.column(1), n, k, way, np.zeros(k))).sum() / n_all]
+            n, m = batch.num_rows, batch.column(1).to_numpy() / n_all
+            loss, r = _loss(_margins(batch.column(2), n, k, point, start), batch.column(0).to_numpy())
+            total += [m @ loss, m @ (r * _margins(batch.column(2), n, k, way, np.zeros(k))).sum(axis=1)]
 
-        value, slope = _summed(self.state.select("label_index", "z"), add, (2,))
+        value, slope = _summed(self.state.select("label_index", "m", "z"), add, (2,))
         return float(value), float(slope)
 
     def residuals(self, points: list[np.ndarray], shares: np.ndarray) -> DataFrame:
@@ -343,8 +356,8 @@ class Rows:
 
         def residuals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                n, label = batch.num_rows, batch.column(1).to_numpy()
-                r = sum(s / n_all * _loss(_margins(batch.column(2), n, k, p, start), label)[1] for p, s in zip(points, shares) if s)
+                n, label, m = batch.num_rows, batch.column(1).to_numpy(), batch.column(2).to_numpy()[:, None] / n_all
+                r = sum(s * m * _loss(_margins(batch.column(3), n, k, p, start), label)[1] for p, s in zip(points, shares) if s)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in np.broadcast_to(r, (n, k))], pa.binary())], ["row", "r"])
 
         return self.state.mapInArrow(residuals, "row long, r binary")
@@ -355,18 +368,20 @@ class Rows:
         k, n_all, start, size = self.k, self.n, self.start, len(point) + 1
 
         def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
-            n = batch.num_rows
-            r = _loss(_margins(batch.column(1), n, k, point, start), batch.column(0).to_numpy())[1] / n_all
-            z = np.frombuffer(b"".join(batch.column(1).to_pylist())).reshape(n, size, k)
+            n, m = batch.num_rows, batch.column(1).to_numpy()[:, None] / n_all
+            r = m * _loss(_margins(batch.column(2), n, k, point, start), batch.column(0).to_numpy())[1]
+            z = np.frombuffer(b"".join(batch.column(2).to_pylist())).reshape(n, size, k)
             total += np.einsum("nc,njc->j", r, z)
 
-        return _summed(self.state.select("label_index", "z"), add, (size,))
+        return _summed(self.state.select("label_index", "m", "z"), add, (size,))
 
 
 # ---------------------------------------------------------------------- model
 class Baseline:
     """Fitted terms and coefficients: the dense terms' here, the others' as a stored table."""
 
+    label_col = "label"
+
     def __init__(self, indexer, entries: Entries | None, coefficients=None, start: np.ndarray | None = None):
         self.indexer, self.labels, self.entries = indexer, list(indexer.labels), entries
         if entries is None:  # a single class
@@ -383,10 +398,17 @@ class Baseline:
 
     def transform(self, frame: DataFrame) -> DataFrame:
         """``label_index, prediction`` of labelled texts (null: a text without words)."""
-        indexed = self.indexer.transform(frame.select("text", self.indexer.getInputCol()))
+        if self.entries is None:
+            labels = frame.select(F.col(self.label_col).cast("string").alias("label"))
+            return self.indexer.transform(labels).select("label_index", F.lit(0.0).alias("prediction"))
+        return self.transform_counted(counted_texts(frame, label_col=self.label_col))
+
+    def transform_counted(self, counted: DataFrame) -> DataFrame:
+        """:meth:`transform` of what :func:`counted_texts` made of the texts."""
+        indexed = self.indexer.transform(counted)
         if self.entries is None:
             return indexed.select("label_index", F.lit(0.0).alias("prediction"))
-        split = stored(_split(_counted(indexed, "baseline-scored"), self.words), "baseline-scored-split")
+        split = stored(_split(indexed.withColumn("m", F.lit(1).cast("long")), self.words), "baseline-scored-split")
         k, names = self.k, ["squares", *(f"p{c}" for c in range(self.k))]
         rows = split.select("row", "label_index", "idx", "tf")
         if self.rare is not None:
@@ -396,7 +418,7 @@ class Baseline:
             rows = _by("row", rows, part, "left").fillna(0.0, names)
         else:
             rows = rows.select("*", *(F.lit(0.0).alias(x) for x in names))
-        sc = frame.sparkSession.sparkContext
+        sc = counted.sparkSession.sparkContext
         idf, dense, intercept = sc.broadcast(self.dense_idf), sc.broadcast(self.dense), self.intercept
 
         def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,17 +437,35 @@ class Baseline:
     def metrics(self, frame: DataFrame) -> DataFrame:
         return metrics_record(self.transform(frame), labels=tuple(self.labels))
 
+    def metrics_counted(self, counted: DataFrame) -> DataFrame:
+        return metrics_record(self.transform_counted(counted), labels=tuple(self.labels))
+
 
 def fit_baseline(train: DataFrame, max_iter: int = 10, label_col: str = "label", dense_terms: int = DENSE_TERMS) -> Baseline:
     """Fit on the rows with a text; no class weights."""
-    data = train.select("text", label_col).na.drop(subset=["text"])
-    indexer = StringIndexer(inputCol=label_col, outputCol="label_index").fit(data)
-    if len(indexer.labels) == 1:
+    model = fit_counted(counted_texts(train.na.drop(subset=["text"]), label_col=label_col), None, max_iter, dense_terms)
+    model.label_col = label_col
+    return model
+
+
+def fit_counted(counted: DataFrame, drawn: DataFrame | None = None, max_iter: int = 10, dense_terms: int = DENSE_TERMS) -> Baseline:
+    """:func:`fit_baseline` on counted texts; with ``drawn`` on the texts of its ``row`` numbers, each as often as it is there."""
+    if drawn is None:
+        rows = counted.withColumn("m", F.lit(1).cast("long"))
+    else:
+        times = stored(drawn.groupBy("row").agg(F.count(F.lit(1)).alias("m")), "baseline-draws")
+        rows = stored(counted.join(times, "row").select("row", "label", "m", "terms", "counts"), "baseline-drawn")
+    found = rows.where("label is not null").groupBy("label").agg(F.sum("m").alias("n")).collect()  # one row per class
+    if not found:
+        raise ValueError("there is no labelled training row")
+    found = sorted(found, key=lambda r: (-r["n"], r["label"]))  # the order of Spark's StringIndexer
+    indexer = StringIndexerModel.from_labels([r["label"] for r in found], inputCol="label", outputCol="label_index", handleInvalid="error")
+    sizes = [r["n"] for r in found]
+    if len(sizes) == 1:
         return Baseline(indexer, None)
-    entries = Entries(indexer.transform(data), len(indexer.labels), dense_terms)
+    entries = Entries(indexer.transform(rows), len(sizes), sum(sizes), dense_terms)
     try:
-        sizes = {int(r["label_index"]): r["count"] for r in entries.rows.groupBy("label_index").count().collect()}
-        logs = np.array([math.log1p(sizes[i]) for i in range(len(sizes))])
+        logs = np.array([math.log1p(n) for n in sizes])
         start = logs - logs.mean() if entries.k > 1 else np.array([math.log(sizes[1] / sizes[0])])
         rows = Rows(entries, start)
         search = Search(rows, max_iter)

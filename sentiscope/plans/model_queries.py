@@ -8,6 +8,7 @@ is covered by ``tests/test_stream_and_model.py`` and ``tests/test_literal_fixtur
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from sentiscope.operators import prepare as P
 from sentiscope.operators import tuning as TU
 from sentiscope.plans import model as MD
 from sentiscope.plans import search as SR
-from sentiscope.plans.baseline import fit_baseline
+from sentiscope.plans.baseline import counted_texts, fit_baseline, fit_counted
 from sentiscope.plans.train import RESAMPLING, resampled
 from sentiscope.sources.fixtures import labelled, scored, trials
 from sentiscope.sources.tables import fingerprint
@@ -157,10 +158,19 @@ def q_baseline_metrics(spark, sf):
 
 @register("resampled_baseline_metrics")
 def q_resampled_baseline_metrics(spark, sf):
-    """The baseline fitted on the training split after each way of resampling, all scored on the same val rows."""
+    """The baseline fitted on the training split after each way of resampling, all scored on the same val rows.
+
+    The texts of the splits are counted once; what is resampled are the rows' numbers.  The fits are independent of each
+    other and mostly wait for short jobs, so they run side by side.
+    """
     train, val, _ = P.split_frames(labelled(spark, sf))
+    texts, scored_texts = counted_texts(train.na.drop(subset=["text"]), keep=("doc_id",)), counted_texts(val)
+    rows = texts.select("doc_id", "label", "row")
 
     def one(how):
-        return fit_baseline(resampled(train, how), max_iter=10).metrics(val).withColumn("resampling", F.lit(how))
+        return (fit_counted(texts, resampled(rows, how, needs=()), max_iter=10).metrics_counted(scored_texts)
+                .withColumn("resampling", F.lit(how)))
 
-    return reduce(DataFrame.unionByName, [one(how) for how in RESAMPLING if how != "none"])
+    ways = [how for how in RESAMPLING if how != "none"]
+    with ThreadPoolExecutor(len(ways)) as pool:
+        return reduce(DataFrame.unionByName, pool.map(one, ways))

@@ -25,12 +25,13 @@ RESAMPLING = {
 }
 
 
-def resampled(train: DataFrame, how: str = "none", key: str = "doc_id") -> DataFrame:
+def resampled(train: DataFrame, how: str = "none", key: str = "doc_id", needs: tuple[str, ...] = ("text",)) -> DataFrame:
     """The training rows after one of :data:`RESAMPLING`; the columns are those of ``train``.
 
-    Rows without a text, which no fit uses, go first: they would count in the class sizes.
+    Rows without a text, which no fit uses, go first: they would count in the class sizes (``needs``: no column, for rows that are
+    chosen already).
     """
-    usable = train.na.drop(subset=["text"])
+    usable = train.na.drop(subset=list(needs)) if needs else train
     return RESAMPLING[how](usable, key).select(*train.columns)
 
 

@@ -93,3 +93,44 @@ def test_search_over_shares_finds_the_minimum():
     bowl = Bowl()
     found = bowl.at(Search(bowl, 30).run())
     assert np.abs(found - np.linalg.solve(a, b)).max() < 1e-4
+
+
+def test_drawn_rows_are_fitted_as_if_repeated(spark):
+    texts = [f"{'good fine' if i % 3 else 'bad'} thing{i % 5} word{i}" for i in range(30)]
+    frame = spark.createDataFrame([(t, "abc"[i % 3]) for i, t in enumerate(texts)], "text string, label string").repartition(2)
+    counted = B.counted_texts(frame)
+    times = {r["row"]: r["row"] % 4 for r in counted.select("row").collect()}  # some rows never
+    drawn = spark.createDataFrame([(k,) for k, n in times.items() for _ in range(n)], "row long")
+    text_of = {r["row"]: r for r in counted.collect()}
+    repeated = spark.createDataFrame([(" ".join(t for t, c in zip(text_of[k]["terms"], text_of[k]["counts"]) for _ in range(c)), text_of[k]["label"])
+                                      for k, n in times.items() for _ in range(n)], "text string, label string")
+    a, b = B.fit_counted(counted, drawn, 4, dense_terms=2), B.fit_baseline(repeated, 4, dense_terms=2)
+    assert a.labels == b.labels and a.rare is not None
+    (x, x0), (y, y0) = _ours(a), _ours(b)
+    assert x.keys() == y.keys() and max(np.abs(x[t] - y[t]).max() for t in x) < 1e-9 and np.abs(x0 - y0).max() < 1e-9
+    assert sorted(map(tuple, a.transform_counted(counted).collect())) == sorted(map(tuple, b.transform(frame).collect()))
+
+
+def test_a_pass_has_no_more_tasks_than_its_entries_need(spark, splits):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        entries = B.fit_baseline(splits[0].limit(40), 1, dense_terms=300).entries
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert entries.parts == entries.rows.rdd.getNumPartitions() == 1
+    cores = spark.sparkContext.defaultParallelism
+    assert B._passes(spark, cores * B.FEWEST_ENTRIES) == cores and B._passes(spark, 1000 * cores * B.ENTRIES_PER_TASK) == 1000 * cores
+
+
+def test_resampled_baselines_count_a_text_once(spark, monkeypatch):
+    from sentiscope import catalog
+
+    catalog.load_all()
+    from sentiscope.plans import model_queries as MQ
+
+    counted, inner = [], B.counted_texts
+    for module in (B, MQ):
+        monkeypatch.setattr(module, "counted_texts", lambda frame, *a, **k: counted.append(frame) or inner(frame, *a, **k))
+    rows = catalog.QUERIES["resampled_baseline_metrics"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 3 and len(counted) == 2  # the training texts and the validation texts
