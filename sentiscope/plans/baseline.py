@@ -180,8 +180,8 @@ class Entries:
             if seen > dense_terms:
                 break
             least = r["df"]
-        top = stats.where(F.col("df") >= least).orderBy("term").collect()
-        self.dense, self.dense_idf = [r["term"] for r in top], np.array([r["idf"] for r in top])
+        top = stats.where(F.col("df") >= least).select("term", "idf").orderBy("term").toArrow()  # a row object per term takes ten times that
+        self.dense, self.dense_idf = top["term"].to_pylist(), top["idf"].to_numpy()
         self.words = spark.sparkContext.broadcast(self.dense)
         self.some_rare = seen > dense_terms
         rare = stats.where(F.col("df") < least).select("term", "idf").withColumn("tid", F.monotonically_increasing_id())
